@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app_name: str = "roadflow",
-                  shuffle_partitions: int = 8, **conf: str) -> SparkSession:
+                  shuffle_partitions: int = 8, conf: dict[str, str] | None = None) -> SparkSession:
     """Local/test session: UTC, AQE on, UI off, small shuffle fan-out."""
     builder = (
         SparkSession.builder.appName(app_name)
@@ -29,8 +29,8 @@ def build_session(master: str | None = None, app_name: str = "roadflow",
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -37,5 +37,6 @@ def write_report_csv(df: DataFrame, out_dir: str, kind: str, run_date: dt.date |
         df = df.coalesce(num_files)
     (df.write.mode("overwrite").option("header", "true")
      .option("timestampFormat", REPORT_TIMESTAMP_FORMAT)
+     .option("timestampNTZFormat", REPORT_TIMESTAMP_FORMAT)
      .csv(path))
     return path

@@ -59,7 +59,8 @@ def read_report(spark: SparkSession, report_dir: str, kind: str,
     pattern = f"*{stem}_*{date}*.csv" if date is not None else f"*{stem}*.csv"
     schema = REPORT_SCHEMAS.get(kind)
     reader = (spark.read.option("header", "true")
-              .option("timestampFormat", REPORT_TIMESTAMP_FORMAT))
+              .option("timestampFormat", REPORT_TIMESTAMP_FORMAT)
+              .option("timestampNTZFormat", REPORT_TIMESTAMP_FORMAT))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     try:
         df = reader.csv(f"{report_dir.rstrip('/')}/{pattern}")
