@@ -8,6 +8,8 @@ from roadflow.functions.traffic import (
     congestion_index,
     delta_from_reference,
     exact_mean,
+    exact_ratio,
+    exact_sum,
     in_peak_band,
     intervention_flag,
     junction_status,
@@ -18,6 +20,6 @@ from roadflow.functions.traffic import (
 
 __all__ = [
     "alert_message", "alert_recommendation", "area_from_name", "congestion_band",
-    "congestion_index", "delta_from_reference", "exact_mean", "in_peak_band", "intervention_flag",
+    "congestion_index", "delta_from_reference", "exact_mean", "exact_ratio", "exact_sum", "in_peak_band", "intervention_flag",
     "junction_status", "marker_size", "speed_round", "timestamp_literal",
 ]

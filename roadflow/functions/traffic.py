@@ -23,13 +23,25 @@ def congestion_index(total_vehicles: str | Column = "total_vehicles",
 
 # Averages of averages are summed as decimals: the sum is exact, so the result
 # does not depend on the order in which shuffle blocks arrive (double sums do,
-# and rounding to 2 places then flips half-way cases between runs).
-EXACT_MEAN_TYPE = T.DecimalType(38, 18)
+# and rounding to 2 places then flips half-way cases between runs). Exact sums
+# also roll up exactly: a mean over days equals the mean of the daily sums.
+EXACT_SUM_TYPE = T.DecimalType(38, 18)
+_COUNT_TYPE = T.DecimalType(20, 0)
+
+
+def exact_sum(c: str | Column) -> Column:
+    """Aggregate: exact (decimal) sum of a double column."""
+    return F.sum(_c(c).cast(EXACT_SUM_TYPE))
+
+
+def exact_ratio(total: str | Column, n: str | Column) -> Column:
+    """total / n as a double; n = 0 (no values) gives NULL, as avg does."""
+    return F.try_divide(_c(total), _c(n).cast(_COUNT_TYPE)).cast(T.DoubleType())
 
 
 def exact_mean(c: str | Column) -> Column:
-    """Order-independent mean of doubles (decimal sum, one final division)."""
-    return F.avg(_c(c).cast(EXACT_MEAN_TYPE)).cast(T.DoubleType())
+    """Aggregate: order-independent mean of a double column (NULLs skipped)."""
+    return exact_ratio(exact_sum(c), F.count(_c(c)))
 
 
 def speed_round(c: str | Column, scale: int = 2) -> Column:

@@ -5,12 +5,16 @@ from roadflow.operators.daily import (
     busiest_junction,
     city_hourly_volume,
     daily_summary,
+    hourly_from_rollup,
+    hourly_rollup,
     hourly_volumes,
     intervention_report,
     junction_volume_totals,
     peak_hour_range,
     peak_hours,
+    summary_from_rollup,
     volume_by_hour,
+    volume_from_rollup,
     volume_heatmap,
     volume_pivot,
 )
@@ -25,7 +29,8 @@ from roadflow.operators.windows import aggregate_windows
 
 __all__ = [
     "aggregate_windows", "detect_alerts", "encode_alerts", "status_alerts",
-    "busiest_junction", "city_hourly_volume", "daily_summary", "hourly_volumes",
+    "busiest_junction", "city_hourly_volume", "daily_summary", "hourly_from_rollup",
+    "hourly_rollup", "hourly_volumes", "summary_from_rollup", "volume_from_rollup",
     "intervention_report", "junction_volume_totals", "peak_hour_range", "peak_hours",
     "volume_by_hour", "volume_heatmap", "volume_pivot", "filter_junctions",
     "filter_time_range", "junction_map", "junction_status", "kpi_summary",

@@ -9,13 +9,59 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadflow import fixed
-from roadflow.functions import exact_mean, in_peak_band, intervention_flag, speed_round
+from roadflow.functions import (
+    exact_mean,
+    exact_ratio,
+    exact_sum,
+    in_peak_band,
+    intervention_flag,
+    speed_round,
+)
 from roadflow.operators.live import filter_junctions
 
 # Wide pivots are refused: each value becomes a column of every output row.
 MAX_PIVOT_COLUMNS = 1000
 
 
+def hourly_rollup(aggs: DataFrame) -> DataFrame:
+    """Additive per (sensor, UTC hour) measures of the window aggregates.
+
+    Every daily output is a roll-up of this table, so a day is scanned once:
+    sums are exact (decimal), which makes means of means exact at any level.
+    """
+    hour = F.date_trunc("hour", F.col("window_start")).alias("hour")
+    return aggs.groupBy("sensor_id", hour).agg(
+        F.sum("total_vehicles").alias("vehicles"),
+        exact_sum("avg_speed_window").alias("speed_sum"),
+        F.count("avg_speed_window").alias("speed_n"),
+        exact_sum("congestion_index").alias("index_sum"),
+        F.count("congestion_index").alias("index_n"),
+        F.count(F.lit(1)).alias("windows"))
+
+
+def hourly_from_rollup(rollup: DataFrame) -> DataFrame:
+    return rollup.select(
+        F.to_date("hour").alias("report_date"), "sensor_id", "hour",
+        F.col("vehicles").alias("vehicles_hour"),
+        exact_ratio("speed_sum", "speed_n").alias("avg_speed_hour"))
+
+
+def volume_from_rollup(rollup: DataFrame) -> DataFrame:
+    """volume_by_hour from the hourly roll-up (same values, no rescan)."""
+    return rollup.groupBy("sensor_id", F.hour("hour").alias("hour_of_day")).agg(
+        F.sum("vehicles").alias("total_volume"),
+        exact_ratio(F.sum("speed_sum"), F.sum("speed_n")).alias("avg_speed"),
+        F.sum("windows").alias("sample_count"))
+
+
+def summary_from_rollup(rollup: DataFrame) -> DataFrame:
+    """daily_summary from the hourly roll-up (same values, no rescan)."""
+    return rollup.agg(
+        F.sum("vehicles").alias("total_vehicles"),
+        exact_ratio(F.sum("index_sum"), F.sum("index_n")).alias("avg_congestion_index"),
+        F.coalesce(F.sum("windows"), F.lit(0)).cast("bigint").alias("window_count"))
+
+
 def hourly_volumes(aggs: DataFrame) -> DataFrame:
     """Per (sensor, UTC hour): summed vehicles and the *unweighted* mean of the
     window means (AGG-2; kept unweighted on purpose). ``report_date`` is the

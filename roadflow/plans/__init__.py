@@ -1,5 +1,7 @@
 """Composite jobs and the registry of checked queries."""
 
 from roadflow.plans.daily import DailyOutputs, run_daily
+from roadflow.plans.views import LiveView, ReportFeed, live_view, report_feed, write_weekly_report
 
-__all__ = ["DailyOutputs", "run_daily"]
+__all__ = ["DailyOutputs", "LiveView", "ReportFeed", "live_view", "report_feed", "run_daily",
+           "write_weekly_report"]

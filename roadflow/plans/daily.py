@@ -31,10 +31,11 @@ def run_daily(spark: SparkSession, run_date: dt.date, in_path: str, out_path: st
               sensors: list[str] | None = None, write: bool = True) -> DailyOutputs:
     """Reports for one UTC day from the stored aggregate table.
 
-    One pruned scan of the day feeds two small aggregates (sensors x 24 rows
-    each), which are checkpointed to the shared checkpoint folder: every later
-    output reads them instead of rescanning, and a lost executor recomputes
-    nothing upstream. Outputs are idempotent: the peak table is overwritten
+    One partition-pruned scan of the day builds the additive hourly roll-up
+    (at most sensors x 24 rows), which is checkpointed to the shared checkpoint
+    folder; hourly volumes, the hour-of-day profile and the summary are exact
+    roll-ups of it, so the day is read once and a lost executor recomputes
+    nothing upstream. Outputs are idempotent: Parquet tables are overwritten
     per ``report_date`` partition and each report folder is replaced.
 
     Run it at least 15 minutes after midnight UTC: the last windows of the day
@@ -43,9 +44,10 @@ def run_daily(spark: SparkSession, run_date: dt.date, in_path: str, out_path: st
     use_utc(spark)
     checkpoint_root(spark)
     day = read_window_aggs(spark, in_path, run_date)
-    hourly = ops.hourly_volumes(day).checkpoint()
-    volume = ops.volume_by_hour(day, ordered=False).checkpoint()
-    summary = ops.daily_summary(day).withColumn("report_date", F.lit(run_date))
+    rollup = ops.hourly_rollup(day).checkpoint()
+    hourly = ops.hourly_from_rollup(rollup)
+    volume = ops.volume_from_rollup(rollup)
+    summary = ops.summary_from_rollup(rollup).withColumn("report_date", F.lit(run_date))
 
     peak = ops.peak_hours(hourly)
     pivot = ops.volume_pivot(volume, sensors)
@@ -57,10 +59,10 @@ def run_daily(spark: SparkSession, run_date: dt.date, in_path: str, out_path: st
         write_daily(peak, os.path.join(out_path, "daily_peak_hour"))
         write_daily(summary, os.path.join(out_path, "daily_summary"))
         write_daily(interventions, os.path.join(out_path, "intervention_report"))
-        # Report-sized frames (at most sensors x 24 rows): one CSV file each.
-        write_report_csv(peak.orderBy("sensor_id"), reports, "peak",
-                         run_date, num_files=1)
-        write_report_csv(volume.orderBy("sensor_id", "hour_of_day"), reports, "volume",
-                         run_date, num_files=1)
+        # Report CSVs: rows ordered as in the reference. The pivot has 24 rows
+        # at most, so it is one file; the others may span several part files
+        # (read_report reads the whole folder).
+        write_report_csv(peak.orderBy("sensor_id"), reports, "peak", run_date)
+        write_report_csv(volume.orderBy("sensor_id", "hour_of_day"), reports, "volume", run_date)
         write_report_csv(pivot, reports, "pivot", run_date, num_files=1)
     return DailyOutputs(day, hourly, peak, volume, pivot, summary, busiest, interventions)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadflow import operators as ops
-from roadflow.session import scratch_dir, use_utc
+from roadflow.session import prefer_rocksdb_state, scratch_dir, use_utc
 from roadflow.sources import decode_readings, encode_readings, read_readings_stream, readings_from_events
 from roadflow.sources.readings import day_bounds
 from roadflow.streaming.jobs import run_to_completion
@@ -76,6 +76,7 @@ def _stream_to_table(spark: SparkSession, sf_dir: str, name: str, build) -> Data
     """Run ``build(readings stream)`` as an availableNow query into a fresh table
     under the shared checkpoint folder, then read that table back."""
     use_utc(spark)
+    prefer_rocksdb_state(spark)
     out = scratch_dir(spark, name)
     readings = read_readings_stream(spark, "events", path=sf_dir, path_glob="events.parquet")
     q = write_stream_parquet(build(readings), os.path.join(out, "table"),

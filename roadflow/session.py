@@ -15,6 +15,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+STATE_STORE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_HDFS_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
 def build_session(master: str | None = None, app_name: str = "roadflow",
                   shuffle_partitions: int = 8, conf: dict[str, str] | None = None) -> SparkSession:
     """Local/test session: UTC, AQE on, UI off, small shuffle fan-out."""
@@ -28,6 +33,8 @@ def build_session(master: str | None = None, app_name: str = "roadflow",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config(STATE_STORE_PROVIDER, ROCKSDB_PROVIDER)
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
@@ -43,6 +50,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def prefer_rocksdb_state(spark: SparkSession) -> SparkSession:
+    """Streaming state in RocksDB (off-heap, incremental checkpoints) unless the
+    session chose a provider. Takes effect for queries started afterwards with
+    a new checkpoint; an existing checkpoint keeps the provider it was made with."""
+    if spark.conf.get(STATE_STORE_PROVIDER, _HDFS_PROVIDER) == _HDFS_PROVIDER:
+        spark.conf.set(STATE_STORE_PROVIDER, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+                       "true")
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names; a private one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from roadflow import operators as ops
 from roadflow.plans import run_daily
@@ -130,3 +131,42 @@ def test_empty_day_gives_empty_reports(spark, stored_aggs, tmp_path):
     row = res.summary.first()
     assert row.total_vehicles is None and row.window_count == 0
     assert ops.busiest_junction(res.peak).count() == 0
+
+
+def test_live_view_and_report_feed(spark, stored_aggs, tmp_path):
+    from roadflow.plans import live_view, report_feed, write_weekly_report
+
+    out = str(tmp_path / "daily4")
+    for d in (9, 10):
+        run_daily(spark, dt.date(2024, 1, d), stored_aggs, out)
+    lv = live_view(spark, stored_aggs, as_of=dt.datetime(2024, 1, 10, 12), time_range="Last 24 Hours")
+    windows = lv.status.collect()
+    assert windows and all(dt.datetime(2024, 1, 9, 12) <= r.window_start < dt.datetime(2024, 1, 10, 12)
+                           for r in windows)
+    plan = lv.status._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+    kpi = lv.kpis.first()
+    assert kpi.total_vehicles == sum(r.total_vehicles for r in windows)
+    assert kpi.critical_count == sum(r.status == "Critical" for r in windows)
+    assert lv.map.count() == sum(r.sensor_id != "J5" for r in windows)
+    assert lv.alerts.count() == sum(r.status in ("Critical", "Warning") for r in windows)
+
+    feed = report_feed(spark, out, dt.date(2024, 1, 10), junctions=["J1", "J2"])
+    assert feed.peak.count() == 5
+    assert {r.report_date for r in feed.weekly.collect()} == {dt.date(2024, 1, 9), dt.date(2024, 1, 10)}
+    assert feed.heatmap.count() == 2 and len(feed.heatmap.columns) == 25
+    assert feed.pivot.count() == feed.city.count()
+    assert feed.totals.agg(F.sum("total_volume")).first()[0] == \
+        feed.volume.agg(F.sum("total_volume")).first()[0]
+    path = write_weekly_report(feed.weekly, str(tmp_path / "export"), dt.date(2024, 1, 4), dt.date(2024, 1, 10))
+    assert path.endswith("peak_hour_report_2024-01-04_to_2024-01-10.csv")
+    assert spark.read.option("header", "true").csv(path).count() == 10
+
+
+def test_rollup_outputs_equal_direct_operators(spark, stored_aggs):
+    day = read_window_aggs(spark, stored_aggs, dt.date(2024, 1, 10))
+    rollup = ops.hourly_rollup(day)
+    assert sorted(ops.hourly_from_rollup(rollup).collect()) == sorted(ops.hourly_volumes(day).collect())
+    assert sorted(ops.volume_from_rollup(rollup).collect()) == \
+        sorted(ops.volume_by_hour(day, ordered=False).collect())
+    assert ops.summary_from_rollup(rollup).collect() == ops.daily_summary(day).collect()
