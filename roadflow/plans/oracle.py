@@ -145,6 +145,22 @@ from day where status in ('Critical', 'Warning')
 }
 
 
+# End-to-end queries read back what the stream, the daily job and the live
+# view wrote; their answers are the same relations as above.
+STATEMENTS["daily_peak_report"] = STATEMENTS["peak_hour_daily"]
+STATEMENTS["daily_volume_report"] = STATEMENTS["volume_by_hour"]
+STATEMENTS["daily_summary_table"] = STATEMENTS["daily_summary"]
+STATEMENTS["live_kpi_last_24h"] = """,
+last24 as (
+  select *, case when avg_speed_window < 15 then 'Critical' when avg_speed_window < 25 then 'Warning'
+                 when avg_speed_window is not null then 'Normal' end as status
+  from agg where window_start >= timestamp '2024-01-09 12:00:00' and window_start < timestamp '2024-01-10 12:00:00')
+select cast(sum(total_vehicles) as bigint) as total_vehicles, round(avg(avg_speed_window), 9) as avg_speed,
+       count(*) filter (where status = 'Critical') as critical_count,
+       round(avg(congestion_index), 9) as congestion_index from last24
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Full statements (shared prefix + body); ``alerts_json`` has none (rows only)."""
     return {name: PREFIX + body for name, body in STATEMENTS.items()}

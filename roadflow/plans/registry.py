@@ -19,9 +19,15 @@ from pyspark.sql import types as T
 
 from roadflow import operators as ops
 from roadflow.session import prefer_rocksdb_state, scratch_dir, use_utc
-from roadflow.sources import decode_readings, encode_readings, read_readings_stream, readings_from_events
+from roadflow.sources import (
+    decode_readings,
+    encode_readings,
+    read_readings_stream,
+    read_report,
+    readings_from_events,
+)
 from roadflow.sources.readings import day_bounds
-from roadflow.streaming.jobs import run_to_completion
+from roadflow.streaming.jobs import StreamConfig, run_streaming, run_to_completion
 from roadflow.streaming.sinks import AVAILABLE_NOW, write_stream_parquet
 
 # Parameters of the checked queries (FIXTURES.md).
@@ -96,6 +102,73 @@ def q_congestion_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(table.drop("alert_time"))
 
 
+# --- end to end: stream -> stored aggregate table -> daily job -> reports -----
+# The stream and the daily job run once per session and scale-factor folder;
+# the queries below read their outputs back.
+
+_STORED: dict[tuple, str] = {}
+LIVE_AS_OF = dt.datetime(2024, 1, 10, 12)
+
+
+def reset_stored() -> None:
+    """Forget the memoised stream/daily outputs (the next query reruns them)."""
+    _STORED.clear()
+
+
+def stored_window_aggs(spark: SparkSession, sf_dir: str) -> str:
+    """JOB-1 over the events table: the date-partitioned 5-minute aggregate table."""
+    key = ("agg", id(spark), sf_dir)
+    if key not in _STORED:
+        use_utc(spark)
+        base = scratch_dir(spark, "stored_aggs")
+        cfg = StreamConfig(checkpoint_dir=os.path.join(base, "checkpoint"),
+                           agg_paths=[os.path.join(base, "agg_5min")], source="events",
+                           source_path=sf_dir, source_glob="events.parquet",
+                           agg_trigger=AVAILABLE_NOW)
+        run_to_completion(run_streaming(spark, cfg))
+        _STORED[key] = cfg.agg_paths[0]
+    return _STORED[key]
+
+
+def daily_outputs(spark: SparkSession, sf_dir: str, day: dt.date = REPORT_DATE) -> str:
+    """JOB-2 for one day over the stored table; returns its output folder."""
+    from roadflow.plans.daily import run_daily
+
+    key = ("daily", id(spark), sf_dir, day)
+    if key not in _STORED:
+        out = scratch_dir(spark, "daily")
+        run_daily(spark, day, stored_window_aggs(spark, sf_dir), out)
+        _STORED[key] = out
+    return _STORED[key]
+
+
+def q_daily_peak_report(spark, sf_dir):
+    out = daily_outputs(spark, sf_dir)
+    return _ntz(read_report(spark, os.path.join(out, "reports"), "peak", REPORT_DATE))
+
+
+def q_daily_volume_report(spark, sf_dir):
+    out = daily_outputs(spark, sf_dir)
+    vol = read_report(spark, os.path.join(out, "reports"), "volume", REPORT_DATE)
+    return vol.select("sensor_id", "hour_of_day", "total_volume", _r("avg_speed"), "sample_count")
+
+
+def q_daily_summary_table(spark, sf_dir):
+    out = daily_outputs(spark, sf_dir)
+    table = spark.read.parquet(os.path.join(out, "daily_summary"))
+    return table.where(F.col("report_date") == F.lit(REPORT_DATE)) \
+        .select("total_vehicles", _r("avg_congestion_index"), "window_count")
+
+
+def q_live_kpi_last_24h(spark, sf_dir):
+    from roadflow.plans.views import live_view
+
+    view = live_view(spark, stored_window_aggs(spark, sf_dir), as_of=LIVE_AS_OF,
+                     time_range="Last 24 Hours")
+    return view.kpis.select("total_vehicles", _r("avg_speed"), "critical_count",
+                            _r("congestion_index"))
+
+
 # --- batch queries ------------------------------------------------------------
 
 def q_decode_readings(spark, sf_dir):
@@ -213,4 +286,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_summary": q_kpi_summary,
     "junction_map": q_junction_map,
     "status_alerts": q_status_alerts,
+    "daily_peak_report": q_daily_peak_report,
+    "daily_volume_report": q_daily_volume_report,
+    "daily_summary_table": q_daily_summary_table,
+    "live_kpi_last_24h": q_live_kpi_last_24h,
 }
