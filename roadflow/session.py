@@ -64,15 +64,27 @@ def prefer_rocksdb_state(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names; a private one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not root and context is not None:
+        root = context.getCheckpointDir()
     if not root:
         # Unset (local runs, tests): make one and register it for checkpoint().
         root = tempfile.mkdtemp(prefix="roadflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        if context is not None:
+            context.setCheckpointDir(root)
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, never reused directory under the shared checkpoint folder."""
     root = checkpoint_root(spark)
