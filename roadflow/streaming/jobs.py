@@ -27,12 +27,18 @@ class StreamConfig:
     """Where the streaming job reads from and writes to.
 
     ``agg_paths``/``alert_paths`` hold one or more output tables; each gets its
-    own query and checkpoint (``<checkpoint_dir>/<name>-<i>``).
+    own query and checkpoint (``<checkpoint_dir>/<name>-<i>``) and its own
+    aggregation state. ``agg_mirrors``/``alert_mirrors`` are cheaper copies:
+    each streams the committed files of the first path into the copy (see
+    ``mirror_stream``) instead of aggregating the source again.
     """
 
     checkpoint_dir: str
     agg_paths: list[str] = field(default_factory=list)
     alert_paths: list[str] = field(default_factory=list)
+    agg_mirrors: list[str] = field(default_factory=list)
+    alert_mirrors: list[str] = field(default_factory=list)
+    mirror_trigger: str | None = "1 minute"
     source: str = "kafka"
     source_path: str | None = None
     source_glob: str | None = None
@@ -82,6 +88,15 @@ def run_streaming(spark: SparkSession, cfg: StreamConfig) -> list[StreamingQuery
     for i, path in enumerate(cfg.alert_paths):
         queries.append(write_stream_parquet(
             alerts, path, os.path.join(cfg.checkpoint_dir, f"alerts-{i}"), cfg.alert_trigger))
+    for kind, sources, mirrors, mirror_parts in (
+            ("agg", cfg.agg_paths, cfg.agg_mirrors, parts),
+            ("alerts", cfg.alert_paths, cfg.alert_mirrors, None)):
+        if mirrors and not sources:
+            raise ValueError(f"{kind} mirrors need a primary {kind} path")
+        for i, path in enumerate(mirrors):
+            queries.append(mirror_stream(
+                spark, sources[0], path, os.path.join(cfg.checkpoint_dir, f"{kind}-mirror-{i}"),
+                cfg.mirror_trigger, partition_by=mirror_parts))
     if cfg.kafka_alert_topic:
         queries.append(write_stream_kafka(
             alerts, cfg.kafka_alert_topic, os.path.join(cfg.checkpoint_dir, "alerts-kafka"),
@@ -92,6 +107,20 @@ def run_streaming(spark: SparkSession, cfg: StreamConfig) -> list[StreamingQuery
     return queries
 
 
+def mirror_stream(spark: SparkSession, source_path: str, target_path: str, checkpoint: str,
+                  trigger: str | None = "1 minute",
+                  partition_by: list[str] | None = None) -> StreamingQuery:
+    """Copy a streaming Parquet table as it grows (exactly-once on both sides).
+
+    Reading a file-sink folder goes through its commit log, so only committed
+    files are copied; the copy's own sink log makes replays idempotent. The
+    schema comes from the table itself, partition columns included.
+    """
+    schema = spark.read.parquet(source_path).schema
+    rows = spark.readStream.schema(schema).parquet(source_path)
+    return write_stream_parquet(rows, target_path, checkpoint, trigger, partition_by=partition_by)
+
+
 def run_to_completion(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait for ``availableNow`` queries; re-raise the first failure."""
     for q in queries:

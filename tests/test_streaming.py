@@ -115,3 +115,23 @@ def test_run_streaming_writes_date_partitioned_aggregates(spark, tmp_path):
     rows = spark.read.parquet(agg_out).collect()
     # watermark = 23:59:30 - 10 min: the 10:00 window is out, 23:55 still open
     assert [(r.window_start, r.total_vehicles) for r in rows] == [(_ts("10:00"), 3)]
+
+
+def test_mirror_copies_committed_output(spark, tmp_path):
+    src = str(tmp_path / "in")
+    os.makedirs(src)
+    _drop(src, "f0.json", [_line("10:01:00", 3), _line("10:06:00", 4), _line("10:40:00", 1)])
+    agg, alerts = str(tmp_path / "agg"), str(tmp_path / "alerts")
+    cfg = StreamConfig(checkpoint_dir=str(tmp_path / "ckpt"), agg_paths=[agg], alert_paths=[alerts],
+                       source="text", source_path=src, agg_trigger="availableNow",
+                       alert_trigger="availableNow")
+    run_to_completion(run_streaming(spark, cfg))
+    # second run: mirrors only (the primaries have nothing new to do)
+    cfg.agg_mirrors, cfg.alert_mirrors = [str(tmp_path / "agg_copy")], [str(tmp_path / "alerts_copy")]
+    cfg.mirror_trigger = "availableNow"
+    run_to_completion(run_streaming(spark, cfg))
+    for a, b in ((agg, cfg.agg_mirrors[0]), (alerts, cfg.alert_mirrors[0])):
+        left, right = spark.read.parquet(a), spark.read.parquet(b)
+        assert sorted(left.collect()) == sorted(right.select(*left.columns).collect())
+    assert os.path.isdir(os.path.join(cfg.agg_mirrors[0], "window_date=2026-02-01"))
+    assert spark.read.parquet(agg).count() == 2
