@@ -3,6 +3,13 @@
 Run with ``SET timezone='UTC'``; the views ``events`` etc. are registered by
 the caller. Doubles computed by aggregation are rounded to 9 places on both
 sides; DuckDB HUGEINT sums are cast to BIGINT and ``hour`` to INTEGER.
+
+Means are exact on both sides (decimal sums): DuckDB's parallel
+``avg(double)`` sums in a varying order, and on sf0.01 the same statement gave
+25.27 in some runs and 25.28 in others for one peak-hour speed (an exact mean
+of 25.275). Engines also round a double just below a half differently (mean
+6.449999999999999 of 0.12 and 12.78: Spark 6.4, DuckDB 6.5). With decimal
+sums both sides hold the exact mean and agree.
 """
 
 from __future__ import annotations
@@ -15,8 +22,8 @@ with readings as (
 agg as (
   select time_bucket(interval '5 minutes', event_time) as window_start,
          time_bucket(interval '5 minutes', event_time) + interval '5 minutes' as window_end, sensor_id,
-         cast(sum(vehicle_count) as bigint) as total_vehicles, avg(avg_speed) as avg_speed_window,
-         sum(vehicle_count) / nullif(avg(avg_speed), 0.0) as congestion_index
+         cast(sum(vehicle_count) as bigint) as total_vehicles, avg(avg_speed::DECIMAL(38,18)) as avg_speed_window,
+         sum(vehicle_count) / nullif(avg(avg_speed::DECIMAL(38,18)), 0.0) as congestion_index
   from readings group by 1, 2, 3),
 day as (
   select *, case when avg_speed_window < 15 then 'Critical' when avg_speed_window < 25 then 'Warning'
@@ -24,7 +31,7 @@ day as (
   from agg where window_start >= timestamp '2024-01-10' and window_start < timestamp '2024-01-11'),
 hourly as (
   select cast(window_start as date) as report_date, sensor_id, date_trunc('hour', window_start) as hour,
-         cast(sum(total_vehicles) as bigint) as vehicles_hour, avg(avg_speed_window) as avg_speed_hour
+         cast(sum(total_vehicles) as bigint) as vehicles_hour, avg(avg_speed_window::DECIMAL(38,18)) as avg_speed_hour
   from agg group by 1, 2, 3),
 peak as (
   select report_date, sensor_id, hour as peak_hour, vehicles_hour, round(avg_speed_hour, 2) as avg_speed_at_peak,
@@ -33,7 +40,7 @@ peak as (
                                      order by vehicles_hour desc, hour) as rk from hourly) where rk = 1),
 vol as (
   select sensor_id, cast(hour(window_start) as integer) as hour_of_day,
-         cast(sum(total_vehicles) as bigint) as total_volume, avg(avg_speed_window) as avg_speed,
+         cast(sum(total_vehicles) as bigint) as total_volume, avg(avg_speed_window::DECIMAL(38,18)) as avg_speed,
          count(*) as sample_count
   from day group by 1, 2),
 dim(sensor_id, lat, lon, name) as (values
@@ -95,12 +102,12 @@ select hour_of_day, cast(sum(total_volume) as bigint) as total_volume,
        sum(total_volume) between 200 and 300 as in_peak_band from vol group by 1
 """,
     "junction_volume_totals": """
-select sensor_id, cast(sum(total_volume) as bigint) as total_volume, round(avg(avg_speed), 9) as avg_speed
+select sensor_id, cast(sum(total_volume) as bigint) as total_volume, round(avg(avg_speed::DECIMAL(38,18)), 9) as avg_speed
 from vol group by 1
 """,
     "daily_summary": """
 select cast(sum(total_vehicles) as bigint) as total_vehicles,
-       round(avg(congestion_index), 9) as avg_congestion_index, count(*) as window_count from day
+       round(avg(congestion_index::DECIMAL(38,18)), 9) as avg_congestion_index, count(*) as window_count from day
 """,
     "busiest_junction": """
 select sensor_id, vehicles_hour, peak_hour from peak where report_date = date '2024-01-10'
@@ -123,9 +130,9 @@ select window_start, sensor_id, total_vehicles, round(avg_speed_window, 9) as av
 from day
 """,
     "kpi_summary": """
-select cast(sum(total_vehicles) as bigint) as total_vehicles, round(avg(avg_speed_window), 9) as avg_speed,
+select cast(sum(total_vehicles) as bigint) as total_vehicles, round(avg(avg_speed_window::DECIMAL(38,18)), 9) as avg_speed,
        count(*) filter (where status = 'Critical') as critical_count,
-       round(avg(congestion_index), 9) as congestion_index from day
+       round(avg(congestion_index::DECIMAL(38,18)), 9) as congestion_index from day
 """,
     "junction_map": """
 select window_start, d.sensor_id, lat, lon, name, split_part(name, ' ', -2) as area, total_vehicles as vehicles,
@@ -155,9 +162,9 @@ last24 as (
   select *, case when avg_speed_window < 15 then 'Critical' when avg_speed_window < 25 then 'Warning'
                  when avg_speed_window is not null then 'Normal' end as status
   from agg where window_start >= timestamp '2024-01-09 12:00:00' and window_start < timestamp '2024-01-10 12:00:00')
-select cast(sum(total_vehicles) as bigint) as total_vehicles, round(avg(avg_speed_window), 9) as avg_speed,
+select cast(sum(total_vehicles) as bigint) as total_vehicles, round(avg(avg_speed_window::DECIMAL(38,18)), 9) as avg_speed,
        count(*) filter (where status = 'Critical') as critical_count,
-       round(avg(congestion_index), 9) as congestion_index from last24
+       round(avg(congestion_index::DECIMAL(38,18)), 9) as congestion_index from last24
 """
 
 
