@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadflow import operators as ops
-from roadflow.session import prefer_rocksdb_state, scratch_dir, use_utc
+from roadflow.session import (
+    default_parallelism,
+    prefer_rocksdb_state,
+    scratch_dir,
+    shuffle_partitions,
+    use_utc,
+)
 from roadflow.sources import (
     decode_readings,
     encode_readings,
@@ -85,8 +91,9 @@ def _stream_to_table(spark: SparkSession, sf_dir: str, name: str, build) -> Data
     prefer_rocksdb_state(spark)
     out = scratch_dir(spark, name)
     readings = read_readings_stream(spark, "events", path=sf_dir, path_glob="events.parquet")
-    q = write_stream_parquet(build(readings), os.path.join(out, "table"),
-                             os.path.join(out, "checkpoint"), trigger=AVAILABLE_NOW)
+    with shuffle_partitions(spark, default_parallelism(spark)):
+        q = write_stream_parquet(build(readings), os.path.join(out, "table"),
+                                 os.path.join(out, "checkpoint"), trigger=AVAILABLE_NOW)
     run_to_completion([q])
     return spark.read.parquet(os.path.join(out, "table"))
 
@@ -124,7 +131,8 @@ def stored_window_aggs(spark: SparkSession, sf_dir: str) -> str:
         cfg = StreamConfig(checkpoint_dir=os.path.join(base, "checkpoint"),
                            agg_paths=[os.path.join(base, "agg_5min")], source="events",
                            source_path=sf_dir, source_glob="events.parquet",
-                           agg_trigger=AVAILABLE_NOW)
+                           agg_trigger=AVAILABLE_NOW,
+                           state_partitions=default_parallelism(spark))
         run_to_completion(run_streaming(spark, cfg))
         _STORED[key] = cfg.agg_paths[0]
     return _STORED[key]

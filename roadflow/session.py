@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +63,32 @@ def prefer_rocksdb_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Start streaming queries with ``n`` state partitions, leaving the session as it was.
+
+    A stateful query fixes its partition count from ``spark.sql.shuffle.partitions``
+    when its checkpoint is created (later runs ignore the setting); the streaming
+    engine clones the session at ``start()``, so the value only has to hold
+    while the query starts.
+    """
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def default_parallelism(spark: SparkSession) -> int | None:
+    context = _context(spark)
+    return context.defaultParallelism if context is not None else None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names; a private one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

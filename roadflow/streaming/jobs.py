@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from roadflow import fixed
 from roadflow.operators.alerts import detect_alerts
 from roadflow.operators.windows import aggregate_windows
-from roadflow.session import prefer_rocksdb_state
+from roadflow.session import prefer_rocksdb_state, shuffle_partitions
 from roadflow.sources.readings import read_readings_stream
 from roadflow.sources.tables import WINDOW_DATE
 from roadflow.streaming.sinks import (
@@ -56,6 +56,8 @@ class StreamConfig:
     console: bool = False
     console_trigger: str | None = "30 seconds"
     partition_aggs_by_date: bool = True
+    # State partitions of a new checkpoint (None: the session's shuffle partitions).
+    state_partitions: int | None = None
 
 
 def stored_window_aggs(aggs: DataFrame) -> DataFrame:
@@ -80,6 +82,11 @@ def run_streaming(spark: SparkSession, cfg: StreamConfig) -> list[StreamingQuery
     alerts = detect_alerts(readings, cfg.alert_below)
     parts = [WINDOW_DATE] if cfg.partition_aggs_by_date else None
 
+    with shuffle_partitions(spark, cfg.state_partitions):
+        return _start_all(spark, cfg, stored, aggs, alerts, parts)
+
+
+def _start_all(spark, cfg, stored, aggs, alerts, parts) -> list[StreamingQuery]:
     queries: list[StreamingQuery] = []
     for i, path in enumerate(cfg.agg_paths):
         queries.append(write_stream_parquet(
