@@ -27,7 +27,12 @@ class DailyOutputs:
     interventions: DataFrame
 
 
-def run_daily(spark: SparkSession, run_date: dt.date, in_path: str, out_path: str,
+def yesterday_utc() -> dt.date:
+    """The day a scheduled run reports on: UTC today minus one day."""
+    return dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
+
+
+def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_path: str,
               sensors: list[str] | None = None, write: bool = True) -> DailyOutputs:
     """Reports for one UTC day from the stored aggregate table.
 
@@ -41,6 +46,7 @@ def run_daily(spark: SparkSession, run_date: dt.date, in_path: str, out_path: st
     Run it at least 15 minutes after midnight UTC: the last windows of the day
     are written by the stream only once the watermark passes them.
     """
+    run_date = run_date or yesterday_utc()
     use_utc(spark)
     checkpoint_root(spark)
     day = read_window_aggs(spark, in_path, run_date)

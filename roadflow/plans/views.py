@@ -46,11 +46,12 @@ def live_view(spark: SparkSession, agg_path: str, as_of: dt.datetime | None = No
     use_utc(spark)
     span = _span(time_range)
     if span is None:
-        aggs = read_window_aggs(spark, agg_path)
+        aggs = read_window_aggs(spark, agg_path, missing_ok=True)
     else:
         as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         first = (as_of - span).date()
-        aggs = read_window_aggs(spark, agg_path, first, (as_of.date() - first).days + 1)
+        aggs = read_window_aggs(spark, agg_path, first, (as_of.date() - first).days + 1,
+                                missing_ok=True)
         aggs = ops.filter_time_range(aggs, "window_start", time_range, as_of)
     if junctions is not None:
         aggs = ops.filter_junctions(aggs, junctions)

@@ -20,18 +20,21 @@ WINDOW_DATE = "window_date"
 
 
 def read_window_aggs(spark: SparkSession, path: str, run_date: dt.date | None = None,
-                     days: int = 1) -> DataFrame:
+                     days: int = 1, missing_ok: bool = False) -> DataFrame:
     """The stored 5-minute aggregate table, optionally one UTC day ``[d, d+days)``.
 
     Reads through Spark, so a streaming sink's commit log decides which files
     count. The day bound is applied twice: on the ``window_date`` partition
     column when the table has it (partition pruning) and on ``window_start``
     (Parquet row-group skipping via PushedFilters). A missing table is an error
-    naming the path; an empty day is an empty frame.
+    naming the path (an empty frame with ``missing_ok``, for live views that
+    start before the stream has written); an empty day is an empty frame.
     """
     try:
         df = spark.read.parquet(path)
     except AnalysisException as exc:
+        if missing_ok:
+            return spark.createDataFrame([], WINDOW_AGG)
         raise FileNotFoundError(f"window aggregate table not found: {path}") from exc
     if run_date is not None:
         start, end = day_bounds(run_date, days)

@@ -1,6 +1,12 @@
 """Structured Streaming sinks and the streaming job."""
 
-from roadflow.streaming.jobs import StreamConfig, mirror_stream, run_streaming, run_to_completion
+from roadflow.streaming.jobs import (
+    StreamConfig,
+    await_any_termination,
+    mirror_stream,
+    run_streaming,
+    run_to_completion,
+)
 from roadflow.streaming.sinks import (
     write_stream_console,
     write_stream_kafka,
@@ -8,6 +14,6 @@ from roadflow.streaming.sinks import (
 )
 
 __all__ = [
-    "StreamConfig", "mirror_stream", "run_streaming", "run_to_completion", "write_stream_console",
+    "StreamConfig", "await_any_termination", "mirror_stream", "run_streaming", "run_to_completion", "write_stream_console",
     "write_stream_kafka", "write_stream_parquet",
 ]

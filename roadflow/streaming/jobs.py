@@ -128,6 +128,24 @@ def mirror_stream(spark: SparkSession, source_path: str, target_path: str, check
     return write_stream_parquet(rows, target_path, checkpoint, trigger, partition_by=partition_by)
 
 
+def await_any_termination(spark: SparkSession, queries: list[StreamingQuery],
+                          timeout_s: float | None = None) -> None:
+    """Block until any query ends (as the reference's job does); if one failed,
+    stop the others and re-raise, so a supervisor can restart the whole job
+    from its checkpoints."""
+    if timeout_s:
+        spark.streams.awaitAnyTermination(timeout_s)
+    else:
+        spark.streams.awaitAnyTermination()
+    failed = [q for q in queries if not q.isActive and q.exception() is not None]
+    if failed:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        raise RuntimeError(f"streaming query {failed[0].name or failed[0].id} failed") \
+            from failed[0].exception()
+
+
 def run_to_completion(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait for ``availableNow`` queries; re-raise the first failure."""
     for q in queries:

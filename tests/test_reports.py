@@ -170,3 +170,18 @@ def test_rollup_outputs_equal_direct_operators(spark, stored_aggs):
     assert sorted(ops.volume_from_rollup(rollup).collect()) == \
         sorted(ops.volume_by_hour(day, ordered=False).collect())
     assert ops.summary_from_rollup(rollup).collect() == ops.daily_summary(day).collect()
+
+
+def test_cli_daily_job(spark, stored_aggs, tmp_path):
+    from roadflow import cli
+
+    out = str(tmp_path / "cli")
+    cli.main(["daily", "--in", stored_aggs, "--out", out, "--run-date", "2024-01-10"])
+    assert spark.read.parquet(os.path.join(out, "daily_peak_hour")).count() == 5
+
+
+def test_live_view_before_first_write_is_empty(spark, tmp_path):
+    from roadflow.plans import live_view
+
+    lv = live_view(spark, str(tmp_path / "not_yet"), time_range="All Time")
+    assert lv.status.count() == 0 and lv.kpis.first().critical_count == 0

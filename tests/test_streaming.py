@@ -135,3 +135,18 @@ def test_mirror_copies_committed_output(spark, tmp_path):
         assert sorted(left.collect()) == sorted(right.select(*left.columns).collect())
     assert os.path.isdir(os.path.join(cfg.agg_mirrors[0], "window_date=2026-02-01"))
     assert spark.read.parquet(agg).count() == 2
+
+
+def test_await_any_termination_returns_when_a_query_ends(spark, tmp_path):
+    from roadflow.streaming import await_any_termination
+
+    src = str(tmp_path / "in")
+    os.makedirs(src)
+    _drop(src, "f0.json", [_line("10:01:00", 3, 5.0)])
+    cfg = StreamConfig(checkpoint_dir=str(tmp_path / "ckpt"), alert_paths=[str(tmp_path / "a")],
+                       source="text", source_path=src, alert_trigger="availableNow")
+    spark.streams.resetTerminated()
+    queries = run_streaming(spark, cfg)
+    await_any_termination(spark, queries, timeout_s=120)
+    assert not queries[0].isActive
+    spark.streams.resetTerminated()
