@@ -84,12 +84,17 @@ def read_readings_stream(spark: SparkSession, source: str = "kafka", *,
                          fail_on_data_loss: bool = False,
                          path_glob: str | None = None,
                          max_files_per_trigger: int | None = None,
-                         watermark: str | None = fixed.WATERMARK_DELAY) -> DataFrame:
+                         watermark: str | None = fixed.WATERMARK_DELAY,
+                         options: dict[str, str] | None = None) -> DataFrame:
     """Streaming readings with an event-time watermark.
 
     ``kafka``  : one topic, JSON ``value`` (needs the Kafka connector on the classpath).
     ``text``   : a directory of newline-delimited JSON payloads.
     ``events`` : a directory holding the ``events`` Parquet table (F0 mapping).
+
+    ``options`` go to the source as they are, e.g. ``maxOffsetsPerTrigger`` /
+    ``minPartitions`` for Kafka: bounded micro-batches keep a backlog from
+    turning into one huge batch after an outage.
     """
     if source == "kafka":
         raw = (spark.readStream.format("kafka")
@@ -97,12 +102,13 @@ def read_readings_stream(spark: SparkSession, source: str = "kafka", *,
                .option("subscribe", topic)
                .option("startingOffsets", starting_offsets)
                .option("failOnDataLoss", str(fail_on_data_loss).lower())
+               .options(**(options or {}))
                .load())
         readings = decode_readings(raw)
     elif source in ("text", "events"):
         if path is None:
             raise ValueError(f"source={source!r} needs a directory path")
-        reader = spark.readStream
+        reader = spark.readStream.options(**(options or {}))
         if path_glob:
             reader = reader.option("pathGlobFilter", path_glob)
         if max_files_per_trigger:

@@ -46,6 +46,7 @@ class StreamConfig:
     bootstrap_servers: str = "kafka:9092"
     starting_offsets: str = "latest"
     max_files_per_trigger: int | None = None
+    source_options: dict[str, str] = field(default_factory=dict)
     window: str = fixed.WINDOW_DURATION
     watermark: str = fixed.WATERMARK_DELAY
     alert_below: float = fixed.ALERT_SPEED_BELOW
@@ -58,6 +59,10 @@ class StreamConfig:
     partition_aggs_by_date: bool = True
     # State partitions of a new checkpoint (None: the session's shuffle partitions).
     state_partitions: int | None = None
+    # Files per micro-batch of the aggregate sink (None: one per state partition
+    # and date). A small number shuffles only the emitted rows and keeps the
+    # table from filling with tiny files.
+    sink_files: int | None = None
 
 
 def stored_window_aggs(aggs: DataFrame) -> DataFrame:
@@ -76,9 +81,11 @@ def run_streaming(spark: SparkSession, cfg: StreamConfig) -> list[StreamingQuery
         spark, cfg.source, path=cfg.source_path, topic=cfg.topic,
         bootstrap_servers=cfg.bootstrap_servers, starting_offsets=cfg.starting_offsets,
         path_glob=cfg.source_glob, max_files_per_trigger=cfg.max_files_per_trigger,
-        watermark=cfg.watermark)
+        watermark=cfg.watermark, options=cfg.source_options)
     aggs = aggregate_windows(readings, cfg.window)
     stored = stored_window_aggs(aggs) if cfg.partition_aggs_by_date else aggs
+    if cfg.sink_files:
+        stored = stored.repartition(cfg.sink_files)
     alerts = detect_alerts(readings, cfg.alert_below)
     parts = [WINDOW_DATE] if cfg.partition_aggs_by_date else None
 

@@ -109,12 +109,15 @@ def test_run_streaming_writes_date_partitioned_aggregates(spark, tmp_path):
     _drop(src, "f0.json", [_line("10:01:00", 3), _line("23:59:00", 4), _line("23:59:30", 1)])
     agg_out = str(tmp_path / "agg")
     cfg = StreamConfig(checkpoint_dir=str(tmp_path / "ckpt"), agg_paths=[agg_out], source="text",
-                       source_path=src, agg_trigger="availableNow")
+                       source_path=src, agg_trigger="availableNow", sink_files=1,
+                       source_options={"maxFilesPerTrigger": "1"})
     run_to_completion(run_streaming(spark, cfg))
     assert os.path.isdir(os.path.join(agg_out, "window_date=2026-02-01"))
     rows = spark.read.parquet(agg_out).collect()
     # watermark = 23:59:30 - 10 min: the 10:00 window is out, 23:55 still open
     assert [(r.window_start, r.total_vehicles) for r in rows] == [(_ts("10:00"), 3)]
+    day = os.path.join(agg_out, "window_date=2026-02-01")
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) == 1
 
 
 def test_mirror_copies_committed_output(spark, tmp_path):
