@@ -4,6 +4,7 @@ from roadflow.operators.alerts import detect_alerts, encode_alerts, status_alert
 from roadflow.operators.daily import (
     busiest_junction,
     city_hourly_volume,
+    daily_peaks,
     daily_summary,
     hourly_from_rollup,
     hourly_rollup,
@@ -29,7 +30,7 @@ from roadflow.operators.windows import aggregate_windows
 
 __all__ = [
     "aggregate_windows", "detect_alerts", "encode_alerts", "status_alerts",
-    "busiest_junction", "city_hourly_volume", "daily_summary", "hourly_from_rollup",
+    "busiest_junction", "city_hourly_volume", "daily_peaks", "daily_summary", "hourly_from_rollup",
     "hourly_rollup", "hourly_volumes", "summary_from_rollup", "volume_from_rollup",
     "intervention_report", "junction_volume_totals", "peak_hour_range", "peak_hours",
     "volume_by_hour", "volume_heatmap", "volume_pivot", "filter_junctions",

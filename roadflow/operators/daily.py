@@ -66,12 +66,28 @@ def hourly_volumes(aggs: DataFrame) -> DataFrame:
     """Per (sensor, UTC hour): summed vehicles and the *unweighted* mean of the
     window means (AGG-2; kept unweighted on purpose). ``report_date`` is the
     hour's date, so several days can be processed in one pass."""
+    return _hourly(aggs.withColumn("report_date", F.to_date("window_start")))
+
+
+def _hourly(dated: DataFrame) -> DataFrame:
     hour = F.date_trunc("hour", F.col("window_start")).alias("hour")
-    hourly = aggs.groupBy("sensor_id", hour).agg(
+    return dated.groupBy("report_date", "sensor_id", hour).agg(
         F.sum("total_vehicles").alias("vehicles_hour"),
         exact_mean("avg_speed_window").alias("avg_speed_hour"))
-    return hourly.select(F.to_date("hour").alias("report_date"), "sensor_id", "hour",
-                         "vehicles_hour", "avg_speed_hour")
+
+
+def daily_peaks(aggs: DataFrame,
+                intervention_below: float = fixed.INTERVENTION_SPEED_BELOW) -> DataFrame:
+    """Peak hour per (day, sensor) from window aggregates, with one shuffle.
+
+    The window rows are hash-partitioned once by (report_date, sensor_id);
+    the hourly aggregate (keys include both) and the peak window (partitioned
+    by both) then run without further exchanges. A (day, sensor) group holds
+    at most 288 window rows, so the partitioning cannot skew.
+    """
+    dated = aggs.withColumn("report_date", F.to_date("window_start")) \
+        .repartition("report_date", "sensor_id")
+    return peak_hours(_hourly(dated), intervention_below)
 
 
 def peak_hours(hourly: DataFrame,

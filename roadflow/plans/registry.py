@@ -79,7 +79,7 @@ def _day_volume(spark, sf_dir):
 
 
 def _day_peaks(spark, sf_dir, day=REPORT_DATE, days=1):
-    return ops.peak_hours(ops.hourly_volumes(_day_aggs(spark, sf_dir, day, days)))
+    return ops.daily_peaks(_day_aggs(spark, sf_dir, day, days))
 
 
 # --- streaming queries: run to completion, read the sink table back ---------

@@ -42,9 +42,12 @@ def test_events_scan_is_column_pruned(plans, name):
         assert "event_id" not in p and "event_type" not in p
 
 
-def test_peak_uses_partial_group_limit(plans):
-    assert "WindowGroupLimit" in plans["peak_hour_daily"]
-    assert "Partial" in plans["peak_hour_daily"]
+def test_peak_uses_group_limit_and_two_shuffles(plans):
+    p = plans["peak_hour_daily"]
+    assert "WindowGroupLimit" in p
+    # window aggregate + one (report_date, sensor_id) co-partitioning; the hourly
+    # aggregate and the peak window reuse it
+    assert p.count("Exchange hashpartitioning") == 2
 
 
 def test_dimension_join_is_broadcast(plans):
