@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -52,12 +53,15 @@ def junction_dim(spark: SparkSession) -> DataFrame:
 
 def read_report(spark: SparkSession, report_dir: str, kind: str,
                 date: dt.date | str | None = None, required: bool = False) -> DataFrame:
-    """Report CSV for a date (glob ``*<stem>_*<date>*.csv``); any date when None.
+    """Report CSV for a date (glob ``*<stem>_*<date>*.csv``); ``"yesterday"``
+    means UTC yesterday, None any date.
 
     When several entries match, the lexicographically greatest one wins (the
-    reference's "latest file"). No match: an empty frame with the schema, or
-    ``FileNotFoundError`` when ``required``.
+    reference's "latest file"). No match: an empty frame with the schema and a
+    warning, or ``FileNotFoundError`` when ``required``.
     """
+    if date == "yesterday":
+        date = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
     stem = fixed.REPORT_STEMS.get(kind, kind)
     pattern = f"*{stem}_*{date}*.csv" if date is not None else f"*{stem}*.csv"
     schema = REPORT_SCHEMAS.get(kind)
@@ -70,6 +74,8 @@ def read_report(spark: SparkSession, report_dir: str, kind: str,
     except AnalysisException as exc:
         if required:
             raise FileNotFoundError(f"no {stem} report matching {pattern} in {report_dir}") from exc
+        warnings.warn(f"no {stem} report found for {date or 'any date'} in {report_dir}",
+                      stacklevel=2)
         return spark.createDataFrame([], schema if schema is not None else "_empty string") \
             .select(*([] if schema is None else schema.fieldNames()))
     columns = df.columns

@@ -41,11 +41,21 @@ def test_greatest_matching_path_wins(spark, report_dir):
 
 
 def test_unknown_date_is_empty_with_schema(spark, report_dir):
-    df = read_report(spark, report_dir, "peak", "2030-01-01")
+    with pytest.warns(UserWarning, match="no peak_hour_report report found"):
+        df = read_report(spark, report_dir, "peak", "2030-01-01")
     assert df.count() == 0
     assert df.columns[:3] == ["report_date", "sensor_id", "peak_hour"]
 
 
+def test_yesterday_default(spark, tmp_path):
+    yesterday = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
+    d = str(tmp_path / "r")
+    os.makedirs(d)
+    _write(d, f"peak_hour_report_{yesterday}.csv", "JY")
+    _write(d, "peak_hour_report_2000-01-01.csv", "OLD")
+    assert [r.sensor_id for r in read_report(spark, d, "peak", "yesterday").collect()] == ["JY"]
+
+
 def test_required_report_missing_raises(spark, report_dir):
     with pytest.raises(FileNotFoundError):
         read_report(spark, report_dir, "volume", required=True)

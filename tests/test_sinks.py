@@ -40,7 +40,8 @@ def test_console_sink_update_mode(spark, tmp_path):
 
 
 def test_unknown_report_kind_is_empty(spark, tmp_path):
-    df = read_report(spark, str(tmp_path), "no_such_report")
+    with pytest.warns(UserWarning):
+        df = read_report(spark, str(tmp_path), "no_such_report")
     assert df.count() == 0 and df.columns == []
 
 
