@@ -157,6 +157,15 @@ from day where status in ('Critical', 'Warning')
 STATEMENTS["daily_peak_report"] = STATEMENTS["peak_hour_daily"]
 STATEMENTS["daily_volume_report"] = STATEMENTS["volume_by_hour"]
 STATEMENTS["daily_summary_table"] = STATEMENTS["daily_summary"]
+STATEMENTS["peak_hour_all_days"] = """
+select * from peak
+"""
+STATEMENTS["volume_by_hour_all_days"] = """
+select sensor_id, cast(hour(window_start) as integer) as hour_of_day,
+       cast(sum(total_vehicles) as bigint) as total_volume,
+       round(avg(avg_speed_window::DECIMAL(38,18)), 9) as avg_speed, count(*) as sample_count
+from agg group by 1, 2
+"""
 STATEMENTS["live_kpi_last_24h"] = """,
 last24 as (
   select *, case when avg_speed_window < 15 then 'Critical' when avg_speed_window < 25 then 'Warning'

@@ -213,6 +213,18 @@ def q_peak_hour_range(spark, sf_dir):
     return _ntz(ops.peak_hour_range(peaks, RANGE_START, RANGE_END))
 
 
+def q_peak_hour_all_days(spark, sf_dir):
+    """Every day of the whole table at once: report_date is part of every key."""
+    aggs = ops.aggregate_windows(_readings(spark, sf_dir))
+    return _ntz(ops.daily_peaks(aggs))
+
+
+def q_volume_by_hour_all_days(spark, sf_dir):
+    """Hour-of-day profile over the whole table (all days folded)."""
+    vol = ops.volume_by_hour(ops.aggregate_windows(_readings(spark, sf_dir)))
+    return vol.select("sensor_id", "hour_of_day", "total_volume", _r("avg_speed"), "sample_count")
+
+
 def q_volume_by_hour(spark, sf_dir):
     vol = ops.volume_by_hour(_day_aggs(spark, sf_dir))
     return vol.select("sensor_id", "hour_of_day", "total_volume", _r("avg_speed"), "sample_count")
@@ -282,7 +294,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_volumes": q_hourly_volumes,
     "peak_hour_daily": q_peak_hour_daily,
     "peak_hour_range": q_peak_hour_range,
+    "peak_hour_all_days": q_peak_hour_all_days,
     "volume_by_hour": q_volume_by_hour,
+    "volume_by_hour_all_days": q_volume_by_hour_all_days,
     "volume_pivot": q_volume_pivot,
     "volume_heatmap": q_volume_heatmap,
     "city_hourly_volume": q_city_hourly_volume,
