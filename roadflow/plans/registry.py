@@ -132,7 +132,8 @@ def stored_window_aggs(spark: SparkSession, sf_dir: str) -> str:
                            agg_paths=[os.path.join(base, "agg_5min")], source="events",
                            source_path=sf_dir, source_glob="events.parquet",
                            agg_trigger=AVAILABLE_NOW,
-                           state_partitions=default_parallelism(spark))
+                           state_partitions=default_parallelism(spark),
+                           sink_files=default_parallelism(spark))
         run_to_completion(run_streaming(spark, cfg))
         _STORED[key] = cfg.agg_paths[0]
     return _STORED[key]

@@ -59,9 +59,10 @@ class StreamConfig:
     partition_aggs_by_date: bool = True
     # State partitions of a new checkpoint (None: the session's shuffle partitions).
     state_partitions: int | None = None
-    # Files per micro-batch of the aggregate sink (None: one per state partition
-    # and date). A small number shuffles only the emitted rows and keeps the
-    # table from filling with tiny files.
+    # Writer tasks of the aggregate sink (None: every state partition writes its
+    # own file per date). When set, the emitted rows (not the state) are hashed
+    # by date into that many tasks: one file per date and micro-batch. Leave it
+    # unset when a batch emits more rows per date than one task should write.
     sink_files: int | None = None
 
 
@@ -84,10 +85,10 @@ def run_streaming(spark: SparkSession, cfg: StreamConfig) -> list[StreamingQuery
         watermark=cfg.watermark, options=cfg.source_options)
     aggs = aggregate_windows(readings, cfg.window)
     stored = stored_window_aggs(aggs) if cfg.partition_aggs_by_date else aggs
-    if cfg.sink_files:
-        stored = stored.repartition(cfg.sink_files)
     alerts = detect_alerts(readings, cfg.alert_below)
     parts = [WINDOW_DATE] if cfg.partition_aggs_by_date else None
+    if cfg.sink_files:
+        stored = stored.repartition(cfg.sink_files, *(parts or []))
 
     with shuffle_partitions(spark, cfg.state_partitions):
         return _start_all(spark, cfg, stored, aggs, alerts, parts)
