@@ -97,13 +97,20 @@ def read_readings_stream(spark: SparkSession, source: str = "kafka", *,
     turning into one huge batch after an outage.
     """
     if source == "kafka":
-        raw = (spark.readStream.format("kafka")
-               .option("kafka.bootstrap.servers", bootstrap_servers)
-               .option("subscribe", topic)
-               .option("startingOffsets", starting_offsets)
-               .option("failOnDataLoss", str(fail_on_data_loss).lower())
-               .options(**(options or {}))
-               .load())
+        try:
+            raw = (spark.readStream.format("kafka")
+                   .option("kafka.bootstrap.servers", bootstrap_servers)
+                   .option("subscribe", topic)
+                   .option("startingOffsets", starting_offsets)
+                   .option("failOnDataLoss", str(fail_on_data_loss).lower())
+                   .options(**(options or {}))
+                   .load())
+        except Exception as exc:
+            if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+                raise RuntimeError(
+                    "the Kafka source needs the spark-sql-kafka connector on the classpath "
+                    "(spark.jars.packages); use source='text' or 'events' without it") from exc
+            raise
         readings = decode_readings(raw)
     elif source in ("text", "events"):
         if path is None:

@@ -50,3 +50,8 @@ def test_kafka_sink_needs_checkpoint(spark):
     readings = spark.createDataFrame([], READING)
     with pytest.raises(ValueError):
         write_stream_kafka(readings, "critical-alerts")
+
+
+def test_kafka_source_without_connector_is_a_clear_error(spark):
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_readings_stream(spark, "kafka", topic="traffic_raw")
