@@ -6,8 +6,8 @@ Parquet scan, prune columns and keep the work inside whole-stage codegen.
 
 Event times are UTC. Operators that truncate to hours or dates follow the
 session time zone, so they expect ``spark.sql.session.timeZone=UTC``; the job
-entry points (the CLI, ``run_daily``, ``live_view``,
-``report_feed``, the checked queries) set it with ``use_utc``.
+entry points (``run_streaming``, ``run_daily``, ``live_view``,
+``report_feed``, the CLI, the checked queries) set it with ``use_utc``.
 """
 
 from roadflow.session import build_session, scratch_dir, use_utc

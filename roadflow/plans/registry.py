@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadflow import operators as ops
+from roadflow.schemas import EVENTS
 from roadflow.session import (
     default_parallelism,
     prefer_rocksdb_state,
@@ -59,7 +60,7 @@ def _ntz(df: DataFrame) -> DataFrame:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    return spark.read.schema(EVENTS).parquet(os.path.join(sf_dir, "events.parquet"))
 
 
 def _readings(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:

@@ -2,6 +2,17 @@
 
 from pyspark.sql import types as T
 
+# The driver's ``events`` table (TESTDATA.md); declared so that reads skip
+# footer-based schema inference (one extra driver round trip per query).
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
 # JSON payload of one reading, as produced upstream (all fields nullable:
 # from_json never enforces nullable=False).
 READING_JSON = T.StructType([

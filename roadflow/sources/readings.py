@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from roadflow import fixed
 from roadflow.functions import timestamp_literal
-from roadflow.schemas import READING_JSON
+from roadflow.schemas import EVENTS, READING_JSON
 
 # Wire format of the event time: ISO-8601 with microseconds and a numeric
 # offset, e.g. 2026-02-01T10:00:00.123456+00:00.
@@ -123,9 +123,7 @@ def read_readings_stream(spark: SparkSession, source: str = "kafka", *,
         if source == "text":
             readings = decode_readings(reader.text(path))
         else:
-            schema = spark.read.option("pathGlobFilter", path_glob or "*.parquet") \
-                .parquet(path).schema
-            readings = readings_from_events(reader.schema(schema).parquet(path))
+            readings = readings_from_events(reader.schema(EVENTS).parquet(path))
     else:
         raise ValueError(f"unknown reading source {source!r}")
     return with_event_time(readings, watermark) if watermark else readings

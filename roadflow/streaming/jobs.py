@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from roadflow import fixed
 from roadflow.operators.alerts import detect_alerts
 from roadflow.operators.windows import aggregate_windows
-from roadflow.session import prefer_rocksdb_state, shuffle_partitions
+from roadflow.session import prefer_rocksdb_state, shuffle_partitions, use_utc
 from roadflow.sources.readings import read_readings_stream
 from roadflow.sources.tables import WINDOW_DATE
 from roadflow.streaming.sinks import (
@@ -77,6 +77,7 @@ def run_streaming(spark: SparkSession, cfg: StreamConfig) -> list[StreamingQuery
     The source is defined once; Spark runs one query per sink, each with its
     own offsets and checkpoint, and aggregate queries each keep their own state.
     """
+    use_utc(spark)  # window_date partitions are UTC dates
     prefer_rocksdb_state(spark)
     readings = read_readings_stream(
         spark, cfg.source, path=cfg.source_path, topic=cfg.topic,
