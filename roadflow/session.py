@@ -105,6 +105,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create a folder on the table's own file system (local, HDFS, object store)."""
+    if "://" not in path:
+        os.makedirs(path, exist_ok=True)
+        return
+    if _context(spark) is None:  # Spark Connect: no driver-side file system access
+        return
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None under Spark Connect."""
     try:

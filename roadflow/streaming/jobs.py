@@ -8,11 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from roadflow import fixed
 from roadflow.operators.alerts import detect_alerts
 from roadflow.operators.windows import aggregate_windows
-from roadflow.session import prefer_rocksdb_state, shuffle_partitions, use_utc
+from roadflow.schemas import ALERT, WINDOW_AGG
+from roadflow.session import ensure_dir, prefer_rocksdb_state, shuffle_partitions, use_utc
 from roadflow.sources.readings import read_readings_stream
 from roadflow.sources.tables import WINDOW_DATE
 from roadflow.streaming.sinks import (
@@ -104,15 +106,17 @@ def _start_all(spark, cfg, stored, aggs, alerts, parts) -> list[StreamingQuery]:
     for i, path in enumerate(cfg.alert_paths):
         queries.append(write_stream_parquet(
             alerts, path, os.path.join(cfg.checkpoint_dir, f"alerts-{i}"), cfg.alert_trigger))
-    for kind, sources, mirrors, mirror_parts in (
-            ("agg", cfg.agg_paths, cfg.agg_mirrors, parts),
-            ("alerts", cfg.alert_paths, cfg.alert_mirrors, None)):
+    agg_schema = (StructType(WINDOW_AGG.fields + [StructField(WINDOW_DATE, DateType())])
+                  if parts else WINDOW_AGG)
+    for kind, sources, mirrors, mirror_parts, schema in (
+            ("agg", cfg.agg_paths, cfg.agg_mirrors, parts, agg_schema),
+            ("alerts", cfg.alert_paths, cfg.alert_mirrors, None, ALERT)):
         if mirrors and not sources:
             raise ValueError(f"{kind} mirrors need a primary {kind} path")
         for i, path in enumerate(mirrors):
             queries.append(mirror_stream(
                 spark, sources[0], path, os.path.join(cfg.checkpoint_dir, f"{kind}-mirror-{i}"),
-                cfg.mirror_trigger, partition_by=mirror_parts))
+                cfg.mirror_trigger, partition_by=mirror_parts, schema=schema))
     if cfg.kafka_alert_topic:
         queries.append(write_stream_kafka(
             alerts, cfg.kafka_alert_topic, os.path.join(cfg.checkpoint_dir, "alerts-kafka"),
@@ -124,15 +128,21 @@ def _start_all(spark, cfg, stored, aggs, alerts, parts) -> list[StreamingQuery]:
 
 
 def mirror_stream(spark: SparkSession, source_path: str, target_path: str, checkpoint: str,
-                  trigger: str | None = "1 minute",
-                  partition_by: list[str] | None = None) -> StreamingQuery:
+                  trigger: str | None = "1 minute", partition_by: list[str] | None = None,
+                  schema: StructType | None = None) -> StreamingQuery:
     """Copy a streaming Parquet table as it grows (exactly-once on both sides).
 
     Reading a file-sink folder goes through its commit log, so only committed
-    files are copied; the copy's own sink log makes replays idempotent. The
-    schema comes from the table itself, partition columns included.
+    files are copied; the copy's own sink log makes replays idempotent. With a
+    ``schema`` (partition columns included) the copy can start before the
+    source has written anything: the folder is created and the file source
+    picks up the commit log once it appears. Without one it is read from the
+    existing table.
     """
-    schema = spark.read.parquet(source_path).schema
+    if schema is None:
+        schema = spark.read.parquet(source_path).schema
+    else:
+        ensure_dir(spark, source_path)
     rows = spark.readStream.schema(schema).parquet(source_path)
     return write_stream_parquet(rows, target_path, checkpoint, trigger, partition_by=partition_by)
 

@@ -153,3 +153,28 @@ def test_await_any_termination_returns_when_a_query_ends(spark, tmp_path):
     await_any_termination(spark, queries, timeout_s=120)
     assert not queries[0].isActive
     spark.streams.resetTerminated()
+
+
+def test_mirrors_start_before_the_primary_has_written(spark, tmp_path):
+    src = str(tmp_path / "in")
+    os.makedirs(src)
+    _drop(src, "f0.json", [_line("10:01:00", 3, 5.0), _line("10:40:00", 1)])
+    agg, copy = str(tmp_path / "agg"), str(tmp_path / "agg_copy")
+    cfg = StreamConfig(checkpoint_dir=str(tmp_path / "ckpt"), agg_paths=[agg], agg_mirrors=[copy],
+                       source="text", source_path=src, agg_trigger="availableNow",
+                       mirror_trigger="availableNow")
+    run_to_completion(run_streaming(spark, cfg))   # the copy may see nothing yet: no error
+    run_to_completion(run_streaming(spark, cfg))   # now it catches up
+    assert sorted(spark.read.parquet(copy).collect()) == sorted(spark.read.parquet(agg).collect())
+
+
+def test_shared_schemas_are_not_mutated(spark, tmp_path):
+    from roadflow.schemas import WINDOW_AGG
+
+    before = list(WINDOW_AGG.fieldNames())
+    cfg = StreamConfig(checkpoint_dir=str(tmp_path / "ckpt"), agg_paths=[str(tmp_path / "a")],
+                       agg_mirrors=[str(tmp_path / "b")], source="text",
+                       source_path=str(tmp_path), agg_trigger="availableNow",
+                       mirror_trigger="availableNow")
+    run_to_completion(run_streaming(spark, cfg))
+    assert WINDOW_AGG.fieldNames() == before
