@@ -136,8 +136,12 @@ def test_run_daily_other_day_keeps_first(spark, stored_aggs, tmp_path):
 
 
 def test_empty_day_gives_empty_reports(spark, stored_aggs, tmp_path):
-    res = run_daily(spark, dt.date(2030, 1, 1), stored_aggs, str(tmp_path / "d3"), write=False)
+    out = str(tmp_path / "d3")
+    res = run_daily(spark, dt.date(2030, 1, 1), stored_aggs, out)
     assert res.peak.count() == 0
+    assert read_report(spark, os.path.join(out, "reports"), "peak", "2030-01-01").count() == 0
+    stored = spark.read.parquet(os.path.join(out, "daily_summary")).first()
+    assert stored.window_count == 0 and stored.total_vehicles is None
     row = res.summary.first()
     assert row.total_vehicles is None and row.window_count == 0
     assert ops.busiest_junction(res.peak).count() == 0
