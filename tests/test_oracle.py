@@ -43,3 +43,17 @@ def test_entry_smoke(spark):
     assert df.columns == ["report_date", "sensor_id", "peak_hour", "vehicles_hour",
                           "avg_speed_at_peak", "needs_intervention"]
     assert df.count() >= 0
+
+
+def test_fixture_facts_of_the_report_day(spark):
+    """FIXTURES.md, F0: the report day holds an intervention and a tie."""
+    import datetime as dt
+
+    peaks = {r.sensor_id: r for r in QUERIES["peak_hour_daily"](spark, SF_ORACLE).collect()}
+    j2, j5 = peaks["J2"], peaks["J5"]
+    assert (j2.peak_hour, j2.vehicles_hour, j2.avg_speed_at_peak, j2.needs_intervention) == \
+        (dt.datetime(2024, 1, 10, 8), 378, 14.74, "YES")
+    assert (j5.peak_hour, j5.vehicles_hour) == (dt.datetime(2024, 1, 10, 2), 284)  # tie with 09:00
+    hourly = {(r.sensor_id, r.hour.hour): r.vehicles_hour
+              for r in QUERIES["hourly_volumes"](spark, SF_ORACLE).collect()}
+    assert hourly[("J5", 2)] == hourly[("J5", 9)] == 284
