@@ -1,7 +1,7 @@
 """spark-submit entry points for the two jobs.
 
     spark-submit --py-files roadflow.zip roadflow/cli.py stream \
-        --checkpoint-dir ... --agg-path ... --alert-path ...
+        --checkpoint-dir ... --agg-path ... --alert-path ... [--available-now]
     spark-submit --py-files roadflow.zip roadflow/cli.py daily --in ... --out ... [--run-date D]
 
 (or ``python -m roadflow.cli ...`` with a local master). The daily job
@@ -17,7 +17,13 @@ from pyspark.sql import SparkSession
 
 from roadflow.plans.daily import run_daily
 from roadflow.session import use_utc
-from roadflow.streaming.jobs import StreamConfig, await_any_termination, run_streaming
+from roadflow.streaming.jobs import (
+    StreamConfig,
+    await_any_termination,
+    run_streaming,
+    run_to_completion,
+)
+from roadflow.streaming.sinks import AVAILABLE_NOW
 
 
 def _args(argv=None) -> argparse.Namespace:
@@ -27,6 +33,7 @@ def _args(argv=None) -> argparse.Namespace:
     s.add_argument("--checkpoint-dir", required=True)
     s.add_argument("--source", default="kafka", choices=["kafka", "text", "events"])
     s.add_argument("--source-path")
+    s.add_argument("--source-glob", help='file-name filter, e.g. "events.parquet"')
     s.add_argument("--topic", default="traffic_raw")
     s.add_argument("--bootstrap-servers", default="kafka:9092")
     s.add_argument("--agg-path", action="append", default=[])
@@ -36,6 +43,9 @@ def _args(argv=None) -> argparse.Namespace:
     s.add_argument("--kafka-alert-topic")
     s.add_argument("--console", action="store_true")
     s.add_argument("--state-partitions", type=int)
+    s.add_argument("--sink-files", type=int)
+    s.add_argument("--available-now", action="store_true",
+                   help="drain what is there and stop (backfills); default: run until stopped")
     d = sub.add_parser("daily", help="daily reports from the stored aggregates")
     d.add_argument("--in", dest="in_path", required=True)
     d.add_argument("--out", dest="out_path", required=True)
@@ -50,11 +60,18 @@ def main(argv=None) -> None:
     if args.job == "stream":
         cfg = StreamConfig(
             checkpoint_dir=args.checkpoint_dir, source=args.source, source_path=args.source_path,
+            source_glob=args.source_glob,
             topic=args.topic, bootstrap_servers=args.bootstrap_servers,
             agg_paths=args.agg_path, alert_paths=args.alert_path, agg_mirrors=args.agg_mirror,
             alert_mirrors=args.alert_mirror, kafka_alert_topic=args.kafka_alert_topic,
-            console=args.console, state_partitions=args.state_partitions)
-        await_any_termination(spark, run_streaming(spark, cfg))
+            console=args.console, state_partitions=args.state_partitions,
+            sink_files=args.sink_files)
+        if args.available_now:
+            cfg.agg_trigger = cfg.alert_trigger = cfg.mirror_trigger = AVAILABLE_NOW
+            cfg.kafka_trigger = cfg.console_trigger = AVAILABLE_NOW
+            run_to_completion(run_streaming(spark, cfg))
+        else:
+            await_any_termination(spark, run_streaming(spark, cfg))
     else:
         run_daily(spark, args.run_date, args.in_path, args.out_path, sensors=args.sensor)
 

@@ -43,7 +43,7 @@ class StreamConfig:
     mirror_trigger: str | None = "1 minute"
     source: str = "kafka"
     source_path: str | None = None
-    source_glob: str | None = None
+    source_glob: str | None = None  # e.g. "events.parquet" in a folder of several tables
     topic: str = "traffic_raw"
     bootstrap_servers: str = "kafka:9092"
     starting_offsets: str = "latest"

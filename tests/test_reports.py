@@ -199,3 +199,25 @@ def test_live_view_before_first_write_is_empty(spark, tmp_path):
 
     lv = live_view(spark, str(tmp_path / "not_yet"), time_range="All Time")
     assert lv.status.count() == 0 and lv.kpis.first().critical_count == 0
+
+
+def _batch_alert_count(spark):
+    from roadflow.plans.registry import q_congestion_alerts
+
+    return q_congestion_alerts(spark, SF_SMALL).count()
+
+
+def test_cli_stream_backfill_then_daily(spark, tmp_path):
+    from roadflow import cli
+
+    agg, out = str(tmp_path / "agg"), str(tmp_path / "daily")
+    cli.main(["stream", "--checkpoint-dir", str(tmp_path / "ckpt"), "--source", "events",
+              "--source-path", SF_SMALL, "--source-glob", "events.parquet", "--agg-path", agg, "--alert-path", str(tmp_path / "alerts"),
+              "--sink-files", "2", "--available-now"])
+    cli.main(["daily", "--in", agg, "--out", out, "--run-date", "2024-01-10"])
+    got = spark.read.parquet(os.path.join(out, "daily_peak_hour")).drop("report_date")
+    want = q_peak_hour_daily(spark, SF_SMALL).drop("report_date")
+    got = got.withColumn("peak_hour", got.peak_hour.cast("timestamp_ntz"))
+    assert sorted(got.collect()) == sorted(want.collect())
+    alerts = spark.read.parquet(str(tmp_path / "alerts"))
+    assert alerts.count() == _batch_alert_count(spark) and alerts.where("detected_at is null").count() == 0
