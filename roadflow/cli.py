@@ -31,7 +31,7 @@ def _args(argv=None) -> argparse.Namespace:
     sub = p.add_subparsers(dest="job", required=True)
     s = sub.add_parser("stream", help="readings -> 5-minute aggregates and alerts")
     s.add_argument("--checkpoint-dir", required=True)
-    s.add_argument("--source", default="kafka", choices=["kafka", "text", "events"])
+    s.add_argument("--source", default="kafka", choices=["kafka", "text", "parquet", "events"])
     s.add_argument("--source-path")
     s.add_argument("--source-glob", help='file-name filter, e.g. "events.parquet"')
     s.add_argument("--topic", default="traffic_raw")

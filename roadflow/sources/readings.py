@@ -90,6 +90,8 @@ def read_readings_stream(spark: SparkSession, source: str = "kafka", *,
 
     ``kafka``  : one topic, JSON ``value`` (needs the Kafka connector on the classpath).
     ``text``   : a directory of newline-delimited JSON payloads.
+    ``parquet``: a directory of Parquet files with a ``value`` payload column
+                 (e.g. a raw landing copy of the topic); schema from the files.
     ``events`` : a directory holding the ``events`` Parquet table (F0 mapping).
 
     ``options`` go to the source as they are, e.g. ``maxOffsetsPerTrigger`` /
@@ -112,7 +114,7 @@ def read_readings_stream(spark: SparkSession, source: str = "kafka", *,
                     "(spark.jars.packages); use source='text' or 'events' without it") from exc
             raise
         readings = decode_readings(raw)
-    elif source in ("text", "events"):
+    elif source in ("text", "parquet", "events"):
         if path is None:
             raise ValueError(f"source={source!r} needs a directory path")
         reader = spark.readStream.options(**(options or {}))
@@ -122,6 +124,9 @@ def read_readings_stream(spark: SparkSession, source: str = "kafka", *,
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         if source == "text":
             readings = decode_readings(reader.text(path))
+        elif source == "parquet":
+            landed = spark.read.option("pathGlobFilter", path_glob or "*.parquet").parquet(path)
+            readings = decode_readings(reader.schema(landed.schema).parquet(path))
         else:
             readings = readings_from_events(reader.schema(EVENTS).parquet(path))
     else:

@@ -178,3 +178,18 @@ def test_shared_schemas_are_not_mutated(spark, tmp_path):
                        mirror_trigger="availableNow")
     run_to_completion(run_streaming(spark, cfg))
     assert WINDOW_AGG.fieldNames() == before
+
+
+def test_parquet_payload_source(spark, tmp_path):
+    from roadflow.plans.registry import _readings
+    from roadflow.sources import encode_readings
+
+    landed = str(tmp_path / "landed")
+    readings = _readings(spark, "/root/testdata/sf0.001")
+    encode_readings(readings).write.parquet(landed)
+    stream = read_readings_stream(spark, "parquet", path=landed, watermark=None)
+    out = str(tmp_path / "decoded")
+    q = stream.writeStream.format("parquet").option("path", out) \
+        .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    run_to_completion([q])
+    assert sorted(spark.read.parquet(out).collect()) == sorted(readings.collect())
