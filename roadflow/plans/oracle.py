@@ -10,6 +10,11 @@ Means are exact on both sides (decimal sums): DuckDB's parallel
 of 25.275). Engines also round a double just below a half differently (mean
 6.449999999999999 of 0.12 and 12.78: Spark 6.4, DuckDB 6.5). With decimal
 sums both sides hold the exact mean and agree.
+
+Rounding to 2 (or 1) places is HALF_UP on the decimal value, as Spark's
+``round`` does. DuckDB's ``round(double)`` works on the binary value, so an
+exact mean of 16.565 (stored as 16.564999...) gives 16.56 there. The oracle
+therefore rounds ``cast(x as decimal(38, 9))``, which recovers the decimal.
 """
 
 from __future__ import annotations
@@ -34,8 +39,10 @@ hourly as (
          cast(sum(total_vehicles) as bigint) as vehicles_hour, avg(avg_speed_window::DECIMAL(38,18)) as avg_speed_hour
   from agg group by 1, 2, 3),
 peak as (
-  select report_date, sensor_id, hour as peak_hour, vehicles_hour, round(avg_speed_hour, 2) as avg_speed_at_peak,
-         case when round(avg_speed_hour, 2) < 15 then 'YES' else 'NO' end as needs_intervention
+  select report_date, sensor_id, hour as peak_hour, vehicles_hour,
+         cast(round(cast(avg_speed_hour as decimal(38, 9)), 2) as double) as avg_speed_at_peak,
+         case when round(cast(avg_speed_hour as decimal(38, 9)), 2) < 15 then 'YES' else 'NO' end
+           as needs_intervention
   from (select *, row_number() over (partition by report_date, sensor_id
                                      order by vehicles_hour desc, hour) as rk from hourly) where rk = 1),
 vol as (
@@ -142,7 +149,9 @@ from day d join dim on d.sensor_id = dim.sensor_id
     "status_alerts": """
 select window_start as ts, sensor_id as junction, status as severity,
        case when status = 'Critical'
-            then 'Speed critically low at ' || cast(round(avg_speed_window, 1) as varchar) || ' km/h'
+            then 'Speed critically low at '
+                 || cast(cast(round(cast(avg_speed_window as decimal(38, 9)), 1) as double) as varchar)
+                 || ' km/h'
             else 'Moderate congestion detected' end as message,
        total_vehicles as vehicles, round(avg_speed_window, 9) as speed,
        case when status = 'Critical' then 'Immediate police deployment required'
