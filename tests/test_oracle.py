@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from roadflow.plans.check import compare, duckdb_connection
 
-from conftest import SF_ORACLE
+from conftest import SF_ORACLE, SF_SMALL
 
 SQL = entry.oracle_sql()
 QUERIES = entry.queries()
@@ -16,6 +16,11 @@ def con():
     return duckdb_connection(SF_ORACLE)
 
 
+@pytest.fixture(scope="module")
+def con_small():
+    return duckdb_connection(SF_SMALL)
+
+
 def test_every_query_has_sql_except_rows_only():
     assert set(QUERIES) - set(SQL) == {"alerts_json"}
     assert set(SQL) <= set(QUERIES)
@@ -32,6 +37,13 @@ def test_query_matches_oracle(spark, con, name):
     assert len(got) > 0
 
 
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_matches_oracle_small(spark, con_small, name):
+    """sf0.001 has other edge cases (half-way roundings on other days)."""
+    res = compare(QUERIES[name](spark, SF_SMALL).toPandas(), con_small.execute(SQL[name]).df())
+    assert res["ok"], res
+
+
 def test_alerts_json_rows(spark, con):
     got = QUERIES["alerts_json"](spark, SF_ORACLE)
     assert got.columns == ["value"]
