@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadflow import fixed
-from roadflow.functions import alert_message, alert_recommendation, junction_status
+from roadflow.functions import (
+    alert_message,
+    alert_recommendation,
+    junction_status,
+    timestamp_literal,
+)
 from roadflow.operators.live import filter_junctions, filter_time_range
 
 
@@ -25,7 +30,7 @@ def detect_alerts(readings: DataFrame, threshold: float = fixed.ALERT_SPEED_BELO
     elif isinstance(alert_time, Column):
         stamp = alert_time
     else:
-        stamp = F.lit(alert_time).cast("timestamp")
+        stamp = timestamp_literal(alert_time)
     return readings.where(F.col("avg_speed") < threshold).select(
         stamp.alias("alert_time"),
         F.col("event_time").alias("detected_at"),

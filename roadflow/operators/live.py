@@ -16,6 +16,7 @@ from roadflow.functions import (
     exact_mean,
     junction_status as status_expr,
     marker_size,
+    timestamp_literal,
 )
 
 
@@ -39,7 +40,7 @@ def filter_time_range(df: DataFrame, col: str, name: str = "All Time",
     elif isinstance(as_of, Column):
         end = as_of
     else:
-        end = F.lit(as_of).cast("timestamp")
+        end = timestamp_literal(as_of)  # wall clock in the session zone, not the driver's
     start = end - F.expr(f"INTERVAL {span}")
     return df.where((F.col(col) >= start) & (F.col(col) < end))
 

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from roadflow import operators as ops
 from roadflow.functions import (
@@ -154,3 +155,26 @@ def test_status_alert_selectors(spark):
     assert ops.status_alerts(st).count() == 2
     assert [r.junction for r in ops.status_alerts(st, severity="Critical").collect()] == ["J1"]
     assert ops.status_alerts(st, junctions=["J3"]).count() == 0
+
+
+def test_datetime_parameters_ignore_the_driver_zone(spark, monkeypatch):
+    """Naive datetime parameters are wall-clock UTC, whatever the Python process's zone is.
+
+    Checked inside Spark (formatted in the UTC session): collecting timestamps to
+    Python would itself convert them to the process's zone.
+    """
+    import time
+
+    monkeypatch.setenv("TZ", "Asia/Kathmandu")
+    time.tzset()
+    try:
+        readings = spark.sql("select 'J1' as sensor_id, 1 as vehicle_count, 5.0d as avg_speed, "
+                             "timestamp'2026-02-01 10:00:00' as event_time")
+        alert = ops.detect_alerts(readings, alert_time=T0)
+        text = alert.select(F.date_format("alert_time", "yyyy-MM-dd HH:mm:ss").alias("t")).first().t
+        assert text == "2026-02-01 10:00:00"
+        win = spark.sql("select timestamp'2026-02-01 09:30:00' as window_start")
+        assert ops.filter_time_range(win, "window_start", "Last Hour", as_of=T0).count() == 1
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
