@@ -166,6 +166,8 @@ from day where status in ('Critical', 'Warning')
 STATEMENTS["daily_peak_report"] = STATEMENTS["peak_hour_daily"]
 STATEMENTS["daily_volume_report"] = STATEMENTS["volume_by_hour"]
 STATEMENTS["daily_summary_table"] = STATEMENTS["daily_summary"]
+STATEMENTS["report_volume_heatmap"] = STATEMENTS["volume_heatmap"]
+STATEMENTS["report_city_volume"] = STATEMENTS["city_hourly_volume"]
 STATEMENTS["peak_hour_all_days"] = """
 select * from peak
 """

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from roadflow import operators as ops
 from roadflow.plans.daily import run_daily
-from roadflow.plans.views import live_view
+from roadflow.plans.views import live_view, report_feed
 from roadflow.schemas import EVENTS
 from roadflow.session import (
     default_parallelism,
@@ -170,6 +170,17 @@ def q_daily_summary_table(spark, sf_dir):
         .select("total_vehicles", _r("avg_congestion_index"), "window_count")
 
 
+def q_report_volume_heatmap(spark, sf_dir):
+    """JOB-4: the report feed's heatmap, from the volume report the daily job wrote."""
+    feed = report_feed(spark, daily_outputs(spark, sf_dir), REPORT_DATE, junctions=HEATMAP_JUNCTIONS)
+    return feed.heatmap
+
+
+def q_report_city_volume(spark, sf_dir):
+    """JOB-4: city-wide hourly volume with the peak band, from the written volume report."""
+    return report_feed(spark, daily_outputs(spark, sf_dir), REPORT_DATE).city
+
+
 def q_live_kpi_last_24h(spark, sf_dir):
     view = live_view(spark, stored_window_aggs(spark, sf_dir), as_of=LIVE_AS_OF,
                      time_range="Last 24 Hours")
@@ -312,4 +323,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_volume_report": q_daily_volume_report,
     "daily_summary_table": q_daily_summary_table,
     "live_kpi_last_24h": q_live_kpi_last_24h,
+    "report_volume_heatmap": q_report_volume_heatmap,
+    "report_city_volume": q_report_city_volume,
 }
