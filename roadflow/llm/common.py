@@ -143,6 +143,6 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray, n_rows: int, n: int) ->
         keep[first[short]] = True
         for r in short.tolist():
             part = words[first[r]:first[r + 1]]
-            total[first[r]] = (part * mult[:len(part)]).sum(dtype=np.uint64) + mult[n] * _U64(len(part))
+            total[first[r]] = np.append(part * mult[:len(part)], mult[n:] * _U64(len(part))).sum(dtype=np.uint64)
     sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
     return mix64(total[keep]), np.concatenate(([0], np.cumsum(sizes)))

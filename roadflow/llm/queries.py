@@ -26,9 +26,30 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "size", "source_size", "target", "taken", "epochs", "weight")
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), n=3, threshold=0.85)
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix import doc_key, repeats
+
+    docs = _table(spark, sf_dir, "documents")
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.select("doc_id", doc_key().alias("key"), F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("sha"))
+    lost = repeats(docs).select("doc", F.octet_length("kept").cast("long").alias("n_kept"), F.size("spans").cast("long").alias("spans"),
+                                F.sha2("kept", 256).alias("kept_sha")).dropDuplicates(["doc"])
+    out = rows.join(lost, rows["key"] == lost["doc"], "left")
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.coalesce("n_kept", "n_bytes")).alias("n_removed"),
+                      F.coalesce("spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha", "sha").alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_source_mixing": op4_source_mixing,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
