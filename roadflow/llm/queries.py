@@ -19,6 +19,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, score
+
+    docs = _table(spark, sf_dir, "documents")
+    out = score(docs, fit(docs, _table(spark, sf_dir, "labels")), "doc_id")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -45,11 +53,21 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha", "sha").alias("kept_sha256"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import label_spans, learn
+
+    docs = _table(spark, sf_dir, "documents")
+    out = label_spans(docs, learn(docs), "doc_id")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
