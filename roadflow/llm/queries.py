@@ -34,12 +34,31 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "size", "source_size", "target", "taken", "epochs", "weight")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_all, write_archive
+
+    out = read_all(write_archive(_table(spark, sf_dir, "pages"), least_bytes=0))
+    return out.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vecdedup import linked
+
+    return linked(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents"), n=3, threshold=0.85)
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix import doc_key, repeats
 
@@ -65,7 +84,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
+    "op5_warc": op5_warc,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
 }
