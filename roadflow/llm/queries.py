@@ -19,6 +19,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import notices, scan
+
+    return scan(_table(spark, sf_dir, "documents"), notices(spark))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import fit, score
 
@@ -82,6 +88,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_license_scan": op2_license_scan,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
     "op5_warc": op5_warc,
