@@ -53,7 +53,8 @@ def band_probability(similarity: float, rows: int = ROWS, bands: int = BANDS) ->
 def words(text: Column) -> Column:
     """A-Z lowered; other letters stay."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), upper, lower), SPLIT), lambda w: w != "")
+    inner = F.btrim(F.translate(F.coalesce(text, F.lit("")), upper, lower), F.lit(" \t\n\v\f\r"))
+    return F.when(inner != "", F.split(inner, SPLIT)).otherwise(F.array().cast("array<string>"))
 
 
 def shingles(w: Column, n: int) -> Column:
@@ -63,9 +64,18 @@ def shingles(w: Column, n: int) -> Column:
     return F.when(F.size(w) >= n, many).when(F.size(w) > 0, whole).otherwise(F.array().cast("array<bigint>"))
 
 
+def _once(array: Column, name: str) -> Column:
+    """Computes an array once per row. As a generated column it isn't substituted into later filters and lambdas,
+    which would compute it anew for every element."""
+    return F.explode(F.array(array)).alias(name)
+
+
 def band_keys(part: Column, rows: int, bands: int) -> Column:
     """The band keys of an array of shingle hashes."""
-    low = [F.array_min(F.transform(part, lambda x, k=k: F.xxhash64(x, F.lit(k)))) for k in range(rows * bands)]
+    def lowest(k: int) -> Column:
+        return F.array_min(F.transform(part, lambda x: F.xxhash64(x, F.lit(k))))
+
+    low = [lowest(k) for k in range(rows * bands)]
     return F.array(*[F.xxhash64(F.lit(b), *low[b * rows:(b + 1) * rows]) for b in range(bands)])
 
 
@@ -81,9 +91,8 @@ def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: floa
         return docs.sparkSession.createDataFrame([], "doc_id long, template_id string, containment double, n_windows long, first_word int, last_word int")
     known = materialise(t.select(F.explode("template").alias("h")).distinct(), "shingles")
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("w")).where(F.size("w") > 0)
-    d = d.select("doc_id", F.size("w").alias("n_words"), shingles(F.col("w"), n).alias("sh"))
-    d = _with_hits(d, known)
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _once(words(F.col("text")), "w"))
+    d = materialise(_with_hits(d, known, templates, n), "hits")  # read once per class of windows
     windows = []
     for span in spans:
         stride = max(1, span // 4) if span >= 32 else 1
@@ -106,18 +115,29 @@ def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: floa
         F.max("containment").alias("containment"), F.count("*").alias("n_windows"), F.min("start").alias("first_word"), F.max("end").alias("last_word"))
 
 
-def _with_hits(d: DataFrame, known: DataFrame) -> DataFrame:
-    """``hits``: positions of shingles that some template has; texts without any can't match and go.
+def _with_hits(d: DataFrame, known: DataFrame, templates: DataFrame, n: int) -> DataFrame:
+    """doc_id, n_words, sh, ``hits``: positions of shingles that some template has; texts without any can't
+    match and go. From (doc_id, w).
 
-    The templates' shingles are a parameter's, so they are a literal set in the plan up to ``LITERAL``
-    of them; a larger collection is joined position by position."""
+    The templates are a parameter: up to ``LITERAL`` shingles they are literal sets in the plan, and only
+    positions whose first two words begin a template shingle are hashed. Larger collections are joined position by position."""
     listed = [r[0] for r in known.limit(LITERAL + 1).collect()]
-    if len(listed) <= LITERAL:
-        at = F.filter(F.transform("sh", lambda x, i: F.when(x.isin(listed), i)), lambda i: i.isNotNull())
-        return d.withColumn("hits", at).where(F.size("hits") > 0)
-    keyed = d.withColumn("row", F.xxhash64("doc_id", "sh"))
-    hits = keyed.select("row", F.posexplode("sh").alias("at", "h")).join(known, "h").groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("hits"))
-    return keyed.join(hits, "row").drop("row")
+    if len(listed) > LITERAL or n < 2:
+        keyed = d.select("doc_id", F.size("w").alias("n_words"), _once(shingles(F.col("w"), n), "sh")).withColumn("row", F.xxhash64("doc_id", "sh"))
+        hits = keyed.select("row", F.posexplode("sh").alias("at", "h")).join(known, "h").groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("hits"))
+        return keyed.join(hits, "row").drop("row")
+    begins = templates.select(words(F.col("text")).alias("w")).where(F.size("w") >= n)
+    pairs = begins.select(F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.struct(F.col("w")[i].alias("x"), F.col("w")[i + 1].alias("y")))).alias("p"))
+    pairs = pairs.select("p.*").distinct().limit(LITERAL).collect()  # at most as many as shingles
+    first, second = sorted({r["x"] for r in pairs}) or [""], sorted({r["y"] for r in pairs}) or [""]
+    w = F.col("w")
+    opens = F.filter(F.transform(w, lambda x, i: F.when(x.isin(first), i)), lambda i: i.isNotNull())
+    opens = F.filter(opens, lambda i: F.get(w, i + 1).isin(second) & (i + n <= F.size(w)))
+    short = F.when((F.size(w) > 0) & (F.size(w) < n), F.array(F.lit(0))).otherwise(opens)
+    d = d.select("doc_id", "w", _once(short, "opens")).where(F.size("opens") > 0)
+    d = d.select("doc_id", "w", _once(F.filter("opens", lambda i: F.when(F.size(w) >= n, F.xxhash64(*[F.get(w, i + k) for k in range(n)])).otherwise(
+        F.xxhash64(F.array_join(w, " "), F.lit(n))).isin(listed)), "hits")).where(F.size("hits") > 0)
+    return d.select("doc_id", F.size("w").alias("n_words"), "hits", _once(shingles(w, n), "sh"))
 
 
 LITERAL = 2000
