@@ -7,9 +7,9 @@
 3. Signature batches of a pair are compared one after the other; a pair is dropped as soon as the posterior
    probability of similarity >= threshold (uniform prior) is below ``miss``.
 4. Survivors are confirmed on their full shingle sets.
-5. Buckets that hold more than one component so far are gone through again, in blocks of at most
-   ``BLOCK`` members: all pairs of members of different components are compared in the task, and
-   only survivors of step 3 leave it.
+5. Buckets that share members form groups. Groups that hold more than one component so far are gone through
+   again, in blocks of about ``BLOCK`` members: pairs of different components that share a band are tested as in 3 and
+   confirmed in the task, and only links that join two components leave it.
 
 Defined results: null, empty and wordless texts have an empty set and are alone; with fewer words than a
 shingle the whole sequence is the one shingle; null ids are the id -1 - (hash of the text), so they
@@ -58,6 +58,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def _ident():
+    return F.coalesce(F.col("doc_id").cast("long"), -1 - F.abs(F.xxhash64("text") % (1 << 60)))
+
+
 def sketch(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, n_shingles, class (hash of the word sequence), sig, one row per row of docs."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,8 +74,7 @@ def sketch(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
                                              names=["doc_id", "n_shingles", "class", "sig"])
 
-    ident = F.coalesce(F.col("doc_id").cast("long"), -1 - F.abs(F.xxhash64("text") % (1 << 60)))
-    return docs.select(ident.alias("doc_id"), "text").mapInArrow(rows, "doc_id long, n_shingles long, class binary, sig binary")
+    return docs.select(_ident().alias("doc_id"), "text").mapInArrow(rows, "doc_id long, n_shingles long, class binary, sig binary")
 
 
 def band_keys(reps: DataFrame) -> DataFrame:
@@ -137,8 +140,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, thres
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "class", "shingles"])
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ident = F.coalesce(F.col("doc_id").cast("long"), -1 - F.abs(F.xxhash64("text") % (1 << 60)))
-    texts = docs.select(ident.alias("id"), "text").join(needed, "id", "left_semi")
+    texts = docs.select(_ident().alias("id"), "text").join(needed, "id", "left_semi")
     sets = texts.mapInArrow(rows, "id long, class binary, shingles array<long>").join(
         classes.select(F.col("id").alias("rep"), F.col("class").alias("rep_class")),
         (F.col("id") == F.col("rep")) & (F.col("class") == F.col("rep_class")), "left_semi").dropDuplicates(["id"])
@@ -152,36 +154,97 @@ def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, thres
         F.col("common") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
 
 
-def cross_pairs(mixed: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of different components in one bucket that survive the sequential test. ``mixed``: key, n (bucket
-    size), id, component, sig. A bucket of over BLOCK members is split into blocks, and each pair of
-    blocks is a group of its own."""
-    n = F.ceil(F.col("n") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("id"), n).cast("int")
-    placed = mixed.withColumn("blocks", n).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "sig")
+def cross_links(mixed: DataFrame, docs: DataFrame, classes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(a, b): a spanning forest of the confirmed links between different components of one group. ``mixed``: group, size,
+    id, component. A group of over BLOCK members is split into blocks; each pair of blocks is a task's work:
+    pairs that share a band, then the sequential test, then exact intersections. No pair leaves the task unless it joins
+    two components."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = list(text_sets(batch.column(1), n))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for _, _, k in got], pa.binary()), pa.array([signature(x).tobytes() for _, x, _ in got], pa.binary()),
+                                              pa.array([x.tobytes() for _, x, _ in got], pa.binary())], names=["id", "class", "sig", "shingles"])
+
+    texts = docs.select(_ident().alias("id"), "text").join(mixed.select("id"), "id", "left_semi")
+    found = texts.mapInArrow(sets, "id long, class binary, sig binary, shingles binary")
+    reps = classes.select("id", "class")
+    found = materialise(found.join(reps, ["id", "class"], "left_semi").dropDuplicates(["id"]).select("id", "sig", "shingles"), "sets")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = mixed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.join(found, "id").select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "sig", "shingles")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fewest = fewest_matches(threshold)
-        for table in whole_groups(batches, ("key", "i", "j")):
-            bounds, t = table
-            ids, comps, blocks = (t.column(c).to_numpy() for c in ("id", "component", "block"))
-            lo, hi = t.column("i").to_numpy(), t.column("j").to_numpy()
-            sigs = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-            out_a, out_b = [], []
-            for s, e in zip(bounds[:-1], bounds[1:]):
-                for p in range(s, e - 1):
-                    q = np.arange(p + 1, e)
-                    q = q[(comps[q] != comps[p]) & ((lo[p] == hi[p]) | (blocks[q] != blocks[p]))]
-                    if len(q):
-                        q = q[survives(np.broadcast_to(sigs[p], (len(q), HASHES)), sigs[q], fewest)]
-                        out_a.append(np.minimum(ids[q], ids[p]))
-                        out_b.append(np.maximum(ids[q], ids[p]))
-            if out_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a), pa.int64()), pa.array(np.concatenate(out_b), pa.int64())], names=["a", "b"])
-
-    parts = placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    return parts.mapInArrow(rows, "a long, b long").distinct()
+        fewest, percent = fewest_matches(threshold), round(threshold * 100)
+        for bounds, t in whole_groups(batches, ("group", "i", "j")):
+            for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                g = t.slice(s, e - s)
+                a, b = _links(g, fewest, percent)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return placed.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "id").mapInArrow(rows, "a long, b long")
+
+
+def _links(g: pa.Table, fewest: list[int], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, comps, block = (g.column(c).to_numpy() for c in ("id", "component", "block"))
+    i, j = g.column("i")[0].as_py(), g.column("j")[0].as_py()
+    left = np.arange(len(ids)) if i == j else np.flatnonzero(block == i)
+    right = left if i == j else np.flatnonzero(block == j)
+    sigs = np.frombuffer(b"".join(g.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
+    bands = [mix64((sigs[:, k * ROWS:(k + 1) * ROWS].astype(np.uint64) * seeds(ROWS, 9000)).sum(axis=1, dtype=np.uint64)) for k in range(BANDS)]
+    met = np.zeros((len(left), len(right)), bool)
+    for key in bands:
+        met |= key[left][:, None] == key[right][None, :]
+    met &= comps[left][:, None] != comps[right][None, :]
+    if i == j:
+        met = np.triu(met, 1)
+    a, b = np.nonzero(met)
+    if not len(a):
+        return a, b
+    ok = survives(sigs[left[a]], sigs[right[b]], fewest)
+    a, b = a[ok], b[ok]
+    sets = [np.frombuffer(x, np.uint64) for x in g.column("shingles").to_pylist()]
+    size = np.array([len(x) for x in sets], np.int64)
+    common = common_counts([sets[k] for k in left], [sets[k] for k in right], a, b)
+    ok = common * 100 >= percent * (size[left[a]] + size[right[b]] - common)
+    a, b = left[a[ok]], right[b[ok]]
+    if not len(a):
+        return a, b
+    # a forest over the components is enough to join them
+    names, at = np.unique(comps, return_inverse=True)
+    parent, keep = list(range(len(names))), []
+    for k, (x, y) in enumerate(zip(at[a].tolist(), at[b].tolist())):
+        while parent[x] != x:
+            x = parent[x]
+        while parent[y] != y:
+            y = parent[y]
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            keep.append(k)
+    return ids[a[keep]], ids[b[keep]]
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs (left[a], right[b]): one by one if few, else as products of 0/1 matrices over
+    slices of the shingles."""
+    if len(a) < 4 * (len(left) + len(right)):
+        return np.array([len(np.intersect1d(left[x], right[y], assume_unique=True)) for x, y in zip(a.tolist(), b.tolist())], np.int64)
+    use_l, use_r = np.unique(a), np.unique(b)
+    all_l, all_r = np.concatenate([left[k] for k in use_l]), np.concatenate([right[k] for k in use_r])
+    shared = np.intersect1d(all_l, all_r)
+    row_l, row_r = np.repeat(np.arange(len(use_l)), [len(left[k]) for k in use_l]), np.repeat(np.arange(len(use_r)), [len(right[k]) for k in use_r])
+    total = np.zeros((len(use_l), len(use_r)), np.float32)
+    for lo in range(0, len(shared), 4096):
+        part = shared[lo:lo + 4096]
+        m = []
+        for values, row, n in ((all_l, row_l, len(use_l)), (all_r, row_r, len(use_r))):
+            col = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[col] == values
+            x = np.zeros((n, len(part)), np.float32)
+            x[row[hit], col[hit]] = 1
+            m.append(x)
+        total += m[0] @ m[1].T
+    return total[np.searchsorted(use_l, a), np.searchsorted(use_r, b)].astype(np.int64)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[np.ndarray, pa.Table]]:
@@ -219,24 +282,24 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, threshold: float = 0.8) -> D
     sigs = rows.join(classes, (rows["class"] == classes["class"]) & (rows["doc_id"] == classes["id"]), "left_semi")
     sigs = materialise(sigs.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "sig"), "signatures")
     keys = materialise(band_keys(sigs), "bands")
-    buckets = materialise(keys.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = materialise(keys.join(buckets, "key").select("key", "id", "lead", "n"), "members")
+    buckets = materialise(keys.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead"), "buckets")
+    members = keys.join(buckets, "key")
 
     def tested(pairs: DataFrame) -> DataFrame:
         a = sigs.select(F.col("id").alias("a"), F.col("sig").alias("siga"))
         b = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sigb"))
         return verify_sequentially(pairs.join(a, "a").join(b, "b"), threshold)
 
-    lead_pairs = members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    lead_pairs = materialise(members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "leads")
     links = materialise(confirm(materialise(tested(lead_pairs), "pairs"), docs, classes, n, threshold), "links")
     found = components(links)
-    named = members.join(found, members["id"] == found["node"], "left").select("key", "n", "id", F.coalesce("component", "id").alias("component"))
-    named = materialise(named, "named")
-    mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y AND x IS NOT NULL").select("key")
-    mixed = materialise(mixed, "mixed")
-    rest = materialise(cross_pairs(named.join(mixed, "key").join(sigs, "id"), threshold), "pairs")
-    rest = materialise(rest.join(links, ["a", "b"], "left_anti"), "pairs")
-    more = materialise(confirm(rest, docs, classes, n, threshold), "links")
+    # buckets that share members are one group: a document is in one group, whatever its bands
+    groups = components(lead_pairs)
+    named = groups.select(F.col("node").alias("id"), F.col("component").alias("group")).join(found, F.col("id") == F.col("node"), "left")
+    named = materialise(named.select("id", "group", F.coalesce("component", "id").alias("component")), "named")
+    mixed = named.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x != y")
+    mixed = materialise(mixed.select("group", "size"), "mixed")
+    more = materialise(cross_links(materialise(named.join(mixed, "group"), "mixed"), docs, classes, n, threshold), "links")
     found = components(links.unionByName(more))
     of_class = classes.join(found, classes["id"] == found["node"], "left").select("class", F.coalesce("component", "id").alias("component"))
     of_class = materialise(of_class, "components")
