@@ -22,12 +22,18 @@ CHUNK_BYTES = 2 << 20
 _U64 = np.uint64
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (schema kept, also when empty)."""
+def materialise(df: DataFrame, name: str, *, release: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (schema kept, also when empty).
+
+    ``release``: the steps behind it shuffled much; a collection on the driver lets Spark's cleaner
+    remove those shuffle files now instead of at its next periodic one."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark, f'llm-{name}')}/table"
+    schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if release:
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def held_out(doc_id: Column) -> Column:

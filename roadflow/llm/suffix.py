@@ -29,13 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import chunks, materialise, mix64, prefix_hash, text_buffers
 from .minhash import whole_groups
 
 LENGTH, GRAM, HOT = 100, 24, 2000
-SORT_BYTES = 3 << 20
+SORT_BYTES = 1 << 20
 _LAST = (1 << 63) - 1
 
 
@@ -72,8 +73,12 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -
     return rows, starts - offsets[rows], number, h[anchors], content
 
 
+_BITS = 31  # of a number of strings; a run has at most length - gram + 1, a resolved span at most its document's
+
+
 def find_runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
-    """anchor (null: resolved), doc, start, number; from (doc, ord, text)."""
+    """anchor (a hash; of resolved spans: of their place), doc, place (start * 2^31 + number of strings; negative: resolved),
+    from (doc, ord, text). Resolved runs that follow one another are one span."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, order = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -90,48 +95,90 @@ def find_runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             same = np.zeros(len(by), bool)
             same[1:] = content[by[1:]] == content[by[:-1]]
             head = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
-            repeats = same & ((doc[r[by]] != doc[r[head]]) | (start[by] != start[head]))
-            keep = np.ones(len(by), bool)
-            keep[by[same & ~repeats]] = False  # the same row twice
-            resolved = np.zeros(len(by), bool)
-            resolved[by[repeats]] = True
-            yield pa.RecordBatch.from_arrays([
-                pa.array(anchor[keep].view(np.int64), pa.int64(), mask=resolved[keep]), pa.array(doc[r[keep]], pa.int64()),
-                pa.array(start[keep], pa.int64()), pa.array(number[keep], pa.int32())], names=["anchor", "doc", "start", "number"])
+            again = same & (doc[r[by]] == doc[r[head]]) & (start[by] == start[head])  # the same row twice
+            kind = np.zeros(len(by), np.int8)
+            kind[by[same]] = 1
+            kind[by[again]] = 2
+            open_, done = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
+            joins = np.zeros(len(done), bool)
+            joins[1:] = (r[done[1:]] == r[done[:-1]]) & (start[done[1:]] == start[done[:-1]] + number[done[:-1]])
+            first = np.flatnonzero(~joins)
+            total = np.add.reduceat(number[done], first) if len(done) else done
+            done = done[first]
+            places = np.concatenate((start[open_] << _BITS | number[open_], ~(start[done] << _BITS | total)))
+            docs = np.concatenate((doc[r[open_]], doc[r[done]]))
+            keys = np.concatenate((anchor[open_], mix64(doc[r[done]].view(np.uint64) + start[done].astype(np.uint64))))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(docs, pa.int64()), pa.array(places, pa.int64())], names=["anchor", "doc", "place"])
+
+    return keyed.select("doc", "ord", "text").mapInArrow(rows, "anchor long, doc long, place long")
+
+
+def compressed(keyed: DataFrame) -> DataFrame:
+    """(doc, ord, packed): the texts as they travel, by zstd."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack((x.as_py() or "").encode()) for x in batch.column(2)], pa.binary())], names=["doc", "ord", "packed"])
 
-    return keyed.select("doc", "ord", "text").mapInArrow(rows, "anchor long, doc long, start long, number int")
+    return keyed.select("doc", "ord", "text").mapInArrow(rows, "doc long, ord long, packed binary")
 
 
 def cut_runs(texts: DataFrame, length: int, hot: int) -> DataFrame:
-    """(key, ord, doc, start, number, bytes) of the runs in ``marks``; key null: the strings repeat others of the batch."""
+    """(key, ord, doc, start, number, bytes) of the open runs in ``marks``; bytes null: the strings repeat others of the batch."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            out, strings = [], []
-            cols = (batch.column(c) for c in ("doc", "ord", "text", "marks"))
-            for doc, order, text, marks in zip(*cols):
-                doc, order, raw = doc.as_py(), order.as_py(), (text.as_py() or "").encode()
-                for m in marks.as_py():
-                    if m["anchor"] is None:
-                        continue
-                    s, n = m["start"], m["number"]
-                    if m["times"] <= hot:
-                        out.append((m["anchor"], order, doc, s, n, raw[s:s + n + length - 1]))
-                    else:
-                        strings += [(order, doc, k, raw[k:k + length], m["anchor"]) for k in range(s, s + n)]
+            marks = batch.column(3)
+            edges, flat = marks.offsets.to_numpy(), marks.flatten()
+            anchor, place, times = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            edges = edges - edges[0]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(edges))
+            use = np.flatnonzero((place >= 0) & (times <= hot))
+            start, number = place >> _BITS, place & ((1 << _BITS) - 1)
+            doc, order = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            hot_runs = np.flatnonzero((place >= 0) & (times > hot))
+            cuts: list[bytes] = []
+            strings: list[tuple] = []
+            at_hot = 0
+            needed = np.zeros(batch.num_rows, bool)
+            needed[owner[use]] = True
+            needed[owner[hot_runs]] = True
+            per = np.searchsorted(owner[use], np.arange(batch.num_rows + 1))
+            s_list, e_list = start[use].tolist(), (start[use] + number[use] + length - 1).tolist()
+            for k in np.flatnonzero(needed).tolist():
+                raw = unpack(batch.column(2)[k].as_py())
+                for m in range(per[k], per[k + 1]):
+                    cuts.append(raw[s_list[m]:e_list[m]])
+                while at_hot < len(hot_runs) and owner[hot_runs[at_hot]] == k:
+                    h = int(hot_runs[at_hot])
+                    for x in range(int(start[h]), int(start[h] + number[h])):
+                        strings.append((int(order[k]), int(doc[k]), x, raw[x:x + length], int(anchor[h])))
+                    at_hot += 1
+            for lo in range(0, len(use), 20_000):
+                u = use[lo:lo + 20_000]
+                yield _strings(anchor[u], order[owner[u]], doc[owner[u]], start[u], number[u], cuts[lo:lo + 20_000])
             firsts: dict[bytes, tuple] = {}
-            for order, doc, k, raw, anchor in sorted(strings):
-                head = firsts.setdefault(raw, (order, doc, k))
-                if head == (order, doc, k):
-                    key = int.from_bytes(hashlib.blake2b(raw, digest_size=8, key=anchor.to_bytes(8, "little", signed=True)).digest(), "little", signed=True)
-                    out.append((key, order, doc, k, 1, raw))
-                else:
-                    out.append((None, order, doc, k, 1, b""))
-            for lo in range(0, len(out), 50_000):
-                cols = list(zip(*out[lo:lo + 50_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                                                 names=["key", "ord", "doc", "start", "number", "bytes"])
+            out = []
+            for o, d, x, raw, a in sorted(strings):
+                head = firsts.setdefault(raw, (o, d, x))
+                own = hashlib.blake2b(raw, digest_size=8, key=a.to_bytes(8, "little", signed=True)).digest()
+                if head == (o, d, x):
+                    out.append((int.from_bytes(own, "little", signed=True), o, d, x, 1, raw))
+                else:  # dealt out by its place: it needs no company
+                    out.append((hash((d, x)), o, d, x, 1, None))
+            for lo in range(0, len(out), 20_000):
+                yield _strings(*zip(*out[lo:lo + 20_000]))
+
+    return texts.select("doc", "ord", "packed", "marks").mapInArrow(rows, "key long, ord long, doc long, start long, number int, bytes binary")
+
 
-    return texts.mapInArrow(rows, "key long, ord long, doc long, start long, number int, bytes binary")
+def _strings(*cols) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["key", "ord", "doc", "start", "number", "bytes"])
 
 
 # --- two-stage suffix sorting --------------------------------------------------------------------
@@ -146,14 +193,13 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     n = len(text)
     if not n:
         return np.zeros(0, np.int64)
-    padded = np.concatenate((text, np.zeros(depth + 16, np.uint8)))
-    after = padded[1:n + 1].astype(np.int16) - text
+    after = np.append(text[1:], 0).astype(np.int16) - text
     # equal neighbours: the type of the next position
     decided = np.where(after != 0, np.arange(n), n)
     decided = np.minimum.accumulate(decided[::-1])[::-1]
     smaller = np.append(after, -1)[decided] > 0
     direct = np.flatnonzero(smaller & (text != 0))
-    direct = _sort_directly(padded, direct, depth)
+    direct = _sort_directly(word_table(text), direct, depth)
     first = text[direct]
     bounds = np.searchsorted(first, np.arange(257))  # sorted by first byte already
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -187,23 +233,31 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _words(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
+def word_table(text: np.ndarray) -> np.ndarray:
     """Eight bytes from each position as one big-endian number; bytes after a 0 count as 0."""
-    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)[at]
-    ended = np.logical_or.accumulate(eight == 0, axis=1)
-    return np.where(ended, 0, eight).astype(np.uint8).view(">u8").ravel().astype(np.uint64)
-
-
-def _sort_directly(padded: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    n = len(text)
+    padded = np.concatenate((text, np.zeros(8, np.uint8))).astype(np.uint64)
+    out = np.zeros(n, np.uint64)
+    for k in range(8):
+        out = out << np.uint64(8) | padded[k:k + n]
+    end = np.where(text == 0, np.arange(n), n)
+    left = np.minimum.accumulate(end[::-1])[::-1] - np.arange(n)  # bytes before the next 0
+    near = np.flatnonzero(left < 8)
+    drop = (8 - left[near]).astype(np.uint64) * np.uint64(8)
+    out[near] = np.where(drop >= 64, np.uint64(0), out[near] >> np.minimum(drop, np.uint64(63)) << np.minimum(drop, np.uint64(63)))
+    return np.concatenate((out, np.zeros(1, np.uint64)))
+
+
+def _sort_directly(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """Sorts by eight bytes, then resorts only what is still tied by the next eight."""
     if not len(at):
         return at
-    words = _words(padded, at)
-    by = np.argsort(words)
-    at, words = at[by], words[by]
+    n, own = len(words) - 1, words[at]
+    by = np.argsort(own, kind="stable")
+    at, own = at[by], own[by]
     new = np.ones(len(at), bool)
-    new[1:] = words[1:] != words[:-1]
-    open_ = (words & np.uint64(0xFF)) != 0  # a string that ended is settled
+    new[1:] = own[1:] != own[:-1]
+    open_ = (own & np.uint64(0xFF)) != 0  # a string that ended is settled
     for k in range(8, depth, 8):
         tied = ~new
         tied[:-1] |= ~new[1:]
@@ -211,33 +265,41 @@ def _sort_directly(padded: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray
         if not len(where):
             break
         group = np.cumsum(new)[where]
-        words = _words(padded, np.minimum(at[where] + k, len(padded) - 8))
-        by = np.lexsort((words, group))
+        own = words[np.minimum(at[where] + k, n)]
+        by = np.lexsort((own, group))
         at[where] = at[where][by]
-        words, group_sorted = words[by], group[by]
+        own, group = own[by], group[by]
         split = np.ones(len(where), bool)
-        split[1:] = (words[1:] != words[:-1]) | (group_sorted[1:] != group_sorted[:-1])
+        split[1:] = (own[1:] != own[:-1]) | (group[1:] != group[:-1])
         new[where] |= split
-        open_[where] = (words & np.uint64(0xFF)) != 0
+        open_[where] = (own & np.uint64(0xFF)) != 0
     return at
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Of each suffix with the one before it in ``order``: the length of the common prefix, ``depth`` at most
-    (to the next multiple of eight). A 0 ends a prefix."""
-    padded = np.concatenate((text, np.zeros(depth + 16, np.uint8)))
+    """Of each suffix with the one before it in ``order``: the length of the common prefix, ``depth`` at most.
+    A 0 ends a prefix."""
+    words = word_table(text)
+    n = len(text)
     out = np.zeros(len(order), np.int64)
     live = np.arange(1, len(order))
-    windows = np.lib.stride_tricks.sliding_window_view(padded, 8)
     for k in range(0, depth, 8):
         if not len(live):
             break
-        a = windows[np.minimum(order[live] + k, len(windows) - 1)]
-        b = windows[np.minimum(order[live - 1] + k, len(windows) - 1)]
-        differ = (a != b) | (a == 0)
-        any_ = differ.any(axis=1)
-        out[live] += np.where(any_, differ.argmax(axis=1), 8)
-        live = live[~any_]
+        a, b = words[np.minimum(order[live] + k, n)], words[np.minimum(order[live - 1] + k, n)]
+        x = a ^ b
+        same = x == 0
+        whole = same & ((a & np.uint64(0xFF)) != 0)
+        part = np.flatnonzero(~whole)
+        # equal leading bytes, not counting ends
+        count = np.zeros(len(part), np.int64)
+        for j in range(1, 9):
+            top = x[part] >> np.uint64(64 - 8 * j) if j < 8 else x[part]
+            byte = a[part] >> np.uint64(64 - 8 * j) & np.uint64(0xFF)
+            count += (top == 0) & (byte != 0)
+        out[live[part]] += count
+        out[live[whole]] += 8
+        live = live[whole]
     return np.minimum(out, depth)
 
 
@@ -275,7 +337,7 @@ def sort_groups(runs: DataFrame, length: int) -> DataFrame:
     """(doc, start, stop): spans that repeat, from (key, ord, doc, start, number, bytes) grouped by key."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bounds, t in whole_groups(batches, ("key",)):
-            size = np.array([len(x) for x in t.column("bytes").to_pylist()], np.int64)
+            size = pc.fill_null(pc.binary_length(t.column("bytes")), 0).to_numpy().astype(np.int64)
             total = np.concatenate(([0], np.cumsum(size)))
             lo = 0
             while lo < len(bounds) - 1:
@@ -293,28 +355,22 @@ def _sorted(t: pa.Table, length: int) -> pa.RecordBatch:
     key, order, doc, start, number = (t.column(c).to_numpy() for c in ("key", "ord", "doc", "start", "number"))
     number = number.astype(np.int64)
     raw = t.column("bytes").to_pylist()
-    # places in one ordering; equal places are the same row twice
+    # places in one ordering: a document's rank and the start in it
     by = np.lexsort((start, doc, order))
-    step = np.ones(len(by), bool)
-    step[1:] = (doc[by[1:]] != doc[by[:-1]]) | (start[by[1:]] != start[by[:-1]])
-    # runs of one document may overlap in one group: a place is its document's rank and its start
     new_doc = np.ones(len(by), bool)
-    new_doc[1:] = doc[by[1:]] != doc[by[:-1]]
+    new_doc[1:] = (doc[by[1:]] != doc[by[:-1]]) | (order[by[1:]] != order[by[:-1]])
     place = np.zeros(len(by), np.int64)
-    span = int(start.max()) + int(number.max()) + 2
-    place[by] = (np.cumsum(new_doc) - 1) * span + start[by]
+    place[by] = (np.cumsum(new_doc) - 1) * (int(start.max()) + int(number.max()) + 2) + start[by]
     head: dict[bytes, int] = {}
+    of = np.empty(len(by), np.int64)
     for i in by.tolist():
-        head.setdefault(raw[i], i)
-    out_doc, out_start, out_stop = [], [], []
-    heads = np.array(list(head.values()), np.int64)
-    is_head = np.zeros(len(raw), bool)
-    is_head[heads] = True
-    for i in np.flatnonzero(~is_head).tolist():
-        if place[i] != place[head[raw[i]]]:
-            out_doc.append(doc[i])
-            out_start.append(start[i])
-            out_stop.append(start[i] + number[i] + length - 1)
+        x = raw[i]
+        of[i] = i if x is None else head.setdefault(x, i)
+    heads = np.fromiter(head.values(), np.int64, len(head))
+    copy = np.array([x is None for x in raw], bool) | (place != place[of])  # equal places: the same row twice
+    copies = np.flatnonzero(copy)
+    if not len(heads):
+        return _spans(doc[copies], start[copies], start[copies] + number[copies] + length - 1)
     flags = repeated_strings([raw[i] for i in heads], number[heads], place[heads], length)
     first = np.concatenate(([0], np.cumsum(number[heads])))
     edge = np.zeros(len(flags) + 1, bool)
@@ -325,10 +381,13 @@ def _sorted(t: pa.Table, length: int) -> pa.RecordBatch:
     end = np.flatnonzero(flags & (~after | edge[1:] | (np.arange(len(flags)) == len(flags) - 1)))
     run = np.searchsorted(first[1:], begin, side="right")
     base = start[heads[run]] - first[run] if len(run) else np.zeros(0, np.int64)
-    spans_doc = np.concatenate((np.array(out_doc, np.int64), doc[heads[run]] if len(run) else np.zeros(0, np.int64)))
-    spans_start = np.concatenate((np.array(out_start, np.int64), begin + base))
-    spans_stop = np.concatenate((np.array(out_stop, np.int64), end + base + length))
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (spans_doc, spans_start, spans_stop)], names=["doc", "start", "stop"])
+    none = np.zeros(0, np.int64)
+    return _spans(np.concatenate((doc[copies], doc[heads[run]] if len(run) else none)), np.concatenate((start[copies], begin + base)),
+                  np.concatenate((start[copies] + number[copies] + length - 1, end + base + length)))
+
+
+def _spans(doc, start, stop) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, start, stop)], names=["doc", "start", "stop"])
 
 
 # --- the operator --------------------------------------------------------------------------------
@@ -355,33 +414,34 @@ def doc_key():
 def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(doc, kept binary, spans array<struct<start, stop>>) of the documents that lose bytes; doc is ``doc_key()``."""
     keyed = docs.select(doc_key().alias("doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("ord"), "text")
-    from pyspark.sql import Window
-
     runs = find_runs(keyed, length, gram)
-    # resolved runs travel under keys of their own
-    runs = runs.withColumn("dealt", F.coalesce("anchor", F.xxhash64("doc", "start")))
-    runs = runs.withColumn("times", F.count("*").over(Window.partitionBy("dealt"))).where("times > 1 OR anchor IS NULL")
-    runs = materialise(runs.select("anchor", "doc", "start", "number", "times"), "runs")
-    marks = runs.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "number", "times")).alias("marks"))
-    texts = materialise(keyed.join(marks, "doc"), "texts")
-    cuts = materialise(cut_runs(texts, length, hot), "strings")
-    found = materialise(sort_groups(cuts.where("key IS NOT NULL"), length), "spans")
-    direct = runs.where("anchor IS NULL").select("doc", "start", (F.col("start") + F.col("number") + (length - 1)).alias("stop"))
-    near = cuts.where("key IS NULL").select("doc", "start", (F.col("start") + F.col("number") + (length - 1)).alias("stop"))
-    spans = found.unionByName(direct).unionByName(near).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    runs = runs.withColumn("times", F.count("*").over(Window.partitionBy("anchor"))).where("times > 1 OR place < 0")
+    marks = runs.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("place", "anchor", "times"))).alias("marks"))
+    marks = marks.withColumn("marks", F.transform("marks", lambda m: F.struct(m["anchor"].alias("anchor"), m["place"].alias("place"), m["times"].alias("times"))))
+    texts = materialise(compressed(keyed).join(marks, "doc"), "texts", release=True)
+    found = materialise(sort_groups(cut_runs(texts, length, hot), length), "spans", release=True)
+    spans = found.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
+    resolved = F.filter("marks.place", lambda p: p < 0)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            kept, merged = [], []
-            for text, found_ in zip(batch.column(1), batch.column(2)):
-                k, m = cut((text.as_py() or "").encode(), [(x["start"], x["stop"]) for x in found_.as_py()])
-                kept.append(k)
-                merged.append([{"start": s, "stop": e} for s, e in m])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()),
+            docs_, kept, merged = [], [], []
+            for doc, packed, places, more in zip(*(c.to_pylist() for c in batch.columns)):
+                own = [(x["start"], x["stop"]) for x in more or ()]
+                own += [(~p >> _BITS, (~p >> _BITS) + (~p & ((1 << _BITS) - 1)) + length - 1) for p in places]
+                if own:
+                    k, m = cut(unpack(packed), own)
+                    docs_.append(doc)
+                    kept.append(k)
+                    merged.append([{"start": s, "stop": e} for s, e in m])
+            yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(kept, pa.binary()),
                                               pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=["doc", "kept", "spans"])
 
-    out = texts.select("doc", "text").join(spans, "doc").mapInArrow(rows, "doc long, kept binary, spans array<struct<start: long, stop: long>>")
-    return out
+    both = texts.select("doc", "packed", resolved.alias("resolved")).join(spans, "doc", "left").where("found IS NOT NULL OR size(resolved) > 0")
+    return both.select("doc", "packed", "resolved", "found").mapInArrow(rows, "doc long, kept binary, spans array<struct<start: long, stop: long>>")
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
