@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,8 @@ def materialise(df: DataFrame, name: str, *, release: bool = False) -> DataFrame
     schema = df.schema
     df.write.parquet(path)
     if release:
+        gc.collect()
+        time.sleep(1.0)  # the write's own events must be through before its plan can be collected
         spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 

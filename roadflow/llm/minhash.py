@@ -290,8 +290,8 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, threshold: float = 0.8) -> D
         b = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sigb"))
         return verify_sequentially(pairs.join(a, "a").join(b, "b"), threshold)
 
-    lead_pairs = materialise(members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "leads")
-    links = materialise(confirm(materialise(tested(lead_pairs), "pairs"), docs, classes, n, threshold), "links")
+    lead_pairs = materialise(members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "leads", release=True)
+    links = materialise(confirm(materialise(tested(lead_pairs), "pairs", release=True), docs, classes, n, threshold), "links", release=True)
     found = components(links)
     # buckets that share members are one group: a document is in one group, whatever its bands
     groups = components(lead_pairs)
