@@ -30,8 +30,9 @@ _COUNT_TYPE = T.DecimalType(20, 0)
 
 
 def exact_sum(c: str | Column) -> Column:
-    """Aggregate: exact (decimal) sum of a double column."""
-    return F.sum(_c(c).cast(EXACT_SUM_TYPE))
+    """Aggregate: exact (decimal) sum of a double column. A value that has no such decimal (NaN, infinite,
+    1e20 and more) is left out rather than stopping the query."""
+    return F.try_sum(_c(c).try_cast(EXACT_SUM_TYPE))
 
 
 def exact_ratio(total: str | Column, n: str | Column) -> Column:
@@ -40,8 +41,11 @@ def exact_ratio(total: str | Column, n: str | Column) -> Column:
 
 
 def exact_mean(c: str | Column) -> Column:
-    """Aggregate: order-independent mean of a double column (NULLs skipped)."""
-    return exact_ratio(exact_sum(c), F.count(_c(c)))
+    """Aggregate: order-independent mean of a double column (NULLs skipped). A group with a value that
+    has no exact decimal, or whose sum has none, gets the plain ``avg``."""
+    total, n = exact_sum(c), F.count(_c(c))
+    fits = (F.count(_c(c).try_cast(EXACT_SUM_TYPE)) == n) & ((n == 0) | total.isNotNull())
+    return F.when(fits, exact_ratio(total, n)).otherwise(F.avg(_c(c)))
 
 
 def speed_round(c: str | Column, scale: int = 2) -> Column:
@@ -94,7 +98,7 @@ def marker_size(index: str | Column = "congestion_index",
 def area_from_name(name: str | Column = "name") -> Column:
     """Second-to-last word of a junction name; the whole name when it has one word."""
     n = _c(name)
-    return F.coalesce(F.try_element_at(F.split(n, " "), F.lit(-2)), n)
+    return F.coalesce(F.try_element_at(F.split(F.trim(n), r"\s+"), F.lit(-2)), F.trim(n))
 
 
 def alert_message(status: str | Column = "status",

@@ -113,13 +113,12 @@ def peak_hours(hourly: DataFrame,
 
 
 def peak_hour_range(peaks: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Up to 7 daily peak reports from ``start`` (never past ``end``).
+    """The daily peak reports from ``start`` to ``end``, both included.
 
     On a ``report_date``-partitioned table this is one partition-pruned scan;
     a missing day contributes no rows.
     """
-    last = min(end, start + dt.timedelta(days=6))
-    return peaks.where(F.col("report_date").between(F.lit(start), F.lit(last)))
+    return peaks.where(F.col("report_date").between(F.lit(start), F.lit(end)))
 
 
 def volume_by_hour(aggs: DataFrame, ordered: bool = True) -> DataFrame:
@@ -135,7 +134,7 @@ def _pivot_values(df: DataFrame, col: str, values: Sequence | None,
                   max_columns: int) -> list:
     if values is None:
         # Bounded discovery: never more than max_columns + 1 values reach the driver.
-        found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
+        found = [r[0] for r in df.select(col).distinct()
                  .orderBy(col).limit(max_columns + 1).collect()]
         values = found
     values = list(values)

@@ -56,7 +56,8 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
     summary = ops.summary_from_rollup(rollup).withColumn("report_date", F.lit(run_date))
 
     peak = ops.peak_hours(hourly)
-    pivot = ops.volume_pivot(volume, sensors)
+    # hour x sensor only for sensors the caller names; sensor x hour is as wide for any number of them
+    pivot = ops.volume_pivot(volume, sensors) if sensors is not None else ops.volume_heatmap(volume)
     busiest = ops.busiest_junction(peak)
     interventions = ops.intervention_report(peak)
 
@@ -65,10 +66,9 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
         write_daily(peak, os.path.join(out_path, "daily_peak_hour"))
         write_daily(summary, os.path.join(out_path, "daily_summary"))
         write_daily(interventions, os.path.join(out_path, "intervention_report"))
-        # Report CSVs: rows ordered as in the reference. The pivot has 24 rows
-        # at most, so it is one file; the others may span several part files
-        # (read_report reads the whole folder).
+        # Report CSVs: rows ordered as in the reference; each may span several part files
+        # (read_report reads the whole folder). An hour x sensor pivot has 24 rows, so it is one file.
         write_report_csv(peak.orderBy("sensor_id"), reports, "peak", run_date)
         write_report_csv(volume.orderBy("sensor_id", "hour_of_day"), reports, "volume", run_date)
-        write_report_csv(pivot, reports, "pivot", run_date, num_files=1)
+        write_report_csv(pivot, reports, "pivot", run_date, num_files=1 if sensors is not None else None)
     return DailyOutputs(day, hourly, peak, volume, pivot, summary, busiest, interventions)

@@ -30,10 +30,12 @@ agg as (
          cast(sum(vehicle_count) as bigint) as total_vehicles, avg(avg_speed::DECIMAL(38,18)) as avg_speed_window,
          sum(vehicle_count) / nullif(avg(avg_speed::DECIMAL(38,18)), 0.0) as congestion_index
   from readings group by 1, 2, 3),
-day as (
+whole as (
   select *, case when avg_speed_window < 15 then 'Critical' when avg_speed_window < 25 then 'Warning'
                  when avg_speed_window is not null then 'Normal' end as status
-  from agg where window_start >= timestamp '2024-01-10' and window_start < timestamp '2024-01-11'),
+  from agg),
+day as (
+  select * from whole where window_start >= timestamp '2024-01-10' and window_start < timestamp '2024-01-11'),
 hourly as (
   select cast(window_start as date) as report_date, sensor_id, date_trunc('hour', window_start) as hour,
          cast(sum(total_vehicles) as bigint) as vehicles_hour, avg(avg_speed_window::DECIMAL(38,18)) as avg_speed_hour
@@ -91,7 +93,7 @@ select * from peak where report_date = date '2024-01-10'
 """,
     "peak_hour_range": """
 select * from peak
-where report_date between date '2024-01-08' and least(date '2024-01-31', date '2024-01-08' + 6)
+where report_date between date '2024-01-08' and date '2024-01-31'
 """,
     "volume_by_hour": """
 select sensor_id, hour_of_day, total_volume, round(avg_speed, 9) as avg_speed, sample_count from vol
@@ -102,7 +104,7 @@ from vol group by 1
 """,
     "volume_heatmap": f"""
 select sensor_id, {_HEATMAP_COLUMNS}
-from vol where sensor_id in ('J1', 'J2') group by 1
+from vol group by 1
 """,
     "city_hourly_volume": """
 select hour_of_day, cast(sum(total_volume) as bigint) as total_volume,
@@ -134,17 +136,17 @@ select window_start, sensor_id, total_vehicles, round(avg_speed_window, 9) as av
        case when congestion_index < 30 then 'low' when congestion_index < 60 then 'medium'
             when congestion_index is not null then 'high' end as congestion_band,
        round(congestion_index - 30, 9) as delta_from_ref
-from day
+from whole
 """,
     "kpi_summary": """
 select cast(sum(total_vehicles) as bigint) as total_vehicles, round(avg(avg_speed_window::DECIMAL(38,18)), 9) as avg_speed,
        count(*) filter (where status = 'Critical') as critical_count,
-       round(avg(congestion_index::DECIMAL(38,18)), 9) as congestion_index from day
+       round(avg(congestion_index::DECIMAL(38,18)), 9) as congestion_index from whole
 """,
     "junction_map": """
 select window_start, d.sensor_id, lat, lon, name, split_part(name, ' ', -2) as area, total_vehicles as vehicles,
        round(avg_speed_window, 9) as speed, status, round(congestion_index * 10, 9) as size
-from day d join dim on d.sensor_id = dim.sensor_id
+from whole d join dim on d.sensor_id = dim.sensor_id
 """,
     "status_alerts": """
 select window_start as ts, sensor_id as junction, status as severity,
@@ -156,7 +158,7 @@ select window_start as ts, sensor_id as junction, status as severity,
        total_vehicles as vehicles, round(avg_speed_window, 9) as speed,
        case when status = 'Critical' then 'Immediate police deployment required'
             else 'Monitor closely' end as recommendation
-from day where status in ('Critical', 'Warning')
+from whole where status in ('Critical', 'Warning')
 """,
 }
 
@@ -166,7 +168,10 @@ from day where status in ('Critical', 'Warning')
 STATEMENTS["daily_peak_report"] = STATEMENTS["peak_hour_daily"]
 STATEMENTS["daily_volume_report"] = STATEMENTS["volume_by_hour"]
 STATEMENTS["daily_summary_table"] = STATEMENTS["daily_summary"]
-STATEMENTS["report_volume_heatmap"] = STATEMENTS["volume_heatmap"]
+STATEMENTS["report_volume_heatmap"] = f"""
+select sensor_id, {_HEATMAP_COLUMNS}
+from vol where sensor_id in ('J1', 'J2') group by 1
+"""
 STATEMENTS["report_city_volume"] = STATEMENTS["city_hourly_volume"]
 STATEMENTS["peak_hour_all_days"] = """
 select * from peak

@@ -219,7 +219,7 @@ def q_peak_hour_daily(spark, sf_dir):
 
 
 def q_peak_hour_range(spark, sf_dir):
-    days = (min(RANGE_END, RANGE_START + dt.timedelta(days=6)) - RANGE_START).days + 1
+    days = (RANGE_END - RANGE_START).days + 1
     peaks = _day_peaks(spark, sf_dir, RANGE_START, days)
     return _ntz(ops.peak_hour_range(peaks, RANGE_START, RANGE_END))
 
@@ -246,7 +246,7 @@ def q_volume_pivot(spark, sf_dir):
 
 
 def q_volume_heatmap(spark, sf_dir):
-    return ops.volume_heatmap(_day_volume(spark, sf_dir), HEATMAP_JUNCTIONS)
+    return ops.volume_heatmap(_day_volume(spark, sf_dir))
 
 
 def q_city_hourly_volume(spark, sf_dir):
@@ -271,26 +271,31 @@ def q_intervention_report(spark, sf_dir):
     return _ntz(ops.intervention_report(_day_peaks(spark, sf_dir)).drop("report_date"))
 
 
+def _live_status(spark, sf_dir):
+    """The live view's table: every stored window, whatever its day."""
+    return ops.junction_status(ops.aggregate_windows(_readings(spark, sf_dir)))
+
+
 def q_junction_status(spark, sf_dir):
-    st = ops.junction_status(_day_aggs(spark, sf_dir))
+    st = _live_status(spark, sf_dir)
     return _ntz(st.select("window_start", "sensor_id", "total_vehicles", _r("avg_speed_window"),
                           _r("congestion_index"), "status", "congestion_band",
                           _r("delta_from_ref")))
 
 
 def q_kpi_summary(spark, sf_dir):
-    kpi = ops.kpi_summary(ops.junction_status(_day_aggs(spark, sf_dir)))
+    kpi = ops.kpi_summary(_live_status(spark, sf_dir))
     return kpi.select("total_vehicles", _r("avg_speed"), "critical_count", _r("congestion_index"))
 
 
 def q_junction_map(spark, sf_dir):
-    m = ops.junction_map(ops.junction_status(_day_aggs(spark, sf_dir)))
+    m = ops.junction_map(_live_status(spark, sf_dir))
     return _ntz(m.select("window_start", "sensor_id", "lat", "lon", "name", "area", "vehicles",
                          _r("speed"), "status", _r("size")))
 
 
 def q_status_alerts(spark, sf_dir):
-    alerts = ops.status_alerts(ops.junction_status(_day_aggs(spark, sf_dir)))
+    alerts = ops.status_alerts(_live_status(spark, sf_dir))
     return _ntz(alerts.select("ts", "junction", "severity", "message", "vehicles", _r("speed"),
                               "recommendation"))
 

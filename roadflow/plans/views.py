@@ -93,7 +93,7 @@ def report_feed(spark: SparkSession, out_path: str, run_date: dt.date,
         peak=peak,
         weekly=weekly.withColumn("date", F.col("report_date")),
         volume=volume,
-        pivot=ops.volume_pivot(volume, sensors),
+        pivot=ops.volume_pivot(volume, sensors) if sensors is not None else ops.volume_heatmap(volume),
         heatmap=ops.volume_heatmap(volume, junctions),
         city=ops.city_hourly_volume(volume),
         totals=ops.junction_volume_totals(volume),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -91,7 +92,9 @@ def run_streaming(spark: SparkSession, cfg: StreamConfig) -> list[StreamingQuery
     alerts = detect_alerts(readings, cfg.alert_below)
     parts = [WINDOW_DATE] if cfg.partition_aggs_by_date else None
     if cfg.sink_files:
-        stored = stored.repartition(cfg.sink_files, *(parts or []))
+        # by date and a bucket of the sensor: a micro-batch of one date still has sink_files writers
+        bucket = F.pmod(F.xxhash64("sensor_id"), F.lit(cfg.sink_files))
+        stored = stored.repartition(cfg.sink_files, *(parts or []), bucket)
 
     with shuffle_partitions(spark, cfg.state_partitions):
         return _start_all(spark, cfg, stored, aggs, alerts, parts)
@@ -152,10 +155,13 @@ def await_any_termination(spark: SparkSession, queries: list[StreamingQuery],
     """Block until any query ends (as the reference's job does); if one failed,
     stop the others and re-raise, so a supervisor can restart the whole job
     from its checkpoints."""
-    if timeout_s:
-        spark.streams.awaitAnyTermination(timeout_s)
-    else:
-        spark.streams.awaitAnyTermination()
+    try:
+        if timeout_s:
+            spark.streams.awaitAnyTermination(timeout_s)
+        else:
+            spark.streams.awaitAnyTermination()
+    except StreamingQueryException:
+        pass  # raised for the query that failed: found below, after which the others are stopped
     failed = [q for q in queries if not q.isActive and q.exception() is not None]
     if failed:
         for q in queries:

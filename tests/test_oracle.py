@@ -2,13 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from roadflow.plans.check import compare, duckdb_connection
+from roadflow.plans.oracle import oracle_sql as statements
+from roadflow.plans.registry import QUERIES as REGISTERED
 
 from conftest import SF_ORACLE, SF_SMALL
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = statements()
+QUERIES = dict(REGISTERED)
 
 
 @pytest.fixture(scope="module")

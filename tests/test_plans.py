@@ -2,15 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from roadflow.plans.registry import QUERIES as REGISTERED
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
+QUERIES = dict(REGISTERED)
 DAY_QUERIES = ["hourly_volumes", "peak_hour_daily", "volume_by_hour", "volume_pivot",
                "volume_heatmap", "city_hourly_volume", "junction_volume_totals", "daily_summary",
-               "busiest_junction", "intervention_report", "junction_status", "kpi_summary",
-               "junction_map", "status_alerts", "peak_hour_range"]
+               "busiest_junction", "intervention_report", "peak_hour_range"]
 
 
 def plan(df) -> str:

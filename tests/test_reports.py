@@ -169,7 +169,9 @@ def test_live_view_and_report_feed(spark, stored_aggs, tmp_path):
     assert feed.peak.count() == 5
     assert {r.report_date for r in feed.weekly.collect()} == {dt.date(2024, 1, 9), dt.date(2024, 1, 10)}
     assert feed.heatmap.count() == 2 and len(feed.heatmap.columns) == 25
-    assert feed.pivot.count() == feed.city.count()
+    assert feed.pivot.count() == 5  # one row per sensor, whatever their number
+    named = report_feed(spark, out, dt.date(2024, 1, 10), sensors=["J1", "J2", "J3", "J4", "J5"])
+    assert named.pivot.count() == feed.city.count()
     assert feed.totals.agg(F.sum("total_volume")).first()[0] == \
         feed.volume.agg(F.sum("total_volume")).first()[0]
     path = write_weekly_report(feed.weekly, str(tmp_path / "export"), dt.date(2024, 1, 4), dt.date(2024, 1, 10))
