@@ -129,18 +129,37 @@ def verify_sequentially(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("a", "b", "siga", "sigb").mapInArrow(rows, "a long, b long")
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(id, packed): whole texts by zstd, as they travel to a join."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack((x.as_py() or "").encode()) for x in batch.column(1)], pa.binary())], names=["id", "packed"])
+
+    return docs.select(_ident().alias("id"), "text").mapInArrow(rows, "id long, packed binary")
+
+
+def unpacked(column: pa.Array) -> pa.Array:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(x.as_py()) for x in column], pa.binary()).cast(pa.string())
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, threshold: float) -> DataFrame:
     """Pairs whose full shingle sets have similarity >= threshold, compared as integers."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys, sets = batch.column(0).to_numpy(zero_copy_only=False), [], []
-            for _, shingles, key in text_sets(batch.column(1), n):
+            for _, shingles, key in text_sets(unpacked(batch.column(1)), n):
                 keys.append(key)
                 sets.append(shingles.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "class", "shingles"])
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(_ident().alias("id"), "text").join(needed, "id", "left_semi")
+    texts = packed_texts(docs).join(needed, "id", "left_semi")
     sets = texts.mapInArrow(rows, "id long, class binary, shingles array<long>").join(
         classes.select(F.col("id").alias("rep"), F.col("class").alias("rep_class")),
         (F.col("id") == F.col("rep")) & (F.col("class") == F.col("rep_class")), "left_semi").dropDuplicates(["id"])
@@ -161,11 +180,11 @@ def cross_links(mixed: DataFrame, docs: DataFrame, classes: DataFrame, n: int, t
     two components."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = list(text_sets(batch.column(1), n))
+            got = list(text_sets(unpacked(batch.column(1)), n))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for _, _, k in got], pa.binary()), pa.array([signature(x).tobytes() for _, x, _ in got], pa.binary()),
                                               pa.array([x.tobytes() for _, x, _ in got], pa.binary())], names=["id", "class", "sig", "shingles"])
 
-    texts = docs.select(_ident().alias("id"), "text").join(mixed.select("id"), "id", "left_semi")
+    texts = packed_texts(docs).join(mixed.select("id"), "id", "left_semi")
     found = texts.mapInArrow(sets, "id long, class binary, sig binary, shingles binary")
     reps = classes.select("id", "class")
     found = materialise(found.join(reps, ["id", "class"], "left_semi").dropDuplicates(["id"]).select("id", "sig", "shingles"), "sets")
