@@ -10,8 +10,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,22 +19,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import scratch_dir
 
 CHUNK_BYTES = 2 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _U64 = np.uint64
 
 
-def materialise(df: DataFrame, name: str, *, release: bool = False) -> DataFrame:
+def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (schema kept, also when empty).
 
-    ``release``: the steps behind it shuffled much; a collection on the driver lets Spark's cleaner
-    remove those shuffle files now instead of at its next periodic one."""
+    The written table stands for all that came before it, so Spark removes the write's shuffle files as soon
+    as the write is done, not when the driver's collector happens to find them unused."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark, f'llm-{name}')}/table"
     schema = df.schema
-    df.write.parquet(path)
-    if release:
-        gc.collect()
-        time.sleep(1.0)  # the write's own events must be through before its plan can be collected
-        spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before is not None else spark.conf.unset(SHUFFLE_CLEANUP)
     return spark.read.schema(schema).parquet(path)
 
 

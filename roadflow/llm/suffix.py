@@ -418,8 +418,8 @@ def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot: int
     runs = runs.withColumn("times", F.count("*").over(Window.partitionBy("anchor"))).where("times > 1 OR place < 0")
     marks = runs.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("place", "anchor", "times"))).alias("marks"))
     marks = marks.withColumn("marks", F.transform("marks", lambda m: F.struct(m["anchor"].alias("anchor"), m["place"].alias("place"), m["times"].alias("times"))))
-    texts = materialise(compressed(keyed).join(marks, "doc"), "texts", release=True)
-    found = materialise(sort_groups(cut_runs(texts, length, hot), length), "spans", release=True)
+    texts = materialise(compressed(keyed).join(marks, "doc"), "texts")
+    found = materialise(sort_groups(cut_runs(texts, length, hot), length), "spans")
     spans = found.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
     resolved = F.filter("marks.place", lambda p: p < 0)
 
