@@ -11,7 +11,7 @@ earlier in the same one). All suffixes of a corpus don't fit one sort, so string
    Anchors of over ``HOT`` runs (a line that is in a third of all documents) are dealt out string by string.
 3. Each task sorts the suffixes of the distinct runs of its groups: only suffixes smaller than their
    successors are sorted directly, by words of eight bytes; the rest are induced by scanning the buckets of first
-   bytes in order. Adjacent common prefixes of at least ``length`` bytes join equal strings; all but the earliest repeat.
+   bytes in order. Suffixes that start no string and induce none that does are left out. Adjacent common prefixes of at least ``length`` bytes join equal strings; all but the earliest repeat.
 4. Spans are united per document and cut out.
 
 Sorting and prefixes stop at ``length`` bytes, which is all that the rule asks for. Neither step depends on
@@ -183,9 +183,10 @@ def _strings(*cols) -> pa.RecordBatch:
 
 # --- two-stage suffix sorting --------------------------------------------------------------------
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(text: np.ndarray, depth: int, wanted: np.ndarray | None = None, words: np.ndarray | None = None) -> np.ndarray:
     """Positions of all suffixes in order of their first ``depth`` values (bytes; 0 ends a string: what
-    follows it doesn't count).
+    follows it doesn't count). ``wanted`` flags the positions that the caller needs: others are left out unless
+    a wanted one is induced from them. ``words``: the text's ``word_table``.
 
     Suffixes smaller than their successors are sorted directly. The others follow in one pass over the
     buckets of first bytes in ascending order: the predecessors of a finished bucket's suffixes, in the
@@ -198,8 +199,10 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     decided = np.where(after != 0, np.arange(n), n)
     decided = np.minimum.accumulate(decided[::-1])[::-1]
     smaller = np.append(after, -1)[decided] > 0
-    direct = np.flatnonzero(smaller & (text != 0))
-    direct = _sort_directly(word_table(text), direct, depth)
+    needed = np.ones(n, bool) if wanted is None else _with_sources(wanted, smaller)
+    direct = np.flatnonzero(smaller & (text != 0) & needed)
+    direct = _sort_directly(word_table(text) if words is None else words, direct, depth)
+    induce = ~smaller & needed
     first = text[direct]
     bounds = np.searchsorted(first, np.arange(257))  # sorted by first byte already
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -214,7 +217,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
             done = [wave]
             while len(wave):  # a run of one byte: predecessors in the same bucket
                 back = wave[wave > 0] - 1
-                wave = back[(text[back] == c) & ~smaller[back]]
+                wave = back[(text[back] == c) & induce[back]]
                 done.append(wave)
             done.append(direct[bounds[c]:bounds[c + 1]])
         bucket = np.concatenate(done)
@@ -222,7 +225,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         out.append(bucket)
         back = bucket[bucket > 0] - 1
         values = text[back]
-        take = (values > c) & ~smaller[back]
+        take = (values > c) & induce[back]
         back, values = back[take], values[take]
         if len(back):
             by = np.argsort(values, kind="stable")
@@ -233,6 +236,16 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _with_sources(wanted: np.ndarray, smaller: np.ndarray) -> np.ndarray:
+    """``wanted`` and what its suffixes are induced from: on from each one that is not smaller than its successor,
+    up to the next that is (inclusive)."""
+    n = len(wanted)
+    stop = np.minimum.accumulate(np.where(smaller, np.arange(n), n - 1)[::-1])[::-1]
+    change = -np.bincount(stop[wanted] + 1, minlength=n + 1)
+    change[:n] += wanted
+    return np.cumsum(change)[:n] > 0
+
+
 def word_table(text: np.ndarray) -> np.ndarray:
     """Eight bytes from each position as one big-endian number; bytes after a 0 count as 0."""
     n = len(text)
@@ -276,10 +289,10 @@ def _sort_directly(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return at
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int, words: np.ndarray | None = None) -> np.ndarray:
     """Of each suffix with the one before it in ``order``: the length of the common prefix, ``depth`` at most.
     A 0 ends a prefix."""
-    words = word_table(text)
+    words = word_table(text) if words is None else words
     n = len(text)
     out = np.zeros(len(order), np.int64)
     live = np.arange(1, len(order))
@@ -316,13 +329,10 @@ def repeated_strings(runs: list[bytes], numbers: np.ndarray, order: np.ndarray,
     run_of = np.repeat(np.arange(len(runs)), sizes + 1)
     within = np.arange(len(text)) - begins[run_of]
     starts_string = within < numbers[run_of]
-    suffixes = suffix_array(text, length)
-    prefix = common_prefixes(text, suffixes, length)
-    # suffixes that don't start a string: the class goes on over them if prefixes stay long enough
-    new = prefix < length
-    group = np.cumsum(new)
-    real = starts_string[suffixes]
-    s, group = suffixes[real], group[real]
+    words = word_table(text)
+    s = suffix_array(text, length, starts_string, words)
+    s = s[starts_string[s]]
+    group = np.cumsum(common_prefixes(text, s, length, words) < length)
     place = order[run_of[s]] + within[s]  # later in the run, later in the document
     by = np.lexsort((place, group))
     s, group = s[by], group[by]
