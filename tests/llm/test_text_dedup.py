@@ -155,3 +155,13 @@ def test_repeats_of_repeated_rows_null_ids_and_an_empty_table(make_docs):
     docs = make_docs([(1, t), (1, t), (2, t), (None, t), (None, None), (3, "short")])
     got = {(r.doc_id, r.text) for r in without_repeats(docs).collect()}
     assert got == {(1, t), (2, ""), (None, ""), (None, None), (3, "short")}
+
+
+def test_wanted_suffixes_keep_their_order():
+    rng = np.random.default_rng(5)
+    for letters in (1, 2, 4):
+        t = rng.integers(1, 1 + letters, 400).astype(np.uint8)
+        t[[90, 91, 250, 399]] = 0
+        wanted = (rng.random(400) < 0.3) & (t != 0)
+        some, every = suffix_array(t, 100, wanted), suffix_array(t, 100)
+        assert some[wanted[some]].tolist() == every[wanted[every]].tolist()
