@@ -20,10 +20,9 @@ from roadflow.session import use_utc
 from roadflow.streaming.jobs import (
     StreamConfig,
     await_any_termination,
+    drain,
     run_streaming,
-    run_to_completion,
 )
-from roadflow.streaming.sinks import AVAILABLE_NOW
 
 
 def _args(argv=None) -> argparse.Namespace:
@@ -36,6 +35,18 @@ def _args(argv=None) -> argparse.Namespace:
     s.add_argument("--source-glob", help='file-name filter, e.g. "events.parquet"')
     s.add_argument("--topic", default="traffic_raw")
     s.add_argument("--bootstrap-servers", default="kafka:9092")
+    s.add_argument("--starting-offsets",
+                   help="Kafka only; default: latest, with --available-now earliest")
+    s.add_argument("--source-option", action="append", default=[], metavar="KEY=VALUE",
+                   type=lambda text: tuple(text.split("=", 1)),
+                   help="passed to the source, e.g. maxOffsetsPerTrigger=1000000")
+    s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--window", default=StreamConfig.window)
+    s.add_argument("--watermark", default=StreamConfig.watermark)
+    s.add_argument("--alert-below", type=float, default=StreamConfig.alert_below)
+    s.add_argument("--agg-trigger", default=StreamConfig.agg_trigger)
+    s.add_argument("--alert-trigger", default=StreamConfig.alert_trigger)
+    s.add_argument("--mirror-trigger", default=StreamConfig.mirror_trigger)
     s.add_argument("--agg-path", action="append", default=[])
     s.add_argument("--alert-path", action="append", default=[])
     s.add_argument("--agg-mirror", action="append", default=[])
@@ -50,7 +61,7 @@ def _args(argv=None) -> argparse.Namespace:
     d.add_argument("--in", dest="in_path", required=True)
     d.add_argument("--out", dest="out_path", required=True)
     d.add_argument("--run-date", type=dt.date.fromisoformat, help="default: yesterday (UTC)")
-    d.add_argument("--sensor", action="append", help="pivot columns (default: discovered)")
+    d.add_argument("--sensor", action="append", help="pivot columns (default: one row per sensor, 24 hour columns)")
     return p.parse_args(argv)
 
 
@@ -65,11 +76,14 @@ def main(argv=None) -> None:
             agg_paths=args.agg_path, alert_paths=args.alert_path, agg_mirrors=args.agg_mirror,
             alert_mirrors=args.alert_mirror, kafka_alert_topic=args.kafka_alert_topic,
             console=args.console, state_partitions=args.state_partitions,
-            sink_files=args.sink_files)
+            sink_files=args.sink_files, window=args.window, watermark=args.watermark,
+            alert_below=args.alert_below, agg_trigger=args.agg_trigger,
+            alert_trigger=args.alert_trigger, mirror_trigger=args.mirror_trigger,
+            starting_offsets=args.starting_offsets or ("earliest" if args.available_now else "latest"),
+            max_files_per_trigger=args.max_files_per_trigger,
+            source_options=dict(args.source_option))
         if args.available_now:
-            cfg.agg_trigger = cfg.alert_trigger = cfg.mirror_trigger = AVAILABLE_NOW
-            cfg.kafka_trigger = cfg.console_trigger = AVAILABLE_NOW
-            run_to_completion(run_streaming(spark, cfg))
+            drain(spark, cfg)
         else:
             await_any_termination(spark, run_streaming(spark, cfg))
     else:

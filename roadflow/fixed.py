@@ -56,6 +56,7 @@ REPORT_STEMS = {
     "peak": "peak_hour_report",
     "volume": "traffic_volume_vs_time",
     "pivot": "traffic_volume_pivot",
+    "weekly": "weekly_peak_hours",  # our own: the reference's name would match the daily peak lookup
 }
 
 # Junction locations: sensor_id, lat, lon, name

@@ -40,8 +40,8 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
     (at most sensors x 24 rows), which is checkpointed to the shared checkpoint
     folder; hourly volumes, the hour-of-day profile and the summary are exact
     roll-ups of it, so the day is read once and a lost executor recomputes
-    nothing upstream. Outputs are idempotent: Parquet tables are overwritten
-    per ``report_date`` partition and each report folder is replaced.
+    nothing upstream. Outputs are idempotent: exactly the ``report_date`` partition of the run
+    is replaced in each Parquet table, also by an empty day, and each report folder is replaced.
 
     Run it at least 15 minutes after midnight UTC: the last windows of the day
     are written by the stream only once the watermark passes them.
@@ -63,9 +63,9 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
 
     if write:
         reports = os.path.join(out_path, "reports")
-        write_daily(peak, os.path.join(out_path, "daily_peak_hour"))
-        write_daily(summary, os.path.join(out_path, "daily_summary"))
-        write_daily(interventions, os.path.join(out_path, "intervention_report"))
+        write_daily(peak, os.path.join(out_path, "daily_peak_hour"), day=run_date)
+        write_daily(summary, os.path.join(out_path, "daily_summary"), day=run_date)
+        write_daily(interventions, os.path.join(out_path, "intervention_report"), day=run_date)
         # Report CSVs: rows ordered as in the reference; each may span several part files
         # (read_report reads the whole folder). An hour x sensor pivot has 24 rows, so it is one file.
         write_report_csv(peak.orderBy("sensor_id"), reports, "peak", run_date)

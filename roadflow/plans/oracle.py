@@ -192,7 +192,39 @@ select cast(sum(total_vehicles) as bigint) as total_vehicles, round(avg(avg_spee
        round(avg(congestion_index::DECIMAL(38,18)), 9) as congestion_index from last24
 """
 
+# The payload as Spark's JSON writer gives it: ISO times in milliseconds, NULL fields left out.
+STATEMENTS["alerts_json"] = """
+select '{"alert_time":"2024-01-10T12:00:00.000Z"'
+       || coalesce(',"detected_at":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"', '')
+       || coalesce(',"sensor_id":"' || sensor_id || '"', '')
+       || coalesce(',"vehicle_count":' || vehicle_count, '')
+       || ',"avg_speed":' || cast(avg_speed as varchar)
+       || ',"reason":"avg_speed_below_10_kmph"}' as value
+from readings where avg_speed < 10.0
+"""
+STATEMENTS["mirrored_aggs"] = STATEMENTS["window_agg_stream"]
+STATEMENTS["stored_peak_range"] = """
+select * from peak where report_date between date '2024-01-09' and date '2024-01-10'
+"""
+STATEMENTS["weekly_export"] = STATEMENTS["stored_peak_range"]
+STATEMENTS["latest_volume_report"] = STATEMENTS["volume_by_hour"]
+STATEMENTS["live_kpi_all_time"] = STATEMENTS["kpi_summary"] + """
+where window_end <= (select date_trunc('milliseconds', max(event_time)) - interval '10 minutes' from readings)
+"""
+STATEMENTS["interventions_required"] = STATEMENTS["intervention_report"].rstrip() + " and needs_intervention = 'YES'\n"
+STATEMENTS["status_alerts_selected"] = STATEMENTS["status_alerts"].replace(
+    "status in ('Critical', 'Warning')", """status = 'Critical' and sensor_id in ('J1', 'J2')
+  and window_start >= timestamp '2024-01-03 12:00:00' and window_start < timestamp '2024-01-10 12:00:00'""")
+
+# One sensor per user: the same relations over another sensor name.
+USER_STATEMENTS: dict[str, str] = {
+    "user_peak_hours": STATEMENTS["peak_hour_all_days"],
+    "user_daily_report": STATEMENTS["volume_heatmap"],
+}
+USER_PREFIX = PREFIX.replace("'J' || (user_id % 5 + 1)", "'U' || user_id")
+
 
 def oracle_sql() -> dict[str, str]:
-    """Full statements (shared prefix + body); ``alerts_json`` has none (rows only)."""
-    return {name: PREFIX + body for name, body in STATEMENTS.items()}
+    """Full statements (shared prefix + body)."""
+    return {name: PREFIX + body for name, body in STATEMENTS.items()} \
+        | {name: USER_PREFIX + body for name, body in USER_STATEMENTS.items()}

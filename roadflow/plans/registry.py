@@ -17,12 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadflow import fixed
 from roadflow import operators as ops
 from roadflow.plans.daily import run_daily
-from roadflow.plans.views import live_view, report_feed
+from roadflow.plans.views import live_view, report_feed, write_weekly_report
 from roadflow.schemas import EVENTS
 from roadflow.session import (
     default_parallelism,
+    matching_paths,
     prefer_rocksdb_state,
     scratch_dir,
     shuffle_partitions,
@@ -36,7 +38,8 @@ from roadflow.sources import (
     readings_from_events,
 )
 from roadflow.sources.readings import day_bounds
-from roadflow.streaming.jobs import StreamConfig, run_streaming, run_to_completion
+from roadflow.streaming.jobs import StreamConfig, drain, run_to_completion
+from roadflow.streaming.jobs import stored_window_aggs as with_window_date
 from roadflow.streaming.sinks import AVAILABLE_NOW, write_stream_parquet
 
 # Parameters of the checked queries (FIXTURES.md).
@@ -125,31 +128,40 @@ def reset_stored() -> None:
     _STORED.clear()
 
 
+def _once(spark: SparkSession, name: str, sf_dir: str, make: Callable[[], str]) -> str:
+    """The folder that ``make`` wrote, made once per Spark application and scale factor while it exists."""
+    key = (name, spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED or not matching_paths(spark, _STORED[key]):
+        _STORED[key] = make()
+    return _STORED[key]
+
+
 def stored_window_aggs(spark: SparkSession, sf_dir: str) -> str:
-    """JOB-1 over the events table: the date-partitioned 5-minute aggregate table."""
-    key = ("agg", id(spark), sf_dir)
-    if key not in _STORED:
+    """JOB-1 over the events table: the date-partitioned 5-minute aggregate table, and its copy beside it."""
+    def make() -> str:
         use_utc(spark)
         base = scratch_dir(spark, "stored_aggs")
         cfg = StreamConfig(checkpoint_dir=os.path.join(base, "checkpoint"),
-                           agg_paths=[os.path.join(base, "agg_5min")], source="events",
+                           agg_paths=[os.path.join(base, "agg_5min")],
+                           agg_mirrors=[os.path.join(base, "agg_copy")], source="events",
                            source_path=sf_dir, source_glob="events.parquet",
-                           agg_trigger=AVAILABLE_NOW,
                            state_partitions=default_parallelism(spark),
                            sink_files=default_parallelism(spark))
-        run_to_completion(run_streaming(spark, cfg))
-        _STORED[key] = cfg.agg_paths[0]
-    return _STORED[key]
+        drain(spark, cfg)
+        return cfg.agg_paths[0]
+
+    return _once(spark, "agg", sf_dir, make)
 
 
-def daily_outputs(spark: SparkSession, sf_dir: str, day: dt.date = REPORT_DATE) -> str:
-    """JOB-2 for one day over the stored table; returns its output folder."""
-    key = ("daily", id(spark), sf_dir, day)
-    if key not in _STORED:
+def daily_outputs(spark: SparkSession, sf_dir: str) -> str:
+    """JOB-2 for the report day and the day before over the stored table; returns its output folder."""
+    def make() -> str:
         out = scratch_dir(spark, "daily")
-        run_daily(spark, day, stored_window_aggs(spark, sf_dir), out)
-        _STORED[key] = out
-    return _STORED[key]
+        for day in (REPORT_DATE - dt.timedelta(days=1), REPORT_DATE):
+            run_daily(spark, day, stored_window_aggs(spark, sf_dir), out)
+        return out
+
+    return _once(spark, "daily", sf_dir, make)
 
 
 def q_daily_peak_report(spark, sf_dir):
@@ -181,6 +193,40 @@ def q_report_city_volume(spark, sf_dir):
     return report_feed(spark, daily_outputs(spark, sf_dir), REPORT_DATE).city
 
 
+def q_mirrored_aggs(spark, sf_dir):
+    """SNK-2: the copy of the aggregate table, complete after one drain."""
+    table = spark.read.parquet(os.path.join(os.path.dirname(stored_window_aggs(spark, sf_dir)), "agg_copy"))
+    return _ntz(table.select("window_start", "window_end", "sensor_id", "total_vehicles",
+                             _r("avg_speed_window"), _r("congestion_index")))
+
+
+def q_stored_peak_range(spark, sf_dir):
+    """SET-1, SNK-5: the stored peak table over a range of days."""
+    table = spark.read.parquet(os.path.join(daily_outputs(spark, sf_dir), "daily_peak_hour"))
+    return _ntz(ops.peak_hour_range(table, REPORT_DATE - dt.timedelta(days=1), REPORT_DATE))
+
+
+def q_latest_volume_report(spark, sf_dir):
+    """SRC-7, SRT-5: lookup without a date."""
+    vol = read_report(spark, os.path.join(daily_outputs(spark, sf_dir), "reports"), "volume")
+    return vol.select("sensor_id", "hour_of_day", "total_volume", _r("avg_speed"), "sample_count")
+
+
+def q_weekly_export(spark, sf_dir):
+    """SNK-8: the weekly peak table of the report feed, exported and read back."""
+    feed = report_feed(spark, daily_outputs(spark, sf_dir), REPORT_DATE)
+    out = scratch_dir(spark, "weekly")
+    write_weekly_report(feed.weekly, out, REPORT_DATE - dt.timedelta(days=6), REPORT_DATE)
+    return _ntz(read_report(spark, out, "weekly", required=True))
+
+
+def q_live_kpi_all_time(spark, sf_dir):
+    """SRC-4, JOB-3: KPIs over every stored window."""
+    view = live_view(spark, stored_window_aggs(spark, sf_dir), time_range="All Time")
+    return view.kpis.select("total_vehicles", _r("avg_speed"), "critical_count",
+                            _r("congestion_index"))
+
+
 def q_live_kpi_last_24h(spark, sf_dir):
     view = live_view(spark, stored_window_aggs(spark, sf_dir), as_of=LIVE_AS_OF,
                      time_range="Last 24 Hours")
@@ -200,7 +246,7 @@ def q_congestion_alerts(spark, sf_dir):
 
 
 def q_alerts_json(spark, sf_dir):
-    return ops.encode_alerts(ops.detect_alerts(_readings(spark, sf_dir)))
+    return ops.encode_alerts(ops.detect_alerts(_readings(spark, sf_dir), alert_time=LIVE_AS_OF))
 
 
 def q_window_agg(spark, sf_dir):
@@ -271,6 +317,35 @@ def q_intervention_report(spark, sf_dir):
     return _ntz(ops.intervention_report(_day_peaks(spark, sf_dir)).drop("report_date"))
 
 
+def q_interventions_required(spark, sf_dir):
+    """FLT-5: only the junctions that need police."""
+    return _ntz(ops.intervention_report(_day_peaks(spark, sf_dir), only_required=True).drop("report_date"))
+
+
+def _user_aggs(spark, sf_dir):
+    """One sensor per user: as many sensors as the table has users."""
+    events = _events(spark, sf_dir)
+    return ops.aggregate_windows(readings_from_events(events, sensor=F.concat(F.lit("U"), F.col("user_id").cast("string"))))
+
+
+def q_user_peak_hours(spark, sf_dir):
+    return _ntz(ops.daily_peaks(_user_aggs(spark, sf_dir)))
+
+
+def q_user_daily_report(spark, sf_dir):
+    """The daily job where every user is a sensor; its sensor x hour report is read back."""
+    def make() -> str:
+        base = scratch_dir(spark, "user_daily")
+        aggs = os.path.join(base, "agg_5min")
+        with_window_date(_user_aggs(spark, sf_dir)).repartition("window_date").write.partitionBy("window_date").parquet(aggs)
+        run_daily(spark, REPORT_DATE, aggs, os.path.join(base, "out"))
+        return base
+
+    reports = os.path.join(_once(spark, "user_daily", sf_dir, make), "out", "reports")
+    pivot = read_report(spark, reports, "pivot", REPORT_DATE, required=True)
+    return pivot.select("sensor_id", *[F.col(f"h{h:02d}").cast("long").alias(f"h{h:02d}") for h in range(24)])
+
+
 def _live_status(spark, sf_dir):
     """The live view's table: every stored window, whatever its day."""
     return ops.junction_status(ops.aggregate_windows(_readings(spark, sf_dir)))
@@ -300,6 +375,14 @@ def q_status_alerts(spark, sf_dir):
                               "recommendation"))
 
 
+def q_status_alerts_selected(spark, sf_dir):
+    """FLT-7, FLT-8: severity, junctions and time range chosen."""
+    alerts = ops.status_alerts(_live_status(spark, sf_dir), severity=fixed.STATUS_CRITICAL,
+                               junctions=HEATMAP_JUNCTIONS, time_range="Last Week", as_of=LIVE_AS_OF)
+    return _ntz(alerts.select("ts", "junction", "severity", "message", "vehicles", _r("speed"),
+                              "recommendation"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_readings": q_decode_readings,
     "congestion_alerts": q_congestion_alerts,
@@ -330,4 +413,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_kpi_last_24h": q_live_kpi_last_24h,
     "report_volume_heatmap": q_report_volume_heatmap,
     "report_city_volume": q_report_city_volume,
+    "mirrored_aggs": q_mirrored_aggs,
+    "stored_peak_range": q_stored_peak_range,
+    "latest_volume_report": q_latest_volume_report,
+    "weekly_export": q_weekly_export,
+    "live_kpi_all_time": q_live_kpi_all_time,
+    "interventions_required": q_interventions_required,
+    "user_peak_hours": q_user_peak_hours,
+    "user_daily_report": q_user_daily_report,
+    "status_alerts_selected": q_status_alerts_selected,
 }

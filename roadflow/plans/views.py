@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from roadflow import fixed
 from roadflow import operators as ops
+from roadflow.schemas import PEAK
 from roadflow.session import use_utc
 from roadflow.sinks import write_report_csv
 from roadflow.sources import read_report, read_window_aggs
@@ -78,7 +79,7 @@ def report_feed(spark: SparkSession, out_path: str, run_date: dt.date,
                 sensors: Sequence[str] | None = None) -> ReportFeed:
     """Report pages over the daily job's outputs (see plans.daily.run_daily).
 
-    ``weekly`` is up to 7 days of peaks from ``start`` (default: the 7 days up
+    ``weekly`` is the peaks from ``start`` to ``end`` (default: the 7 days up
     to ``run_date``), read as one partition-pruned scan of the peak table.
     """
     use_utc(spark)
@@ -88,7 +89,7 @@ def report_feed(spark: SparkSession, out_path: str, run_date: dt.date,
     start = start or run_date - dt.timedelta(days=6)
     end = end or run_date
     table = os.path.join(out_path, "daily_peak_hour")
-    weekly = ops.peak_hour_range(spark.read.parquet(table), start, end)
+    weekly = ops.peak_hour_range(spark.read.parquet(table), start, end).select(*PEAK.fieldNames())
     return ReportFeed(
         peak=peak,
         weekly=weekly.withColumn("date", F.col("report_date")),
@@ -102,6 +103,8 @@ def report_feed(spark: SparkSession, out_path: str, run_date: dt.date,
 
 
 def write_weekly_report(weekly: DataFrame, out_dir: str, start: dt.date, end: dt.date) -> str:
-    """CSV export of the weekly peak table: ``peak_hour_report_<start>_to_<end>.csv``."""
-    return write_report_csv(weekly.orderBy("report_date", "sensor_id"), out_dir, "peak",
+    """CSV export of the weekly peak table: ``weekly_peak_hours_<start>_to_<end>.csv``, a stem of its own,
+    so that the export never counts as a day's peak report."""
+    rows = weekly.select(*PEAK.fieldNames())
+    return write_report_csv(rows.orderBy("report_date", "sensor_id"), out_dir, "weekly",
                             f"{start}_to_{end}")

@@ -83,4 +83,5 @@ JUNCTION = T.StructType([
 REPORT_SCHEMAS = {
     "peak": PEAK,
     "volume": VOLUME,
+    "weekly": PEAK,
 }

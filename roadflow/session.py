@@ -8,7 +8,9 @@ streaming state.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -90,21 +92,31 @@ def default_parallelism(spark: SparkSession) -> int | None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a private one only if unset."""
+    """The shared checkpoint folder the session names.
+
+    Where it is unset, a local master gets a private folder (removed when Python ends); on a cluster
+    that would be another folder on every machine, so there it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = _context(spark)
     if not root and context is not None:
         root = context.getCheckpointDir()
     if not root:
-        # Unset (local runs, tests): make one and register it for checkpoint().
+        if context is None or not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="roadflow-ckpt-")
-        if context is not None:
-            context.setCheckpointDir(root)
-        else:
-            spark.conf.set("spark.checkpoint.dir", root)
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        context.setCheckpointDir(root)
     return root
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Entries of the pattern's own file system that match it, in order of their names; nothing is read."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jpath)
+    paths = [f.getPath() for f in found] if found is not None else []
+    return [p.toString() for p in sorted(paths, key=lambda p: p.getName())]
+
+
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Create a folder on the table's own file system (local, HDFS, object store)."""
     if "://" not in path:

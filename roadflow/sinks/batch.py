@@ -11,9 +11,16 @@ from roadflow import fixed
 from roadflow.sources.tables import REPORT_TIMESTAMP_FORMAT
 
 
-def write_daily(df: DataFrame, path: str, partition_col: str = "report_date") -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic partition
-    overwrite): a rerun or retry of a day replaces that day, never duplicates it."""
+def write_daily(df: DataFrame, path: str, partition_col: str = "report_date",
+                day: dt.date | None = None) -> None:
+    """A rerun or retry of a day replaces that day, never duplicates it.
+
+    With ``day``, ``df`` holds that day only, and exactly its partition is replaced, also when
+    ``df`` is empty. Without, the partitions present in ``df`` are (dynamic partition overwrite)."""
+    if day is not None:
+        df.drop(partition_col).write.mode("overwrite").parquet(
+            os.path.join(path, f"{partition_col}={day}"))
+        return
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col)

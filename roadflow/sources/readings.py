@@ -61,16 +61,19 @@ def time_range(df: DataFrame, col: str, start, end) -> DataFrame:
 
 
 def readings_from_events(events: DataFrame, start: dt.date | dt.datetime | None = None,
-                         end: dt.date | dt.datetime | None = None) -> DataFrame:
+                         end: dt.date | dt.datetime | None = None,
+                         sensor: Column | None = None) -> DataFrame:
     """Map the driver's ``events`` table onto readings (FIXTURES.md, F0).
 
-    sensor_id = 'J' || (user_id % 5 + 1); event_time = ts; vehicle_count =
+    sensor_id = 'J' || (user_id % 5 + 1) unless ``sensor`` says otherwise; event_time = ts; vehicle_count =
     props.k; avg_speed = round(value % 60, 2). ``start``/``end`` bound ``ts``
     before any cast so the range reaches the Parquet reader as PushedFilters.
     """
     events = time_range(events, "ts", start, end)
+    if sensor is None:
+        sensor = F.concat(F.lit("J"), (F.col("user_id") % 5 + 1).cast("string"))
     return events.select(
-        F.concat(F.lit("J"), (F.col("user_id") % 5 + 1).cast("string")).alias("sensor_id"),
+        sensor.alias("sensor_id"),
         F.get_json_object("props", "$.k").cast("int").alias("vehicle_count"),
         F.round(F.col("value") % 60, 2).alias("avg_speed"),
         F.col("ts").cast(T.TimestampType()).alias("event_time"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from roadflow import fixed
 from roadflow.schemas import JUNCTION, REPORT_SCHEMAS, WINDOW_AGG
+from roadflow.session import matching_paths
 from roadflow.sources.readings import day_bounds, time_range
 
 # Text form of timestamps in report CSVs (same text as a pandas export).
@@ -19,6 +20,9 @@ REPORT_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Partition column of the stored aggregate table (one folder per UTC day).
 WINDOW_DATE = "window_date"
 
+# Conditions that mean "nothing stored there yet"; any other analysis error is raised.
+_NOTHING_STORED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def read_window_aggs(spark: SparkSession, path: str, run_date: dt.date | None = None,
                      days: int = 1, missing_ok: bool = False) -> DataFrame:
@@ -34,6 +38,8 @@ def read_window_aggs(spark: SparkSession, path: str, run_date: dt.date | None =
     try:
         df = spark.read.parquet(path)
     except AnalysisException as exc:
+        if exc.getCondition() not in _NOTHING_STORED:
+            raise
         if missing_ok:
             return spark.createDataFrame([], WINDOW_AGG)
         raise FileNotFoundError(f"window aggregate table not found: {path}") from exc
@@ -56,36 +62,36 @@ def read_report(spark: SparkSession, report_dir: str, kind: str,
     """Report CSV for a date (glob ``*<stem>_*<date>*.csv``); ``"yesterday"``
     means UTC yesterday, None any date.
 
-    When several entries match, the lexicographically greatest one wins (the
-    reference's "latest file"). No match: an empty frame with the schema and a
-    warning, or ``FileNotFoundError`` when ``required``.
+    Names are listed first. Of several matching entries the one with the greatest
+    name is the latest; only it is read, and if it holds no rows, so does the
+    result. No match: an empty frame with the schema and a warning, or
+    ``FileNotFoundError`` when ``required``.
     """
     if date == "yesterday":
         date = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
     stem = fixed.REPORT_STEMS.get(kind, kind)
     pattern = f"*{stem}_*{date}*.csv" if date is not None else f"*{stem}*.csv"
     schema = REPORT_SCHEMAS.get(kind)
+    found = matching_paths(spark, f"{report_dir.rstrip('/')}/{pattern}")
+    if not found:
+        if required:
+            raise FileNotFoundError(f"no {stem} report matching {pattern} in {report_dir}")
+        warnings.warn(f"no {stem} report found for {date or 'any date'} in {report_dir}",
+                      stacklevel=2)
+        return _no_rows(spark, schema)
     reader = (spark.read.option("header", "true")
               .option("timestampFormat", REPORT_TIMESTAMP_FORMAT)
               .option("timestampNTZFormat", REPORT_TIMESTAMP_FORMAT))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     try:
-        df = reader.csv(f"{report_dir.rstrip('/')}/{pattern}")
+        return reader.csv(found[-1])
     except AnalysisException as exc:
-        if required:
-            raise FileNotFoundError(f"no {stem} report matching {pattern} in {report_dir}") from exc
-        warnings.warn(f"no {stem} report found for {date or 'any date'} in {report_dir}",
-                      stacklevel=2)
-        return spark.createDataFrame([], schema if schema is not None else "_empty string") \
-            .select(*([] if schema is None else schema.fieldNames()))
-    columns = df.columns
-    tagged = df.withColumn("_entry", _report_entry_of_metadata())
-    # One-row aggregate: its size is bounded by construction, so it is broadcast.
-    latest = tagged.agg(F.max("_entry").alias("_entry"))
-    return tagged.join(F.broadcast(latest), "_entry", "left_semi").select(*columns)
-
-
-def _report_entry_of_metadata():
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    return F.when(F.col("_metadata.file_path").rlike(r"/part-[^/]*$"), F.element_at(parts, -2)) \
-        .otherwise(F.element_at(parts, -1))
+        if exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return _no_rows(spark, schema)  # a folder without part files
+
+
+def _no_rows(spark: SparkSession, schema) -> DataFrame:
+    if schema is not None:
+        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], "_empty string").select()

@@ -3,6 +3,7 @@
 from roadflow.streaming.jobs import (
     StreamConfig,
     await_any_termination,
+    drain,
     mirror_stream,
     run_streaming,
     run_to_completion,
@@ -14,6 +15,6 @@ from roadflow.streaming.sinks import (
 )
 
 __all__ = [
-    "StreamConfig", "await_any_termination", "mirror_stream", "run_streaming", "run_to_completion", "write_stream_console",
+    "StreamConfig", "await_any_termination", "drain", "mirror_stream", "run_streaming", "run_to_completion", "write_stream_console",
     "write_stream_kafka", "write_stream_parquet",
 ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from roadflow.session import ensure_dir, prefer_rocksdb_state, shuffle_partition
 from roadflow.sources.readings import read_readings_stream
 from roadflow.sources.tables import WINDOW_DATE
 from roadflow.streaming.sinks import (
+    AVAILABLE_NOW,
     write_stream_console,
     write_stream_kafka,
     write_stream_parquet,
@@ -64,8 +65,7 @@ class StreamConfig:
     state_partitions: int | None = None
     # Writer tasks of the aggregate sink (None: every state partition writes its
     # own file per date). When set, the emitted rows (not the state) are hashed
-    # by date into that many tasks: one file per date and micro-batch. Leave it
-    # unset when a batch emits more rows per date than one task should write.
+    # by date and a bucket of the sensor into that many tasks.
     sink_files: int | None = None
 
 
@@ -109,6 +109,19 @@ def _start_all(spark, cfg, stored, aggs, alerts, parts) -> list[StreamingQuery]:
     for i, path in enumerate(cfg.alert_paths):
         queries.append(write_stream_parquet(
             alerts, path, os.path.join(cfg.checkpoint_dir, f"alerts-{i}"), cfg.alert_trigger))
+    queries += _start_mirrors(spark, cfg, parts)
+    if cfg.kafka_alert_topic:
+        queries.append(write_stream_kafka(
+            alerts, cfg.kafka_alert_topic, os.path.join(cfg.checkpoint_dir, "alerts-kafka"),
+            cfg.bootstrap_servers, cfg.kafka_trigger))
+    if cfg.console:
+        queries.append(write_stream_console(
+            aggs, cfg.console_trigger, checkpoint=os.path.join(cfg.checkpoint_dir, "console")))
+    return queries
+
+
+def _start_mirrors(spark, cfg, parts) -> list[StreamingQuery]:
+    queries: list[StreamingQuery] = []
     agg_schema = (StructType(WINDOW_AGG.fields + [StructField(WINDOW_DATE, DateType())])
                   if parts else WINDOW_AGG)
     for kind, sources, mirrors, mirror_parts, schema in (
@@ -120,16 +133,22 @@ def _start_all(spark, cfg, stored, aggs, alerts, parts) -> list[StreamingQuery]:
             queries.append(mirror_stream(
                 spark, sources[0], path, os.path.join(cfg.checkpoint_dir, f"{kind}-mirror-{i}"),
                 cfg.mirror_trigger, partition_by=mirror_parts, schema=schema))
-    if cfg.kafka_alert_topic:
-        queries.append(write_stream_kafka(
-            alerts, cfg.kafka_alert_topic, os.path.join(cfg.checkpoint_dir, "alerts-kafka"),
-            cfg.bootstrap_servers, cfg.kafka_trigger))
-    if cfg.console:
-        queries.append(write_stream_console(
-            aggs, cfg.console_trigger, checkpoint=os.path.join(cfg.checkpoint_dir, "console")))
     return queries
 
 
+def drain(spark: SparkSession, cfg: StreamConfig) -> None:
+    """Process what the source holds now and return. Copies start when their primaries have ended,
+    so one drain leaves them complete.
+
+    Batches are unbounded unless the configuration bounds them (``max_files_per_trigger``,
+    ``source_options``): a bound makes rows late wherever the source isn't in event-time order,
+    and late rows are dropped, so it is the caller's choice."""
+    cfg = replace(cfg, agg_trigger=AVAILABLE_NOW, alert_trigger=AVAILABLE_NOW, mirror_trigger=AVAILABLE_NOW,
+                  kafka_trigger=AVAILABLE_NOW, console_trigger=AVAILABLE_NOW)
+    run_to_completion(run_streaming(spark, replace(cfg, agg_mirrors=[], alert_mirrors=[])))
+    run_to_completion(_start_mirrors(spark, cfg, [WINDOW_DATE] if cfg.partition_aggs_by_date else None))
+
+
 def mirror_stream(spark: SparkSession, source_path: str, target_path: str, checkpoint: str,
                   trigger: str | None = "1 minute", partition_by: list[str] | None = None,
                   schema: StructType | None = None) -> StreamingQuery:

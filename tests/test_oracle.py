@@ -23,9 +23,8 @@ def con_small():
     return duckdb_connection(SF_SMALL)
 
 
-def test_every_query_has_sql_except_rows_only():
-    assert set(QUERIES) - set(SQL) == {"alerts_json"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -46,12 +45,6 @@ def test_query_matches_oracle_small(spark, con_small, name):
     assert res["ok"], res
 
 
-def test_alerts_json_rows(spark, con):
-    got = QUERIES["alerts_json"](spark, SF_ORACLE)
-    assert got.columns == ["value"]
-    assert got.count() == con.execute(SQL["congestion_alerts"]).df().shape[0]
-
-
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["report_date", "sensor_id", "peak_hour", "vehicles_hour",

@@ -175,7 +175,7 @@ def test_live_view_and_report_feed(spark, stored_aggs, tmp_path):
     assert feed.totals.agg(F.sum("total_volume")).first()[0] == \
         feed.volume.agg(F.sum("total_volume")).first()[0]
     path = write_weekly_report(feed.weekly, str(tmp_path / "export"), dt.date(2024, 1, 4), dt.date(2024, 1, 10))
-    assert path.endswith("peak_hour_report_2024-01-04_to_2024-01-10.csv")
+    assert path.endswith("weekly_peak_hours_2024-01-04_to_2024-01-10.csv")
     assert spark.read.option("header", "true").csv(path).count() == 10
 
 
@@ -223,3 +223,52 @@ def test_cli_stream_backfill_then_daily(spark, tmp_path):
     assert sorted(got.collect()) == sorted(want.collect())
     alerts = spark.read.parquet(str(tmp_path / "alerts"))
     assert alerts.count() == _batch_alert_count(spark) and alerts.where("detected_at is null").count() == 0
+
+
+def test_empty_newest_report_stays_the_newest(spark, tmp_path):
+    d = str(tmp_path / "r")
+    os.makedirs(d)
+    _write(d, "peak_hour_report_2024-01-10.csv", "OLD")
+    with open(os.path.join(d, "peak_hour_report_2024-01-11.csv"), "w") as f:
+        f.write(HEADER)
+    assert read_report(spark, d, "peak").count() == 0
+
+
+def test_weekly_export_does_not_shadow_a_day(spark, stored_aggs, tmp_path):
+    from roadflow.plans import report_feed, write_weekly_report
+
+    out = str(tmp_path / "shadow")
+    for d in (9, 10):
+        run_daily(spark, dt.date(2024, 1, d), stored_aggs, out)
+    feed = report_feed(spark, out, dt.date(2024, 1, 10))
+    reports = os.path.join(out, "reports")
+    write_weekly_report(feed.weekly, reports, dt.date(2024, 1, 10), dt.date(2024, 1, 16))
+    days = {r.report_date for r in read_report(spark, reports, "peak", "2024-01-10").collect()}
+    assert days == {dt.date(2024, 1, 10)}
+
+
+def test_rerun_of_a_day_that_became_empty_leaves_no_rows(spark, stored_aggs, tmp_path):
+    out, day = str(tmp_path / "stale"), dt.date(2024, 1, 10)
+    run_daily(spark, day, stored_aggs, out)
+    run_daily(spark, dt.date(2024, 1, 9), stored_aggs, out)
+    empty = str(tmp_path / "empty")
+    spark.read.parquet(stored_aggs).where("false").write.parquet(empty)
+    run_daily(spark, day, empty, out)
+    for table in ("daily_peak_hour", "intervention_report"):
+        days = {r.report_date for r in spark.read.parquet(os.path.join(out, table)).collect()}
+        assert days == {dt.date(2024, 1, 9)}
+    summary = spark.read.parquet(os.path.join(out, "daily_summary")).where(F.col("report_date") == F.lit(day))
+    assert [r.window_count for r in summary.collect()] == [0]
+
+
+def test_written_report_is_in_order(spark, stored_aggs, tmp_path):
+    """SRT-1: part files in the order of their names hold the rows by sensor and hour."""
+    out = str(tmp_path / "ordered")
+    run_daily(spark, dt.date(2024, 1, 10), stored_aggs, out)
+    path = os.path.join(out, "reports", "traffic_volume_vs_time_2024-01-10.csv")
+    rows = []
+    for part in sorted(p for p in os.listdir(path) if p.startswith("part-")):
+        with open(os.path.join(path, part)) as f:
+            rows += [line.split(",")[:2] for line in f.read().splitlines()[1:]]
+    keys = [(s, int(h)) for s, h in rows]
+    assert keys and keys == sorted(keys)

@@ -193,3 +193,61 @@ def test_parquet_payload_source(spark, tmp_path):
         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
     run_to_completion([q])
     assert sorted(spark.read.parquet(out).collect()) == sorted(readings.collect())
+
+
+def test_one_drain_completes_the_copies(spark, tmp_path):
+    from roadflow.streaming import drain
+
+    src = str(tmp_path / "in")
+    os.makedirs(src)
+    _drop(src, "f0.json", [_line("10:01:00", 3, 5.0), _line("10:40:00", 1)])
+    agg, alerts = str(tmp_path / "agg"), str(tmp_path / "alerts")
+    drain(spark, StreamConfig(checkpoint_dir=str(tmp_path / "ckpt"), agg_paths=[agg], alert_paths=[alerts],
+                              agg_mirrors=[agg + "_copy"], alert_mirrors=[alerts + "_copy"],
+                              source="text", source_path=src))
+    for path, n in ((agg, 1), (alerts, 1)):
+        left, right = spark.read.parquet(path), spark.read.parquet(path + "_copy")
+        assert left.count() == n and sorted(left.collect()) == sorted(right.collect())
+
+
+def test_processing_time_trigger_and_update_mode(spark, tmp_path):
+    """STR-5, STR-7: every batch hands over the windows it changed; a table keyed by window keeps the last."""
+    src = str(tmp_path / "in")
+    os.makedirs(src)
+    _drop(src, "f0.json", [_line("10:01:00", 3), _line("10:06:00", 4)])
+    seen = []
+    aggs = ops.aggregate_windows(read_readings_stream(spark, "text", path=src))
+    q = (aggs.writeStream.outputMode("update").trigger(processingTime="1 second")
+         .option("checkpointLocation", str(tmp_path / "ckpt"))
+         .foreachBatch(lambda df, n: seen.append((n, {r.window_start: r.total_vehicles for r in df.collect()})))
+         .start())
+    try:
+        q.processAllAvailable()
+        _drop(src, "f1.json", [_line("10:02:00", 5)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    changed = [rows for _, rows in seen if rows]
+    assert changed[0] == {_ts("10:00"): 3, _ts("10:05"): 4}
+    assert changed[-1] == {_ts("10:00"): 8}
+
+
+def test_failed_query_stops_the_others(spark, tmp_path):
+    import pytest
+    from roadflow.streaming import await_any_termination
+
+    src = str(tmp_path / "in")
+    os.makedirs(src)
+    _drop(src, "f0.json", [_line("10:01:00", 3, 5.0)])
+    spark.streams.resetTerminated()
+    readings = read_readings_stream(spark, "text", path=src)
+    good = write_stream_parquet(ops.detect_alerts(readings), str(tmp_path / "a"), str(tmp_path / "ca"), trigger="1 second")
+
+    def fail(df, n):
+        raise ValueError("planned")
+
+    bad = readings.writeStream.option("checkpointLocation", str(tmp_path / "cb")).foreachBatch(fail).start()
+    with pytest.raises(RuntimeError, match="failed"):
+        await_any_termination(spark, [good, bad], timeout_s=120)
+    assert not good.isActive and not bad.isActive
+    spark.streams.resetTerminated()
