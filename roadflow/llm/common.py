@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import scratch_dir
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
+WORD_BLOCK = 1 << 17
+SLICE_ROWS = 1000
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _U64 = np.uint64
 
@@ -61,6 +63,13 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most SLICE_ROWS at a time, where a row's work is much larger than the row."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(k, SLICE_ROWS)
+
+
 def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges [lo, hi) of at most ``most`` bytes, or of one row."""
     lo, n = 0, len(offsets) - 1
@@ -132,8 +141,18 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    run, inverse = prefix_hash(data)
-    return mix64((run[ends] - run[starts]) * inverse[starts])
+    """Hashes of data[starts:ends], found over blocks of about WORD_BLOCK bytes: a hash does not depend on where
+    its bytes stand, so the tables needed stay as small as a block (or its longest word)."""
+    out = np.zeros(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        at = starts[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, at + WORD_BLOCK, side="right")))
+        run, inverse = prefix_hash(data[at:ends[hi - 1]])
+        s, e = starts[lo:hi] - at, ends[lo:hi] - at
+        out[lo:hi] = (run[e] - run[s]) * inverse[s]
+        lo = hi
+    return mix64(out)
 
 
 def shingle_hashes(words: np.ndarray, rows: np.ndarray, n_rows: int, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import CHUNK_BYTES, chunks, lower_ascii, materialise, mix64, seeds, shingle_hashes, text_buffers, word_hashes, word_spans
+from .common import CHUNK_BYTES, chunks, lower_ascii, materialise, mix64, seeds, shingle_hashes, slices, text_buffers, word_hashes, word_spans
 from .graph import components
 
 ROWS, BANDS, BATCH, BATCHES = 4, 20, 16, 3
@@ -65,7 +65,7 @@ def _ident():
 def sketch(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, n_shingles, class (hash of the word sequence), sig, one row per row of docs."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, keys, sigs = [], [], []
             for _, shingles, key in text_sets(batch.column(1), n):
                 sizes.append(len(shingles))
@@ -151,7 +151,7 @@ def unpacked(column: pa.Array) -> pa.Array:
 def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, threshold: float) -> DataFrame:
     """Pairs whose full shingle sets have similarity >= threshold, compared as integers."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys, sets = batch.column(0).to_numpy(zero_copy_only=False), [], []
             for _, shingles, key in text_sets(unpacked(batch.column(1)), n):
                 keys.append(key)
@@ -179,7 +179,7 @@ def cross_links(mixed: DataFrame, docs: DataFrame, classes: DataFrame, n: int, t
     pairs that share a band, then the sequential test, then exact intersections. No pair leaves the task unless it joins
     two components."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = list(text_sets(unpacked(batch.column(1)), n))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for _, _, k in got], pa.binary()), pa.array([signature(x).tobytes() for _, x, _ in got], pa.binary()),
                                               pa.array([x.tobytes() for _, x, _ in got], pa.binary())], names=["id", "class", "sig", "shingles"])
