@@ -58,39 +58,38 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def band_values(sigs: np.ndarray) -> np.ndarray:
+    """(n, BANDS) bucket keys of (n, HASHES) signatures."""
+    parts = sigs[:, :ROWS * BANDS].reshape(len(sigs), BANDS, ROWS).astype(np.uint64)
+    return mix64((parts * seeds(ROWS, 9000)).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+
+
+def checked_values(sigs: np.ndarray) -> np.ndarray:
+    """The hashes that pairs are tested on, cut to 16 bits: equal hashes stay equal, so no pair is lost by that, and what
+    passes by chance is confirmed exactly."""
+    return sigs[:, ROWS * BANDS:].astype(np.uint16)
+
+
 def _ident():
     return F.coalesce(F.col("doc_id").cast("long"), -1 - F.abs(F.xxhash64("text") % (1 << 60)))
 
 
 def sketch(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, class (hash of the word sequence), sig, one row per row of docs."""
+    """doc_id, n_shingles, class (hash of the word sequence), bands, sig (see ``band_values``, ``checked_values``), one row
+    per row of docs."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sizes, keys, sigs = [], [], []
             for _, shingles, key in text_sets(batch.column(1), n):
                 sizes.append(len(shingles))
                 keys.append(key)
-                sigs.append(signature(shingles).tobytes() if len(shingles) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-                                             names=["doc_id", "n_shingles", "class", "sig"])
-
-    return docs.select(_ident().alias("doc_id"), "text").mapInArrow(rows, "doc_id long, n_shingles long, class binary, sig binary")
-
-
-def band_keys(reps: DataFrame) -> DataFrame:
-    """(key, id): one row per band."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(ids), HASHES)
-            mult = seeds(ROWS, 9000)
-            keys = []
-            for band in range(BANDS):
-                part = sigs[:, band * ROWS:(band + 1) * ROWS].astype(np.uint64)
-                keys.append(mix64((part * mult).sum(axis=1, dtype=np.uint64) + np.uint64(band)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()), pa.array(np.tile(ids, BANDS), pa.int64())], names=["key", "id"])
+                sigs.append(signature(shingles)[None, :] if len(shingles) else None)
+            bands = [None if x is None else band_values(x)[0].view(np.int64) for x in sigs]
+            tests = [None if x is None else checked_values(x).tobytes() for x in sigs]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(tests, pa.binary())],
+                                             names=["doc_id", "n_shingles", "class", "bands", "sig"])
 
-    return reps.select("id", "sig").mapInArrow(rows, "key long, id long")
+    return docs.select(_ident().alias("doc_id"), "text").mapInArrow(rows, "doc_id long, n_shingles long, class binary, bands array<long>, sig binary")
 
 
 def fewest_matches(threshold: float, miss: float = MISS) -> list[int]:
@@ -108,11 +107,11 @@ def fewest_matches(threshold: float, miss: float = MISS) -> list[int]:
 
 
 def survives(left: np.ndarray, right: np.ndarray, fewest: list[int]) -> np.ndarray:
-    """For rows of two signature arrays; hashes of the bands, by which the pair was found, are not used."""
+    """For rows of two arrays of ``checked_values``; hashes of the bands, by which the pair was found, are not among them."""
     alive = np.arange(len(left))
     matches = np.zeros(len(left), np.int64)
     for k in range(BATCHES):
-        cols = slice(ROWS * BANDS + k * BATCH, ROWS * BANDS + (k + 1) * BATCH)
+        cols = slice(k * BATCH, (k + 1) * BATCH)
         matches[alive] += (left[alive, cols] == right[alive, cols]).sum(axis=1)
         alive = alive[matches[alive] >= fewest[k]]
     return alive
@@ -123,7 +122,7 @@ def verify_sequentially(pairs: DataFrame, threshold: float) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fewest = fewest_matches(threshold)
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("siga", "sigb"))
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BATCH * BATCHES) for c in ("siga", "sigb"))
             yield batch.select(["a", "b"]).take(pa.array(survives(left, right, fewest)))
 
     return pairs.select("a", "b", "siga", "sigb").mapInArrow(rows, "a long, b long")
@@ -181,16 +180,18 @@ def cross_links(mixed: DataFrame, docs: DataFrame, classes: DataFrame, n: int, t
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             got = list(text_sets(unpacked(batch.column(1)), n))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for _, _, k in got], pa.binary()), pa.array([signature(x).tobytes() for _, x, _ in got], pa.binary()),
-                                              pa.array([x.tobytes() for _, x, _ in got], pa.binary())], names=["id", "class", "sig", "shingles"])
+            sigs = [signature(x)[None, :] for _, x, _ in got]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for _, _, k in got], pa.binary()), pa.array([band_values(x).tobytes() for x in sigs], pa.binary()),
+                                              pa.array([checked_values(x).tobytes() for x in sigs], pa.binary()), pa.array([x.tobytes() for _, x, _ in got], pa.binary())],
+                                             names=["id", "class", "bands", "sig", "shingles"])
 
     texts = packed_texts(docs).join(mixed.select("id"), "id", "left_semi")
-    found = texts.mapInArrow(sets, "id long, class binary, sig binary, shingles binary")
+    found = texts.mapInArrow(sets, "id long, class binary, bands binary, sig binary, shingles binary")
     reps = classes.select("id", "class")
-    found = materialise(found.join(reps, ["id", "class"], "left_semi").dropDuplicates(["id"]).select("id", "sig", "shingles"), "sets")
+    found = materialise(found.join(reps, ["id", "class"], "left_semi").dropDuplicates(["id"]).select("id", "bands", "sig", "shingles"), "sets")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = mixed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    placed = placed.join(found, "id").select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "sig", "shingles")
+    placed = placed.join(found, "id").select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "bands", "sig", "shingles")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fewest, percent = fewest_matches(threshold), round(threshold * 100)
@@ -209,8 +210,8 @@ def _links(g: pa.Table, fewest: list[int], percent: int) -> tuple[np.ndarray, np
     i, j = g.column("i")[0].as_py(), g.column("j")[0].as_py()
     left = np.arange(len(ids)) if i == j else np.flatnonzero(block == i)
     right = left if i == j else np.flatnonzero(block == j)
-    sigs = np.frombuffer(b"".join(g.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-    bands = [mix64((sigs[:, k * ROWS:(k + 1) * ROWS].astype(np.uint64) * seeds(ROWS, 9000)).sum(axis=1, dtype=np.uint64)) for k in range(BANDS)]
+    sigs = np.frombuffer(b"".join(g.column("sig").to_pylist()), np.uint16).reshape(-1, BATCH * BATCHES)
+    bands = np.frombuffer(b"".join(g.column("bands").to_pylist()), np.uint64).reshape(-1, BANDS).T
     met = np.zeros((len(left), len(right)), bool)
     for key in bands:
         met |= key[left][:, None] == key[right][None, :]
@@ -299,8 +300,8 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, threshold: float = 0.8) -> D
     classes = materialise(classes, "classes")
     # a representative's id may stand for several texts: its class comes along
     sigs = rows.join(classes, (rows["class"] == classes["class"]) & (rows["doc_id"] == classes["id"]), "left_semi")
-    sigs = materialise(sigs.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "sig"), "signatures")
-    keys = materialise(band_keys(sigs), "bands")
+    sigs = materialise(sigs.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "bands", "sig"), "signatures")
+    keys = sigs.select(F.explode("bands").alias("key"), "id")
     buckets = materialise(keys.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead"), "buckets")
     members = keys.join(buckets, "key")
 
