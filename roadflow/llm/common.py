@@ -21,24 +21,29 @@ from ..session import scratch_dir
 CHUNK_BYTES = 1 << 19
 WORD_BLOCK = 1 << 17
 SLICE_ROWS = 1000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _U64 = np.uint64
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (schema kept, also when empty).
 
     The written table stands for all that came before it, so Spark removes the write's shuffle files as soon
-    as the write is done, not when the driver's collector happens to find them unused."""
+    as the write is done, not when the driver's collector happens to find them unused. ``arrow_rows``: rows handed to
+    Python at a time in that write."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark, f'llm-{name}')}/table"
     schema = df.schema
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    wanted = {SHUFFLE_CLEANUP: "true"} | ({ARROW_ROWS: str(arrow_rows)} if arrow_rows else {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before) if before is not None else spark.conf.unset(SHUFFLE_CLEANUP)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -27,7 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import CHUNK_BYTES, chunks, lower_ascii, materialise, mix64, seeds, shingle_hashes, slices, text_buffers, word_hashes, word_spans
+from .common import CHUNK_BYTES, SLICE_ROWS, chunks, lower_ascii, mix64, seeds, shingle_hashes, slices, text_buffers, word_hashes, word_spans
+from .common import materialise as _materialise
 from .graph import components
 
 ROWS, BANDS, BATCH, BATCHES = 4, 20, 16, 3
@@ -37,6 +38,10 @@ BLOCK = 512
 _MULT = (seeds(HASHES, 5000) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    return _materialise(df, name, arrow_rows=SLICE_ROWS)
+
+
 def text_sets(column, n: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
     """(row, sorted distinct shingle hashes, hash of the word sequence) of each text, in order."""
     data, offsets = text_buffers(column)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, held_out, lower_ascii, materialise, text_buffers, word_hashes, word_spans
+from .common import chunks, held_out, lower_ascii, materialise, slices, text_buffers, word_hashes, word_spans
 
 WORDS, BINS, RANK = 1 << 14, 16, 8
 SAMPLE = 8000
@@ -150,24 +150,27 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample: i
     return train(np.repeat(np.arange(len(counts)), counts), index.astype(np.int64), values.astype(np.float32), got.column("y").to_numpy().astype(np.float32))
 
 
-def score(docs: DataFrame, model: dict, *keep: str) -> DataFrame:
-    """The columns ``keep`` of docs, and ``score``."""
+def score(docs: DataFrame, model: dict, *keep: str, text_at: int | None = None) -> DataFrame:
+    """The columns ``keep`` of docs, and ``score``. ``text_at``: the text is that field of the first kept column, a
+    struct, and does not travel a second time."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES * (RANK + 1) numbers
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = np.full(batch.num_rows, 0.5)
-            for lo, hi, row, index, values in features(batch.column(batch.num_columns - 1)):
+            text = batch.column(len(keep)) if text_at is None else batch.column(0).field(text_at)
+            for lo, hi, row, index, values in features(text):
                 out[lo:hi] = sigmoid(raw_scores(shared.value, row, index, values, hi - lo)[0].astype(float))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out)], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(out)], names=[*keep, "score"])
 
-    picked = docs.select(*keep, F.col("text").alias("scored_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]) + ", score double"
+    picked = docs.select(*keep, *([F.col("text").alias("scored_text")] if text_at is None else []))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:len(keep)]) + ", score double"
     return picked.mapInArrow(rows, schema)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, *, least: float = 0.3, **options) -> DataFrame:
     """docs without those that score below ``least``."""
     model = fit(docs, labels, **options)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return score(rows, model, "row").where(F.col("score") >= least).select("row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    at = [name.lower() for name in docs.columns].index("text")
+    return score(rows, model, "row", text_at=at).where(F.col("score") >= least).select("row.*")
