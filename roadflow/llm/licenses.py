@@ -6,12 +6,18 @@ many shingles start at every position (``stride`` 1) or at every quarter of a lo
 ``ROWS * BANDS`` min-hashes form ``BANDS`` band keys, which meet the templates' keys in a join; candidates are
 verified by the exact share of the template's shingles that the window holds.
 
+With ``every_start`` (the query's setting) strided windows are lengthened by a stride, so each window of the class lies in
+one, and serve for retrieval only. Of each template retrieved in a text every start is verified: an occurrence of
+a template shingle counts for the starts whose window has it first, an interval, and the running sum over the intervals'
+ends is the exact number of distinct shingles in each window. Without it only strided windows are looked at, and a
+passage whose best window starts between two strides can be lost.
+
 A window can agree with a template in a min-hash only if it holds that very shingle. So windows are
 formed only where some template shingle occurs: this drops no window that could share a band.
 
 ``band_probability`` gives the chance that a window with a given similarity is retrieved. A window of the class's
 size that holds 0.8 of a template's shingles has similarity 0.8 / (2 - 0.8) = 0.67 if the class is the template's
-size, 0.8 / (2 * 2 - 0.8) = 0.29 or more at the class's worst; the default bands (1 row, 32 bands) retrieve it with 1 - (1 - s)^32,
+size, 0.29 or more at the class's worst, also in lengthened windows (0.8 / (2.5 + 1 - 0.8) = 0.296); the default bands (1 row, 32 bands) retrieve it with 1 - (1 - s)^32,
 over 0.99998.
 
 Defined results: null and empty texts match nothing; a text or template shorter than a shingle has its whole
@@ -23,7 +29,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import materialise
 
@@ -79,7 +85,8 @@ def band_keys(part: Column, rows: int, bands: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(b), *low[b * rows:(b + 1) * rows]) for b in range(bands)])
 
 
-def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: float = 0.8, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: float = 0.8, rows: int = ROWS, bands: int = BANDS,
+         every_start: bool = False) -> DataFrame:
     """doc_id, template_id, containment (of the best window), n_windows (that reach ``containment``), first_word, last_word
     (positions that those windows span, last exclusive)."""
     t = templates.select("template_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
@@ -93,6 +100,8 @@ def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: floa
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _once(words(F.col("text")), "w"))
     d = materialise(_with_hits(d, known, templates, n), "hits")  # read once per class of windows
+    if every_start:
+        return _every_start(d, t, spans, n, containment, rows, bands)
     windows = []
     for span in spans:
         stride = max(1, span // 4) if span >= 32 else 1
@@ -115,6 +124,41 @@ def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: floa
         F.max("containment").alias("containment"), F.count("*").alias("n_windows"), F.min("start").alias("first_word"), F.max("end").alias("last_word"))
 
 
+def _every_start(d: DataFrame, t: DataFrame, spans: list[int], n: int, containment: float, rows: int, bands: int) -> DataFrame:
+    """As ``scan``, over the windows at every start."""
+    d = d.withColumn("row", F.xxhash64("doc_id", "sh"))
+    windows = []
+    for span in spans:
+        stride = span // 4 if span >= 32 else 1
+        length = span + stride - 1  # holds the windows of all starts from its own to the next
+        starts = F.array_distinct(F.flatten(F.transform("hits", lambda p: F.transform(
+            F.sequence(F.ceil(F.greatest(F.lit(0), p - length + 1) / stride).cast("int"), F.floor(p / stride).cast("int")), lambda i: i * stride))))
+        windows.append(d.select("row", F.explode(starts).alias("start"), F.lit(span).alias("span"), F.slice("sh", F.col("start") + 1, length).alias("part")))
+    all_windows = windows[0]
+    for x in windows[1:]:
+        all_windows = all_windows.unionByName(x)
+    keyed = all_windows.select("row", "span", F.explode(F.array_distinct(band_keys(F.col("part"), rows, bands))).alias("key"))
+    found = keyed.join(t.select("template_id", "span", "key"), ["span", "key"]).select("row", "template_id").distinct()
+    sizes = t.select("template_id", "template", "span").distinct()
+    known = sizes.select("template_id", "span", F.size("template").alias("size"), F.explode("template").alias("h"))
+    # where the retrieved templates' shingles stand in the text
+    at = d.select("row", "doc_id", "n_words", F.size("sh").alias("n_sh"), "sh", F.explode("hits").alias("p")).withColumn("h", F.get("sh", F.col("p"))).drop("sh")
+    at = at.join(found, "row").join(known, ["template_id", "h"]).dropDuplicates(["row", "template_id", "p"])
+    before = F.lag("p").over(Window.partitionBy("row", "template_id", "h").orderBy("p"))
+    lo = F.greatest(F.lit(0), F.col("p") - F.col("span") + 1, F.coalesce("before", F.lit(-1)) + 1)
+    hi = F.least("p", F.greatest(F.lit(0), F.col("n_sh") - F.col("span")))
+    at = at.withColumn("before", before).select("*", lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
+    row = ["row", "doc_id", "n_words", "n_sh", "template_id", "span", "size"]
+    ends = at.select(*row, F.explode(F.array(F.struct(F.col("lo").alias("start"), F.lit(1).alias("d")), F.struct((F.col("hi") + 1).alias("start"), F.lit(-1).alias("d")))).alias("e"))
+    ends = ends.groupBy(*row, "e.start").agg(F.sum("e.d").alias("d"))
+    order = Window.partitionBy("row", "template_id").orderBy("start")
+    steps = ends.select(*row, "start", F.sum("d").over(order).alias("held"), F.lead("start").over(order).alias("next"))
+    steps = steps.withColumn("containment", F.col("held") / F.col("size")).where((F.col("containment") >= containment) & F.col("next").isNotNull())
+    end = F.least(F.col("n_words"), F.col("next") - 1 + F.least("span", "n_sh") + (n - 1))
+    return steps.withColumn("end", end).groupBy("doc_id", "template_id").agg(
+        F.max("containment").alias("containment"), F.sum(F.col("next") - F.col("start")).alias("n_windows"), F.min("start").alias("first_word"), F.max("end").alias("last_word"))
+
+
 def _with_hits(d: DataFrame, known: DataFrame, templates: DataFrame, n: int) -> DataFrame:
     """doc_id, n_words, sh, ``hits``: positions of shingles that some template has; texts without any can't
     match and go. From (doc_id, w).

@@ -22,7 +22,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import notices, scan
 
-    return scan(_table(spark, sf_dir, "documents"), notices(spark))
+    return scan(_table(spark, sf_dir, "documents"), notices(spark), every_start=True)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

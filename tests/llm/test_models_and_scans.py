@@ -141,6 +141,34 @@ def test_licenses_equal_brute_force(spark, make_docs):
     assert {k: (r.containment, r.n_windows) for k, r in got.items()} == want
 
 
+def test_licenses_are_found_at_every_start(spark, make_docs):
+    rng = random.Random(12)
+    rows = []
+    for i in range(200):
+        notice = NOTICES[rng.choice(["MIT-text", "MIT-text", "BSD", "MIT"])].split()
+        for _ in range(rng.choice([0, 1, 2, 2])):
+            notice[rng.randrange(len(notice))] = "changed"
+        rows.append((i, " ".join([f"a{k}" for k in range(rng.randint(0, 150))] + notice * rng.choice([1, 1, 2]) + [f"b{k}" for k in range(rng.randint(0, 150))])))
+    rows += [(500, None), (501, ""), (502, "Released"), (503, "all rights"), (7, rows[7][1]), (8, rows[9][1])]
+    templates = notices(spark).union(spark.createDataFrame([("none", None), ("short", "all rights")], "template_id string, text string"))
+    got = {(r.doc_id, r.template_id): (r.containment, r.n_windows, r.first_word, r.last_word) for r in scan(make_docs(rows), templates, every_start=True).collect()}
+    want = {}
+    for d, t in dict.fromkeys(rows):
+        s, words = shingled(t), len((t or "").split())
+        for k, v in {**NOTICES, "short": "all rights"}.items():
+            ts, size = set(shingled(v)), 1
+            while size < len(shingled(v)):
+                size *= 2
+            shares = [(len(ts & set(s[a:a + size])) / len(ts), a, min(words, a + len(s[a:a + size]) + 4)) for a in range(max(1, len(s) - size + 1))] if s else []
+            held = [x for x in shares if x[0] >= 0.8]
+            if held:
+                more = want.get((d, k), (0, 0, 10 ** 9, 0))
+                want[(d, k)] = (max(more[0], max(held)[0]), more[1] + len(held), min(more[2], held[0][1]), max(more[3], held[-1][2]))
+    assert got == want
+    strided = {(r.doc_id, r.template_id) for r in scan(make_docs(rows), templates).collect()}
+    assert strided < set(got)
+
+
 def test_license_bands_and_empty_tables(spark, make_docs):
     assert band_probability(0.28) > 0.9999
     assert scan(make_docs([]), notices(spark)).collect() == []
