@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadflow.llm.common import materialise
-from roadflow.llm.minhash import near_duplicates
+from roadflow.llm.minhash import near_groups, node
 from roadflow.llm.mixing import mixed_documents
 from roadflow.llm.packing import pack
 from roadflow.llm.quality import good_documents
@@ -22,11 +22,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id (of several rows with that id, the smallest text hash)."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = materialise(kept, "kept")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), -1 - F.abs(F.xxhash64("text") % (1 << 60))).alias("id"))
-    return rows.join(kept, rows["id"] == kept["kept_id"], "left_semi").dropDuplicates(["id"]).select("row.*")
+    """One document of each group stays: that with the smallest id (of several texts with that id, the smallest hash; of equal rows one).
+    Different texts under one id are documents of their own."""
+    kept = near_groups(docs).where("kept").groupBy("component").agg(F.min("id").alias("kept_id"))
+    kept = materialise(kept.select("kept_id").distinct(), "kept")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), node().alias("id"))
+    rows = rows.join(kept, rows["id"] == kept["kept_id"], "left_semi")
+    return rows.groupBy("id").agg(F.min("row").alias("row")).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

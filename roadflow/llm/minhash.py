@@ -79,8 +79,13 @@ def _ident():
     return F.coalesce(F.col("doc_id").cast("long"), -1 - F.abs(F.xxhash64("text") % (1 << 60)))
 
 
+def node():
+    """A text under an id is a node of its own: different texts under one id are linked by nothing."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
 def sketch(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, class (hash of the word sequence), bands, sig (see ``band_values``, ``checked_values``), one row
+    """doc_id, id (``node``), n_shingles, class (hash of the word sequence), bands, sig (see ``band_values``, ``checked_values``), one row
     per row of docs."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -91,10 +96,10 @@ def sketch(docs: DataFrame, n: int) -> DataFrame:
                 sigs.append(signature(shingles)[None, :] if len(shingles) else None)
             bands = [None if x is None else band_values(x)[0].view(np.int64) for x in sigs]
             tests = [None if x is None else checked_values(x).tobytes() for x in sigs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(tests, pa.binary())],
-                                             names=["doc_id", "n_shingles", "class", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(tests, pa.binary())],
+                                             names=["doc_id", "id", "n_shingles", "class", "bands", "sig"])
 
-    return docs.select(_ident().alias("doc_id"), "text").mapInArrow(rows, "doc_id long, n_shingles long, class binary, bands array<long>, sig binary")
+    return docs.select(_ident().alias("doc_id"), "text", node().alias("id")).mapInArrow(rows, "doc_id long, id long, n_shingles long, class binary, bands array<long>, sig binary")
 
 
 def fewest_matches(threshold: float, miss: float = MISS) -> list[int]:
@@ -142,7 +147,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack((x.as_py() or "").encode()) for x in batch.column(1)], pa.binary())], names=["id", "packed"])
 
-    return docs.select(_ident().alias("id"), "text").mapInArrow(rows, "id long, packed binary")
+    return docs.select(node().alias("id"), "text").mapInArrow(rows, "id long, packed binary")
 
 
 def unpacked(column: pa.Array) -> pa.Array:
@@ -300,12 +305,17 @@ def _bounds(t: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
 
 def near_duplicates(docs: DataFrame, *, n: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept."""
+    return near_groups(docs, n=n, threshold=threshold).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def near_groups(docs: DataFrame, *, n: int = 5, threshold: float = 0.8) -> DataFrame:
+    """As ``near_duplicates``, with id (``node``) and component (a node that stands for the component): two components can have
+    the same smallest doc_id."""
     rows = materialise(sketch(docs, n), "sketch")
-    classes = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("id"))
+    classes = rows.where("n_shingles > 0").groupBy("class").agg(F.min("id").alias("id"), F.min("doc_id").alias("low"))
     classes = materialise(classes, "classes")
-    # a representative's id may stand for several texts: its class comes along
-    sigs = rows.join(classes, (rows["class"] == classes["class"]) & (rows["doc_id"] == classes["id"]), "left_semi")
-    sigs = materialise(sigs.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "bands", "sig"), "signatures")
+    sigs = rows.join(classes, (rows["class"] == classes["class"]) & (rows["id"] == classes["id"]), "left_semi")
+    sigs = materialise(sigs.dropDuplicates(["id"]).select("id", "bands", "sig"), "signatures")
     keys = sigs.select(F.explode("bands").alias("key"), "id")
     buckets = materialise(keys.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead"), "buckets")
     members = keys.join(buckets, "key")
@@ -326,8 +336,11 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, threshold: float = 0.8) -> D
     mixed = materialise(mixed.select("group", "size"), "mixed")
     more = materialise(cross_links(materialise(named.join(mixed, "group"), "mixed"), docs, classes, n, threshold), "links")
     found = components(links.unionByName(more))
-    of_class = classes.join(found, classes["id"] == found["node"], "left").select("class", F.coalesce("component", "id").alias("component"))
+    of_class = classes.join(found, classes["id"] == found["node"], "left").select("class", F.coalesce("component", "id").alias("component"), "low")
     of_class = materialise(of_class, "components")
+    # a written table, so that a large component's rows can be split in the join
+    lowest = materialise(of_class.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
+    of_class = materialise(of_class.drop("low").join(lowest, "component"), "components")
     out = rows.join(of_class, "class", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-                      (F.coalesce("component", "doc_id") == F.col("doc_id")).alias("kept"))
+    return out.select("doc_id", "id", "n_shingles", F.coalesce("component", "id").alias("component"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                      (F.coalesce("component_id", "doc_id") == F.col("doc_id")).alias("kept"))

@@ -65,6 +65,24 @@ def test_components_equal_brute_force(make_docs, n, percent):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), want[r.doc_id], want[r.doc_id] == r.doc_id), r.doc_id
 
 
+def test_texts_under_one_id_are_documents_of_their_own(spark, make_docs):
+    from corpus_pipeline import near_dedup
+
+    rng = random.Random(6)
+    text = [" ".join(rng.choice(VOCAB) + str(rng.randint(0, 30)) for _ in range(60)) for _ in range(6)]
+    near = [t + " end" for t in text]
+    # under 5: a copy of 1's text, and two texts that lead groups of their own; the near copies of both are under larger ids
+    rows = [(1, text[0]), (5, text[0]), (5, text[1]), (5, text[2]), (8, near[1]), (9, near[2]), (6, text[3]), (6, near[3]), (6, near[3]), (7, None), (7, text[4]), (None, text[5])]
+    got = [(r.doc_id, r.component_id, r.kept) for r in near_duplicates(make_docs(rows)).collect()]
+    assert sorted(x for x in got if x[0] in (1, 5, 8, 9)) == [(1, 1, True), (5, 1, False), (5, 5, True), (5, 5, True), (8, 5, False), (9, 5, False)]
+    kept = near_dedup(spark, make_docs(rows), "")
+    assert kept.columns == make_docs(rows).columns
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(kept) == len(set(kept)) == 7
+    assert {(1, text[0]), (5, text[1]), (5, text[2]), (7, None), (7, text[4]), (None, text[5])} < set(kept)
+    assert sum(x[0] == 6 for x in kept) == 1
+
+
 def test_a_group_larger_than_a_block(make_docs, monkeypatch):
     monkeypatch.setattr("roadflow.llm.minhash.BLOCK", 16)
     rng = random.Random(9)
