@@ -1,12 +1,14 @@
 """Approximate nearest neighbours by inner product: inverted lists, scanned by adaptive dimensions.
 
-Lists come from spherical k-means on a bounded sample; every row is indexed. Vectors are turned by a random
+Lists come from spherical k-means on a bounded sample; every row is indexed. Rows of unequal norms get one more
+column for this, which makes their norms equal (``lifted``): inner products with a query, which has 0 there, stay as they are. Rows longer than every sampled one, of which the
+calibration can know nothing, are a list that every query scans. Vectors are turned by a random
 rotation, after which each block of columns is a fair sample of a product. Within a probed list the columns are
 scanned in blocks: after each block a candidate is abandoned when even the partial product plus ``Z`` deviations
 of the unseen part (its norm times the query's, over the root of the columns left) falls short of the query's
 current k-th best score. Survivors are scored in double precision on the original vectors.
 
-The number of probed lists is calibrated on the sample against brute force (``target`` of its true neighbours must lie in them),
+The number of probed lists is calibrated on the sample's original vectors against brute force (inner products; ``target`` of its true neighbours must lie in them),
 and a query goes on to further lists until those hold at least ``4 k`` rows. Lists are dealt out in
 blocks of rows and blocks of queries, so neither a large list nor a much-probed one is one group.
 
@@ -29,6 +31,7 @@ from .minhash import whole_groups
 from .vectors import SAMPLE, matrix, sample_rows, spherical_kmeans, unit, usable
 
 K, PER_LIST, MOST_LISTS, COLUMNS, Z, TARGET = 20, 4000, 1024, 16, 4.0, 0.98
+LONG = MOST_LISTS  # the list of rows longer than any sampled one: all queries scan it
 ROW_BLOCK, QUERY_BLOCK, STRIP = 2048, 2048, 512
 
 
@@ -37,13 +40,32 @@ def rotation(dim: int, seed: int = 5) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(axis=1))
+
+
+def lifted(x: np.ndarray, largest: float) -> np.ndarray:
+    """Unit vectors with one more column, which makes up what a row's norm lacks of the ``largest`` (longer rows: nothing is lacking).
+    A query, with 0 there, has by them the order of its inner products."""
+    x = x / max(largest, 1e-300)
+    return unit(np.hstack((x, np.sqrt(np.maximum(0.0, 1 - (x * x).sum(axis=1, keepdims=True))))))
+
+
 def calibrate(sample: np.ndarray, centres: np.ndarray, k: int, target: float, queries: int = 300) -> int:
-    """How many lists, nearest first, hold ``target`` of the true neighbours of sampled queries."""
+    """How many lists, best first, hold ``target`` of the true neighbours, by inner product, of sampled queries. Centres with one column more
+    than the sample are those of ``lifted`` rows."""
     if len(sample) < 2 or len(centres) < 2:
         return 1
+    rows, columns = sample, sample.shape[1]
+    if centres.shape[1] > columns:
+        rows, centres, whole = lifted(sample, norms(sample).max()), centres[:, :columns], centres
+    else:
+        whole = centres
     q = sample[np.linspace(0, len(sample) - 1, min(queries, len(sample))).astype(int)]
-    cell = (sample @ centres.T).argmax(axis=1)
-    true = np.argsort(-(q @ sample.T), axis=1)[:, 1:k + 1]
+    cell = (rows @ whole.T).argmax(axis=1)
+    score = q @ sample.T
+    score[np.arange(len(q)), np.linspace(0, len(sample) - 1, len(q)).astype(int)] = -np.inf  # a query itself need not come first
+    true = np.argsort(-score, axis=1)[:, :min(k, len(sample) - 1)]
     rank = np.argsort(np.argsort(-(q @ centres.T), axis=1), axis=1)
     need = np.sort(np.take_along_axis(rank, cell[true], axis=1).ravel())
     return int(need[min(len(need) - 1, int(np.ceil(target * len(need))))]) + 1
@@ -103,8 +125,10 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = K, per_list: int =
         F.col("vec_id").cast("long").alias("id"), queries.alias("asks"), "embedding", F.size("embedding").alias("dim"))
     dims = rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect()
     dim, n = (dims[0]["dim"], dims[0]["n"]) if dims else (0, 0)
-    sampled = sample_rows(rows.where(F.col("dim") == dim), sample) if dims else np.zeros((0, 1))
-    centres = spherical_kmeans(sampled, min(MOST_LISTS, max(1, n // per_list)))
+    sampled = sample_rows(rows.where(F.col("dim") == dim), sample, original=True) if dims else np.zeros((0, 1))
+    longest = float(norms(sampled).max()) if len(sampled) else 0.0
+    equal = not len(sampled) or norms(sampled).min() >= (1 - 1e-3) * longest
+    centres = spherical_kmeans((unit(sampled) if len(sampled) else sampled) if equal else lifted(sampled, longest), min(MOST_LISTS, max(1, n // per_list)))
     probes = calibrate(sampled, centres, k, target)
     turn = rotation(dim) if dim else None
 
@@ -114,7 +138,9 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = K, per_list: int =
             lists = -size.astype(np.int64)
             at = np.flatnonzero(size == dim)
             if len(at):
-                lists[at] = (unit(matrix(batch.column("embedding").take(pa.array(at)))) @ centres.T).argmax(axis=1)
+                x = matrix(batch.column("embedding").take(pa.array(at)))
+                best = ((unit(x) if equal else lifted(x, longest)) @ centres.T).argmax(axis=1)
+                lists[at] = np.where(norms(x) > (1 + 1e-3) * longest, LONG, best)
             yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int64()), *(batch.column(c) for c in ("id", "asks", "embedding", "dim"))], names=["list", "id", "asks", "embedding", "dim"])
 
     vector = rows.schema["embedding"].dataType.simpleString()
@@ -128,12 +154,15 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = K, per_list: int =
             at = np.flatnonzero(size == dim)
             who, lists = [np.flatnonzero(size != dim)], [-size[size != dim].astype(np.int64)]
             if len(at):
-                order = np.argsort(-(unit(matrix(batch.column("embedding").take(pa.array(at)))) @ centres.T), axis=1, kind="stable")
+                order = np.argsort(-(unit(matrix(batch.column("embedding").take(pa.array(at)))) @ centres[:, :dim].T), axis=1, kind="stable")
                 before = np.cumsum(held[order], axis=1) - held[order]
                 go = (np.arange(len(centres))[None, :] < probes) | (before < 4 * k + 1)
                 a, c = np.nonzero(go)
                 who.append(at[a])
                 lists.append(order[a, c])
+                if sizes.get(LONG):
+                    who.append(at)
+                    lists.append(np.full(len(at), LONG))
             take = pa.array(np.concatenate(who))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists), pa.int64()), batch.column("id").take(take), batch.column("embedding").take(take)], names=["list", "id", "embedding"])
 

@@ -28,10 +28,12 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def sample_rows(rows: DataFrame, most: int = SAMPLE) -> np.ndarray:
-    """At most ``most`` unit vectors (the smallest hashes of the vector), in a fixed order."""
+def sample_rows(rows: DataFrame, most: int = SAMPLE, original: bool = False) -> np.ndarray:
+    """At most ``most`` unit (or ``original``) vectors (the smallest hashes of the vector), in a fixed order."""
     got = rows.orderBy(F.xxhash64("embedding")).limit(most).select("embedding").toArrow()
-    return unit(matrix(got.column(0))) if got.num_rows else np.zeros((0, 1))
+    if not got.num_rows:
+        return np.zeros((0, 1))
+    return matrix(got.column(0)) if original else unit(matrix(got.column(0)))
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 11) -> np.ndarray:

@@ -73,6 +73,20 @@ def test_nearest_recall_and_scores(spark, per_list):
     assert {r.query_id for r in out} == set(range(0, len(rows), 20))
 
 
+def test_nearest_of_unequal_norms_over_several_lists(spark):
+    rng = np.random.default_rng(7)
+    x = (rng.standard_normal((60, 24))[rng.integers(0, 60, 6000)] + 0.5 * rng.standard_normal((6000, 24)))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True) * rng.lognormal(0, 1.0, (6000, 1))).astype(np.float32).astype(np.float64)
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS).repartition(4)
+    out = nearest(table, F.col("vec_id") % 20 == 0, k=20, per_list=300).collect()
+    hit = 0
+    for q in range(0, 6000, 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len({r.vec_id for r in out if r.query_id == q} & set(np.argsort(-score)[:20].tolist()))
+    assert hit >= 0.95 * 20 * 300
+
+
 def test_nearest_with_few_rows_and_none(spark):
     assert nearest(spark.createDataFrame([], VECTORS), F.col("vec_id") % 20 == 0).collect() == []
     out = nearest(spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [0.5, 0.5], 1), (2, [1.0, 0.0], 1), (20, [0.0, 1.0], 2)], VECTORS), F.col("vec_id") % 20 == 0).collect()
