@@ -28,6 +28,7 @@ own id; rows with equal ids are reported together; an empty table gives an empty
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -35,6 +36,10 @@ from .common import materialise
 
 ROWS, BANDS = 1, 32
 SPLIT = r"[\x20\x09-\x0D]+"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u2018\u2019\u201c\u201d\u00ab\u00bb\u2013\u2014"
+_MARK, _BOTH = (r"[\p{Punct}\u2018\u2019\u201c\u201d\u00ab\u00bb\u2013\u2014" + x + "]" for x in ("", r"\x20\x09-\x0D"))
+#: a run of marks and white space with some white space in it; possessive, so that long runs of marks stay linear
+BARE_SPLIT = rf"(?<!{_BOTH}){_MARK}*+[\x20\x09-\x0D]{_BOTH}*+"
 # fixed values: notices by which public licences are named in running text
 NOTICES = {
     "MIT": "Released under the MIT License.",
@@ -47,6 +52,81 @@ NOTICES = {
                 "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
 }
 
+# further wordings and standard headers
+WORDINGS = {
+    "MIT": [
+        "This project is licensed under the MIT License.",
+        "Licensed under the MIT license.",
+        "Distributed under the MIT License.",
+        "This software is released under the MIT License.",
+        "SPDX-License-Identifier: MIT",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information regarding copyright ownership. The ASF licenses this file to You under the Apache License, Version 2.0",
+        "This project is licensed under the Apache License 2.0.",
+        "Released under the Apache 2.0 license.",
+        "SPDX-License-Identifier: Apache-2.0",
+    ],
+    "GPL": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "Licensed under the GNU General Public License v3.0.",
+        "This project is licensed under the GNU GPL version 3.",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
+    ],
+    "LGPL": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "Licensed under the GNU Affero General Public License v3.0.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ],
+    "BSD": [
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        "Licensed under the BSD 3-Clause License.",
+        "Licensed under the BSD 2-Clause License.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "CC": [
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Text is available under the Creative Commons Attribution-ShareAlike License; additional terms may apply.",
+        "Licensed under CC BY 4.0 International.",
+        "Licensed under CC BY-SA 4.0 International.",
+    ],
+}
+
+
+def full_texts() -> dict[str, str]:
+    """License texts beside this module, as systems hand them out."""
+    folder = Path(__file__).parent / "license_texts"
+    return {f"{p.stem}-text": p.read_text(encoding="utf-8") for p in sorted(folder.glob("*.txt"))}
+
+
+def templates(spark: SparkSession) -> DataFrame:
+    """The query's templates: notices, standard headers in several wordings, full texts. A wording is a row; rows of one license share its id up to '#'."""
+    rows = [*NOTICES.items(), *((f"{k}#{i}", x) for k, v in WORDINGS.items() for i, x in enumerate(v)), *full_texts().items()]
+    return spark.createDataFrame(rows, "template_id string, text string")
+
 
 def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NOTICES.items()), "template_id string, text string")
@@ -56,9 +136,12 @@ def band_probability(similarity: float, rows: int = ROWS, bands: int = BANDS) ->
     return 1 - (1 - similarity ** rows) ** bands
 
 
-def words(text: Column) -> Column:
-    """A-Z lowered; other letters stay."""
+def words(text: Column, bare: bool = False) -> Column:
+    """A-Z lowered; other letters stay. ``bare``: without ASCII punctuation and typographic quotes and dashes at word ends."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    if bare:
+        inner = F.btrim(F.translate(F.coalesce(text, F.lit("")), upper, lower), F.lit(" \t\n\v\f\r" + MARKS))
+        return F.when(inner != "", F.split(inner, BARE_SPLIT)).otherwise(F.array().cast("array<string>"))
     inner = F.btrim(F.translate(F.coalesce(text, F.lit("")), upper, lower), F.lit(" \t\n\v\f\r"))
     return F.when(inner != "", F.split(inner, SPLIT)).otherwise(F.array().cast("array<string>"))
 
@@ -86,10 +169,10 @@ def band_keys(part: Column, rows: int, bands: int) -> Column:
 
 
 def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: float = 0.8, rows: int = ROWS, bands: int = BANDS,
-         every_start: bool = False) -> DataFrame:
+         every_start: bool = False, bare: bool = False) -> DataFrame:
     """doc_id, template_id, containment (of the best window), n_windows (that reach ``containment``), first_word, last_word
     (positions that those windows span, last exclusive)."""
-    t = templates.select("template_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    t = templates.select("template_id", words(F.col("text"), bare).alias("w")).where(F.size("w") > 0)
     t = t.select("template_id", F.array_distinct(shingles(F.col("w"), n)).alias("template"), F.size(shingles(F.col("w"), n)).alias("len"))
     t = t.withColumn("span", F.pow(2, F.ceil(F.log2(F.col("len").cast("double")))).cast("int"))
     t = materialise(t.withColumn("key", F.explode(F.array_distinct(band_keys(F.col("template"), rows, bands)))), "templates")
@@ -98,8 +181,8 @@ def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: floa
         return docs.sparkSession.createDataFrame([], "doc_id long, template_id string, containment double, n_windows long, first_word int, last_word int")
     known = materialise(t.select(F.explode("template").alias("h")).distinct(), "shingles")
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _once(words(F.col("text")), "w"))
-    d = materialise(_with_hits(d, known, templates, n), "hits")  # read once per class of windows
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _once(words(F.col("text"), bare), "w"))
+    d = materialise(_with_hits(d, known, templates, n, bare), "hits")  # read once per class of windows
     if every_start:
         return _every_start(d, t, spans, n, containment, rows, bands)
     windows = []
@@ -127,13 +210,18 @@ def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: floa
 def _every_start(d: DataFrame, t: DataFrame, spans: list[int], n: int, containment: float, rows: int, bands: int) -> DataFrame:
     """As ``scan``, over the windows at every start."""
     d = d.withColumn("row", F.xxhash64("doc_id", "sh"))
+    least = t.groupBy("span").agg(F.min(F.size("template")).alias("size")).collect()
+    needs = {x["span"]: max(1, math.ceil(containment * x["size"] - 1e-9)) for x in least}
     windows = []
     for span in spans:
         stride = span // 4 if span >= 32 else 1
         length = span + stride - 1  # holds the windows of all starts from its own to the next
-        starts = F.array_distinct(F.flatten(F.transform("hits", lambda p: F.transform(
-            F.sequence(F.ceil(F.greatest(F.lit(0), p - length + 1) / stride).cast("int"), F.floor(p / stride).cast("int")), lambda i: i * stride))))
-        windows.append(d.select("row", F.explode(starts).alias("start"), F.lit(span).alias("span"), F.slice("sh", F.col("start") + 1, length).alias("part")))
+        # starts whose window holds as many hits as the class's smallest template needs: fewer can't reach the containment
+        most = F.lit(needs[span] - 1)
+        low = lambda p, j: F.ceil(F.when(F.get("hits", j + most).isNotNull(), F.greatest(F.lit(0), F.get("hits", j + most) - length + 1)) / stride).cast("int")
+        starts = F.array_distinct(F.flatten(F.transform(F.filter(F.transform("hits", lambda p, j: F.struct(low(p, j).alias("a"), F.floor(p / stride).cast("int").alias("b"))),
+            lambda x: x["a"].isNotNull() & (x["a"] <= x["b"])), lambda x: F.transform(F.sequence(x["a"], x["b"]), lambda i: i * stride))))
+        windows.append(d.where(F.size("hits") > most).select("row", F.explode(starts).alias("start"), F.lit(span).alias("span"), F.slice("sh", F.col("start") + 1, length).alias("part")))
     all_windows = windows[0]
     for x in windows[1:]:
         all_windows = all_windows.unionByName(x)
@@ -159,7 +247,7 @@ def _every_start(d: DataFrame, t: DataFrame, spans: list[int], n: int, containme
         F.max("containment").alias("containment"), F.sum(F.col("next") - F.col("start")).alias("n_windows"), F.min("start").alias("first_word"), F.max("end").alias("last_word"))
 
 
-def _with_hits(d: DataFrame, known: DataFrame, templates: DataFrame, n: int) -> DataFrame:
+def _with_hits(d: DataFrame, known: DataFrame, templates: DataFrame, n: int, bare: bool = False) -> DataFrame:
     """doc_id, n_words, sh, ``hits``: positions of shingles that some template has; texts without any can't
     match and go. From (doc_id, w).
 
@@ -170,7 +258,7 @@ def _with_hits(d: DataFrame, known: DataFrame, templates: DataFrame, n: int) ->
         keyed = d.select("doc_id", F.size("w").alias("n_words"), _once(shingles(F.col("w"), n), "sh")).withColumn("row", F.xxhash64("doc_id", "sh"))
         hits = keyed.select("row", F.posexplode("sh").alias("at", "h")).join(known, "h").groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("hits"))
         return keyed.join(hits, "row").drop("row")
-    begins = templates.select(words(F.col("text")).alias("w")).where(F.size("w") >= n)
+    begins = templates.select(words(F.col("text"), bare).alias("w")).where(F.size("w") >= n)
     pairs = begins.select(F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.struct(F.col("w")[i].alias("x"), F.col("w")[i + 1].alias("y")))).alias("p"))
     pairs = pairs.select("p.*").distinct().limit(LITERAL).collect()  # at most as many as shingles
     first, second = sorted({r["x"] for r in pairs}) or [""], sorted({r["y"] for r in pairs}) or [""]
@@ -179,9 +267,11 @@ def _with_hits(d: DataFrame, known: DataFrame, templates: DataFrame, n: int) ->
     opens = F.filter(opens, lambda i: F.get(w, i + 1).isin(second) & (i + n <= F.size(w)))
     short = F.when((F.size(w) > 0) & (F.size(w) < n), F.array(F.lit(0))).otherwise(opens)
     d = d.select("doc_id", "w", _once(short, "opens")).where(F.size("opens") > 0)
-    d = d.select("doc_id", "w", _once(F.filter("opens", lambda i: F.when(F.size(w) >= n, F.xxhash64(*[F.get(w, i + k) for k in range(n)])).otherwise(
-        F.xxhash64(F.array_join(w, " "), F.lit(n))).isin(listed)), "hits")).where(F.size("hits") > 0)
+    d = d.select("doc_id", "w", _once(F.transform("opens", lambda i: F.struct(i.alias("at"), F.when(F.size(w) >= n, F.xxhash64(*[F.get(w, i + k) for k in range(n)])).otherwise(
+        F.xxhash64(F.array_join(w, " "), F.lit(n))).alias("h"))), "opens"))
+    # parsed at once: a literal per call would take the driver longer
+    d = d.select("doc_id", "w", _once(F.expr(f"transform(filter(opens, x -> x.h IN ({', '.join(f'{h}L' for h in listed) or 'NULL'})), x -> x.at)"), "hits")).where(F.size("hits") > 0)
     return d.select("doc_id", F.size("w").alias("n_words"), "hits", _once(shingles(w, n), "sh"))
 
 
-LITERAL = 2000
+LITERAL = 100_000

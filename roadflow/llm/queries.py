@@ -20,9 +20,9 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .licenses import notices, scan
+    from .licenses import scan, templates
 
-    return scan(_table(spark, sf_dir, "documents"), notices(spark), every_start=True)
+    return scan(_table(spark, sf_dir, "documents"), templates(spark), every_start=True, bare=True)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

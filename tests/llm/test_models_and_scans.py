@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadflow.llm.langid import label_spans, learn, viterbi
-from roadflow.llm.licenses import NOTICES, band_probability, notices, scan
+from roadflow.llm.licenses import NOTICES, band_probability, full_texts, notices, scan, templates
 from roadflow.llm.quality import FEATURES, RANK, fit, good_documents, raw_scores, score, train
 
 LANGS = {"en": "the of and thing house water there with from which", "de": "der die und wasser haus nicht schon mit durch straße", "el": "και το σπίτι νερό δεν με από", "fr": "le la les des maison où très été eau avec"}
@@ -169,6 +169,15 @@ def test_licenses_are_found_at_every_start(spark, make_docs):
     assert strided < set(got)
 
 
+def test_headers_full_texts_and_other_punctuation_are_found(spark, make_docs):
+    header = '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.'
+    gpl, filler = full_texts()["GPL-2.0-text"], " ".join(f"w{i}" for i in range(300))
+    rows = [(1, f"{filler}\n{header}\nimport os"), (2, "code released under the MIT License, by us"), (3, f"{filler} {gpl} {filler}"), (4, filler + " -----" * 500 + "-" * 20_000), (5, None), (6, "...")]
+    got = {(r.doc_id, r.template_id): r.containment for r in scan(make_docs(rows), templates(spark), every_start=True, bare=True).collect()}
+    assert got[(1, "Apache-2.0")] == got[(2, "MIT")] == got[(3, "GPL-2.0-text")] == 1.0
+    assert {d for d, _ in got} == {1, 2, 3} and (3, "GPL-3.0-text") not in got
+
+
 def test_license_bands_and_empty_tables(spark, make_docs):
     assert band_probability(0.28) > 0.9999
     assert scan(make_docs([]), notices(spark)).collect() == []
