@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from roadflow.plans.check import compare, duckdb_connection
 from roadflow.plans.registry import reset_stored
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 NAMES = ["peak_hour_daily", "window_agg_stream", "daily_peak_report", "status_alerts",
          "live_kpi_last_24h"]

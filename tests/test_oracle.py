@@ -7,7 +7,7 @@ from roadflow.plans.check import compare, duckdb_connection
 from roadflow.plans.oracle import oracle_sql as statements
 from roadflow.plans.registry import QUERIES as REGISTERED
 
-from conftest import SF_ORACLE, SF_SMALL
+from sf_paths import SF_ORACLE, SF_SMALL
 
 SQL = statements()
 QUERIES = dict(REGISTERED)

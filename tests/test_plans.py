@@ -4,7 +4,7 @@ import pytest
 
 from roadflow.plans.registry import QUERIES as REGISTERED
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 QUERIES = dict(REGISTERED)
 DAY_QUERIES = ["hourly_volumes", "peak_hour_daily", "volume_by_hour", "volume_pivot",

@@ -13,7 +13,7 @@ from roadflow.sinks import write_report_csv
 from roadflow.sources import read_report, read_window_aggs
 from roadflow.streaming import StreamConfig, run_streaming, run_to_completion
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 HEADER = "report_date,sensor_id,peak_hour,vehicles_hour,avg_speed_at_peak,needs_intervention\n"
 

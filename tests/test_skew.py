@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from roadflow import operators as ops
 from roadflow.plans.registry import _readings
 
-from conftest import SF_ORACLE
+from sf_paths import SF_ORACLE
 
 
 @pytest.fixture(scope="module")
