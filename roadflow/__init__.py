@@ -10,6 +10,6 @@ entry points (``run_streaming``, ``run_daily``, ``live_view``,
 ``report_feed``, the CLI, the checked queries) set it with ``use_utc``.
 """
 
-from roadflow.session import build_session, scratch_dir, use_utc
+from roadflow.session import build_session, scratch_dir, ship_package, use_utc
 
-__all__ = ["build_session", "scratch_dir", "use_utc"]
+__all__ = ["build_session", "scratch_dir", "ship_package", "use_utc"]

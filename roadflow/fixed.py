@@ -51,6 +51,15 @@ SPEED_LABEL_YES = "CRITICAL"
 SPEED_LABEL_NO = "ACCEPTABLE"
 DEPLOY_PREFIX = "Deploy 2-3 officers during "
 
+# Report page: the text shown for a junction that needs police, one line per entry
+PAGE_LINES = [
+    "**{sensor_id} - Immediate Action Required**",
+    "- Peak hour at {peak_hour} with {vehicles_hour} vehicles",
+    "- Average speed critically low at {avg_speed_at_peak} km/h",
+    "- 🚔 Deploy 2-3 traffic officers during peak hours",
+    "- 📍 Consider adjusting traffic signal timings",
+]
+
 # Report file name stems
 REPORT_STEMS = {
     "peak": "peak_hour_report",

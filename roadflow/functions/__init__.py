@@ -1,6 +1,7 @@
 """Column expressions (built-ins only, codegen-friendly)."""
 
 from roadflow.functions.traffic import (
+    add_parts,
     alert_message,
     alert_recommendation,
     area_from_name,
@@ -14,12 +15,14 @@ from roadflow.functions.traffic import (
     intervention_flag,
     junction_status,
     marker_size,
+    mean_of_parts,
+    mean_parts,
     speed_round,
     timestamp_literal,
 )
 
 __all__ = [
-    "alert_message", "alert_recommendation", "area_from_name", "congestion_band",
+    "add_parts", "alert_message", "alert_recommendation", "area_from_name", "congestion_band",
     "congestion_index", "delta_from_reference", "exact_mean", "exact_ratio", "exact_sum", "in_peak_band", "intervention_flag",
-    "junction_status", "marker_size", "speed_round", "timestamp_literal",
+    "junction_status", "marker_size", "mean_of_parts", "mean_parts", "speed_round", "timestamp_literal",
 ]

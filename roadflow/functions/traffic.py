@@ -48,6 +48,25 @@ def exact_mean(c: str | Column) -> Column:
     return F.when(fits, exact_ratio(total, n)).otherwise(F.avg(_c(c)))
 
 
+def mean_parts(c: str | Column, name: str) -> list[Column]:
+    """Aggregates from which any coarser mean follows (``mean_of_parts``): the exact sum, the number of values and of those
+    that the exact sum holds, and the plain sum for groups with a value that has no exact decimal."""
+    return [exact_sum(c).alias(f"{name}_sum"), F.count(_c(c)).alias(f"{name}_n"),
+            F.count(_c(c).try_cast(EXACT_SUM_TYPE)).alias(f"{name}_fit"), F.sum(_c(c)).alias(f"{name}_plain")]
+
+
+def add_parts(name: str) -> list[Column]:
+    """Aggregates that merge ``mean_parts``: all of them are additive."""
+    return [F.try_sum(f"{name}_sum").alias(f"{name}_sum"), *[F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in ("n", "fit", "plain")]]
+
+
+def mean_of_parts(name: str) -> Column:
+    """The mean of the values behind merged ``mean_parts``, by the rule of ``exact_mean``."""
+    total, n, fit = (F.col(f"{name}_{k}") for k in ("sum", "n", "fit"))
+    exact = (fit == n) & ((n == 0) | total.isNotNull())
+    return F.when(exact, exact_ratio(total, n)).otherwise(F.try_divide(F.col(f"{name}_plain"), n.cast("double")))
+
+
 def speed_round(c: str | Column, scale: int = 2) -> Column:
     """HALF_UP rounding, as Spark's round (14.995 -> 15.0)."""
     return F.round(_c(c), scale)

@@ -4,38 +4,37 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from string import Formatter
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadflow import fixed
 from roadflow.functions import (
+    add_parts,
     exact_mean,
-    exact_ratio,
-    exact_sum,
     in_peak_band,
     intervention_flag,
+    mean_of_parts,
+    mean_parts,
     speed_round,
 )
 from roadflow.operators.live import filter_junctions
 
-# Wide pivots are refused: each value becomes a column of every output row.
-MAX_PIVOT_COLUMNS = 1000
-
 
 def hourly_rollup(aggs: DataFrame) -> DataFrame:
     """Additive per (sensor, UTC hour) measures of the window aggregates.
 
     Every daily output is a roll-up of this table, so a day is scanned once:
-    sums are exact (decimal), which makes means of means exact at any level.
+    sums are exact (decimal), which makes means of means exact at any level. A value without an exact
+    decimal (NaN, infinite, 1e20 and more) is counted as such and kept in a plain sum, so a group that holds
+    one gets the plain mean, as in the direct operators.
     """
     hour = F.date_trunc("hour", F.col("window_start")).alias("hour")
     return aggs.groupBy("sensor_id", hour).agg(
         F.sum("total_vehicles").alias("vehicles"),
-        exact_sum("avg_speed_window").alias("speed_sum"),
-        F.count("avg_speed_window").alias("speed_n"),
-        exact_sum("congestion_index").alias("index_sum"),
-        F.count("congestion_index").alias("index_n"),
+        *mean_parts("avg_speed_window", "speed"),
+        *mean_parts("congestion_index", "index"),
         F.count(F.lit(1)).alias("windows"))
 
 
@@ -43,23 +42,21 @@ def hourly_from_rollup(rollup: DataFrame) -> DataFrame:
     return rollup.select(
         F.to_date("hour").alias("report_date"), "sensor_id", "hour",
         F.col("vehicles").alias("vehicles_hour"),
-        exact_ratio("speed_sum", "speed_n").alias("avg_speed_hour"))
+        mean_of_parts("speed").alias("avg_speed_hour"))
 
 
 def volume_from_rollup(rollup: DataFrame) -> DataFrame:
     """volume_by_hour from the hourly roll-up (same values, no rescan)."""
-    return rollup.groupBy("sensor_id", F.hour("hour").alias("hour_of_day")).agg(
-        F.sum("vehicles").alias("total_volume"),
-        exact_ratio(F.sum("speed_sum"), F.sum("speed_n")).alias("avg_speed"),
-        F.sum("windows").alias("sample_count"))
+    merged = rollup.groupBy("sensor_id", F.hour("hour").alias("hour_of_day")).agg(
+        F.sum("vehicles").alias("total_volume"), *add_parts("speed"), F.sum("windows").alias("sample_count"))
+    return merged.select("sensor_id", "hour_of_day", "total_volume", mean_of_parts("speed").alias("avg_speed"), "sample_count")
 
 
 def summary_from_rollup(rollup: DataFrame) -> DataFrame:
     """daily_summary from the hourly roll-up (same values, no rescan)."""
-    return rollup.agg(
-        F.sum("vehicles").alias("total_vehicles"),
-        exact_ratio(F.sum("index_sum"), F.sum("index_n")).alias("avg_congestion_index"),
-        F.coalesce(F.sum("windows"), F.lit(0)).cast("bigint").alias("window_count"))
+    merged = rollup.agg(F.sum("vehicles").alias("total_vehicles"), *add_parts("index"), F.sum("windows").alias("windows"))
+    return merged.select("total_vehicles", mean_of_parts("index").alias("avg_congestion_index"),
+                         F.coalesce("windows", F.lit(0)).cast("bigint").alias("window_count"))
 
 
 def hourly_volumes(aggs: DataFrame) -> DataFrame:
@@ -130,27 +127,12 @@ def volume_by_hour(aggs: DataFrame, ordered: bool = True) -> DataFrame:
     return vol.orderBy("sensor_id", "hour_of_day") if ordered else vol
 
 
-def _pivot_values(df: DataFrame, col: str, values: Sequence | None,
-                  max_columns: int) -> list:
-    if values is None:
-        # Bounded discovery: never more than max_columns + 1 values reach the driver.
-        found = [r[0] for r in df.select(col).distinct()
-                 .orderBy(col).limit(max_columns + 1).collect()]
-        values = found
-    values = list(values)
-    if len(values) > max_columns:
-        raise ValueError(f"pivot on {col!r} would create more than {max_columns} columns")
-    return values
-
-
-def volume_pivot(vol: DataFrame, sensors: Sequence[str] | None = None,
-                 max_columns: int = MAX_PIVOT_COLUMNS, ordered: bool = True) -> DataFrame:
-    """hour_of_day x sensor table of summed volume; a missing cell is NULL.
+def volume_pivot(vol: DataFrame, sensors: Sequence[str], ordered: bool = True) -> DataFrame:
+    """hour_of_day x sensor table of summed volume for the named ``sensors``; a missing cell is NULL.
 
-    Pass ``sensors`` to fix the schema and skip the value-discovery job.
+    Names are columns, so they are the caller's; for all sensors of a table, however many, see ``volume_pivot_blocks``.
     """
-    values = _pivot_values(vol, "sensor_id", sensors, max_columns)
-    piv = vol.groupBy("hour_of_day").pivot("sensor_id", values).agg(F.sum("total_volume"))
+    piv = vol.groupBy("hour_of_day").pivot("sensor_id", list(sensors)).agg(F.sum("total_volume"))
     return piv.orderBy("hour_of_day") if ordered else piv
 
 
@@ -207,3 +189,14 @@ def intervention_report(peaks: DataFrame, only_required: bool = False) -> DataFr
                              F.date_format("peak_hour", "yyyy-MM-dd HH:mm:ss")))
         .alias("recommendation"),
     )
+
+
+def page_recommendations(peaks: DataFrame) -> DataFrame:
+    """The report page's text per junction that needs police: sensor_id, peak_hour, text (lines joined by newlines)."""
+    rows = peaks.where(F.col("needs_intervention") == fixed.INTERVENTION_YES)
+    values = {"sensor_id": F.col("sensor_id"), "peak_hour": F.date_format("peak_hour", "yyyy-MM-dd HH:mm:ss"),
+              "vehicles_hour": F.col("vehicles_hour").cast("string"), "avg_speed_at_peak": F.col("avg_speed_at_peak").cast("string")}
+    parts = []
+    for literal, name, _, _ in Formatter().parse("\n".join(fixed.PAGE_LINES)):
+        parts += [F.lit(literal)] + ([values[name]] if name else [])
+    return rows.select("report_date", "sensor_id", "peak_hour", F.concat(*parts).alias("text"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadflow import fixed
-from roadflow.functions import congestion_index, exact_mean
+from roadflow.functions import congestion_index, exact_mean, mean_parts
 
 _UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000,
                 "day": 86_400_000_000}
@@ -25,6 +25,15 @@ def _window_start(time_col: str, size: str) -> Column:
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(_duration_micros(size))))
 
 
+def window_parts(readings: DataFrame, size: str = fixed.WINDOW_DURATION,
+                 time_col: str = "event_time") -> DataFrame:
+    """Additive measures per window and sensor (``schemas.WINDOW_PARTS``) of a batch of readings."""
+    rows = readings.where(F.col(time_col).isNotNull()).groupBy(_window_start(time_col, size).alias("window_start"), F.col("sensor_id")).agg(
+        F.sum("vehicle_count").alias("total_vehicles"), *mean_parts("avg_speed", "speed"))
+    end = (F.col("window_start") + F.expr(f"INTERVAL {size}")).alias("window_end")
+    return rows.select("window_start", end, "sensor_id", "total_vehicles", "speed_sum", "speed_n", "speed_fit", "speed_plain")
+
+
 def aggregate_windows(readings: DataFrame, size: str = fixed.WINDOW_DURATION,
                       time_col: str = "event_time") -> DataFrame:
     """(window_start, window_end, sensor_id, total_vehicles, avg_speed_window,

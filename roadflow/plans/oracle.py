@@ -216,10 +216,130 @@ STATEMENTS["status_alerts_selected"] = STATEMENTS["status_alerts"].replace(
     "status in ('Critical', 'Warning')", """status = 'Critical' and sensor_id in ('J1', 'J2')
   and window_start >= timestamp '2024-01-03 12:00:00' and window_start < timestamp '2024-01-10 12:00:00'""")
 
+STATEMENTS["fan_out_windows"] = STATEMENTS["fan_out_windows_copy"] = _WINDOW_AGG
+STATEMENTS["fan_out_alerts"] = STATEMENTS["fan_out_alerts_copy"] = _ALERTS
+
+# Reports of 24 days from the stored windows (those that the watermark has passed).
+_STORED_RANGE = """,
+stored as (
+  select * from agg where cast(window_start as date) between date '2024-01-08' and date '2024-01-31'
+  and window_end <= (select date_trunc('milliseconds', max(event_time)) - interval '10 minutes' from readings))"""
+STATEMENTS["rollup_volume"] = _STORED_RANGE + """
+select sensor_id, cast(hour(window_start) as integer) as hour_of_day,
+       cast(sum(total_vehicles) as bigint) as total_volume,
+       round(avg(avg_speed_window::DECIMAL(38,18)), 9) as avg_speed, count(*) as sample_count
+from stored group by 1, 2
+"""
+STATEMENTS["rollup_summary"] = _STORED_RANGE + """
+select cast(sum(total_vehicles) as bigint) as total_vehicles,
+       round(avg(congestion_index::DECIMAL(38,18)), 9) as avg_congestion_index, count(*) as window_count from stored
+"""
+STATEMENTS["rollup_peaks"] = _STORED_RANGE + """,
+hours as (
+  select cast(window_start as date) as report_date, sensor_id, date_trunc('hour', window_start) as hour,
+         cast(sum(total_vehicles) as bigint) as vehicles_hour,
+         round(cast(avg(avg_speed_window::DECIMAL(38,18)) as decimal(38, 9)), 2) as speed
+  from stored group by 1, 2, 3)
+select report_date, sensor_id, hour as peak_hour, vehicles_hour, cast(speed as double) as avg_speed_at_peak,
+       case when speed < 15 then 'YES' else 'NO' end as needs_intervention
+from (select *, row_number() over (partition by report_date, sensor_id order by vehicles_hour desc, hour) as rk from hours)
+where rk = 1
+"""
+STATEMENTS["rollup_odd_speeds"] = """,
+odd as (
+  select 'J' || (user_id % 5 + 1) as sensor_id, time_bucket(interval '5 minutes', ts) as w,
+         cast(props->>'k' as integer) as vehicles, round(value % 60, 2) as speed,
+         event_id % 101 = 0 as nan, event_id % 101 <> 0 and event_id % 103 = 0 as inf
+  from events),
+odd_windows as (
+  select w, sensor_id, sum(vehicles) as vehicles, bool_or(nan) as nan, bool_or(inf) as inf,
+         avg(speed::DECIMAL(38,18)) as speed from odd group by 1, 2)
+select sensor_id, date_trunc('hour', w) as hour, cast(sum(vehicles) as bigint) as vehicles_hour,
+       case when bool_or(nan) then 'nan' when bool_or(inf) then 'inf' when count(speed) > 0 then 'finite' end as kind,
+       case when not bool_or(nan) and not bool_or(inf) then round(avg(speed::DECIMAL(38,18)), 9) end as avg_speed_hour
+from odd_windows group by 1, 2
+"""
+STATEMENTS["volume_by_hour_positions"] = """
+select row_number() over (order by sensor_id, hour_of_day) as position,
+       sensor_id, hour_of_day, total_volume, round(avg_speed, 9) as avg_speed, sample_count from vol
+"""
+STATEMENTS["landed_day"] = """
+select sensor_id, vehicle_count, avg_speed, event_time from readings
+where event_time >= timestamp '2024-01-10' and event_time < timestamp '2024-01-11'
+"""
+STATEMENTS["report_lines"] = """
+select 'report_date,sensor_id,peak_hour,vehicles_hour,avg_speed_at_peak,needs_intervention' as line
+union all
+select strftime(report_date, '%Y-%m-%d') || ',' || sensor_id || ',' || strftime(peak_hour, '%Y-%m-%d %H:%M:%S') || ','
+       || vehicles_hour || ',' || cast(avg_speed_at_peak as varchar) || ',' || needs_intervention
+from peak where report_date = date '2024-01-10'
+"""
+STATEMENTS["report_lookup"] = """,
+before as (
+  select count(distinct (sensor_id, hour(window_start))) as n from agg where cast(window_start as date) = date '2024-01-09')
+select 'latest' as request, date '2024-01-11' as found_date, 0::bigint as rows
+union all select 'rewritten', date '2024-01-10', count(*) from vol where sensor_id in ('J1', 'J2')
+union all select 'day before', date '2024-01-09', n from before
+union all select 'missing date', null, null
+union all select 'unknown kind', null, null
+"""
+STATEMENTS["catalogued_volume"] = STATEMENTS["volume_by_hour"] + """
+where sensor_id in ('J1', 'J2')
+"""
+STATEMENTS["page_recommendations"] = """
+select report_date, sensor_id, peak_hour,
+       '**' || sensor_id || ' - Immediate Action Required**' || chr(10)
+       || '- Peak hour at ' || strftime(peak_hour, '%Y-%m-%d %H:%M:%S') || ' with ' || vehicles_hour || ' vehicles' || chr(10)
+       || '- Average speed critically low at ' || cast(avg_speed_at_peak as varchar) || ' km/h' || chr(10)
+       || '- 🚔 Deploy 2-3 traffic officers during peak hours' || chr(10)
+       || '- 📍 Consider adjusting traffic signal timings' as text
+from peak where needs_intervention = 'YES'
+"""
+
+# Six micro-batches of equal stretches of time; every 37th event comes two batches late. In batch b a window is late if it
+# ended before the watermark of batch b - 1, which is the latest event time up to batch b - 2 less ten minutes.
+_LATE_PREFIX = PREFIX.replace("from events)", "from seen where not late)").replace("with readings as (", """
+with cut as (
+  select e.*, least(((epoch_us(ts) - lo) * 6) // (hi - lo + 1) + case when event_id % 37 = 0 then 2 else 0 end, 5) as batch,
+         time_bucket(interval '5 minutes', ts) + interval '5 minutes' as its_end
+  from events e, (select epoch_us(min(ts)) as lo, epoch_us(max(ts)) as hi from events)),
+marks as (
+  select n.batch, max(date_trunc('milliseconds', c.top)) - interval '10 minutes' as mark
+  from range(6) n(batch) join (select batch, max(ts) as top from cut group by 1) c on c.batch <= n.batch - 2 group by 1),
+seen as (select cut.*, coalesce(its_end <= mark, false) as late from cut left join marks on cut.batch = marks.batch),
+readings as (""")
+_LATE = """
+select window_start, sensor_id, total_vehicles, round(avg_speed_window, 9) as avg_speed_window,
+       (select count(*) from (select distinct batch, its_end, user_id % 5 from seen where late)) as dropped
+from agg where window_end <= (select date_trunc('milliseconds', max(ts)) - interval '10 minutes' from events)
+"""
+
+_BLOCK_COLUMNS = ",\n       ".join(
+    f"cast(sum(total_volume) filter (where col = {k}) as bigint) as c{k}" for k in range(100))
+_USER_VOLUME = """,
+user_vol as (
+  select sensor_id, cast(hour(window_start) as integer) as hour_of_day, cast(sum(total_vehicles) as bigint) as total_volume
+  from agg group by 1, 2),
+dictionary as (
+  select sensor_id, cast((n - 1) // 100 as bigint) as block, cast((n - 1) % 100 as integer) as col
+  from (select sensor_id, row_number() over (order by sensor_id) as n from (select distinct sensor_id from user_vol)))
+"""
+
 # One sensor per user: the same relations over another sensor name.
 USER_STATEMENTS: dict[str, str] = {
     "user_peak_hours": STATEMENTS["peak_hour_all_days"],
     "user_daily_report": STATEMENTS["volume_heatmap"],
+    "user_volume_positions": _USER_VOLUME + """
+select row_number() over (order by total_volume desc, sensor_id, hour_of_day) as position, sensor_id, hour_of_day, total_volume
+from user_vol
+""",
+    "user_pivot_dictionary": _USER_VOLUME + """
+select sensor_id, block, col as "column" from dictionary
+""",
+    "user_pivot_blocks": _USER_VOLUME + f"""
+select block, hour_of_day, {_BLOCK_COLUMNS}
+from user_vol join dictionary using (sensor_id) group by 1, 2
+""",
 }
 USER_PREFIX = PREFIX.replace("'J' || (user_id % 5 + 1)", "'U' || user_id")
 
@@ -227,4 +347,4 @@ USER_PREFIX = PREFIX.replace("'J' || (user_id % 5 + 1)", "'U' || user_id")
 def oracle_sql() -> dict[str, str]:
     """Full statements (shared prefix + body)."""
     return {name: PREFIX + body for name, body in STATEMENTS.items()} \
-        | {name: USER_PREFIX + body for name, body in USER_STATEMENTS.items()}
+        | {name: USER_PREFIX + body for name, body in USER_STATEMENTS.items()} | {"late_windows": _LATE_PREFIX + _LATE}

@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from roadflow import fixed
 from roadflow import operators as ops
 from roadflow.plans.daily import run_daily
+from roadflow.plans.rollup import range_reports, store_rollup
 from roadflow.plans.views import live_view, report_feed, write_weekly_report
-from roadflow.schemas import EVENTS
+from roadflow.schemas import ALERT, EVENTS
 from roadflow.session import (
     default_parallelism,
     matching_paths,
@@ -30,14 +31,18 @@ from roadflow.session import (
     shuffle_partitions,
     use_utc,
 )
+from roadflow.sinks import latest_reports, read_catalogue, read_catalogued, report_path, write_catalogued, write_report_file
 from roadflow.sources import (
     decode_readings,
     encode_readings,
+    read_landing,
     read_readings_stream,
     read_report,
     readings_from_events,
+    write_landing,
 )
 from roadflow.sources.readings import day_bounds
+from roadflow.streaming.fanout import AppendSink, UpsertSink, fan_out, read_appended, read_upserted
 from roadflow.streaming.jobs import StreamConfig, drain, run_to_completion
 from roadflow.streaming.jobs import stored_window_aggs as with_window_date
 from roadflow.streaming.sinks import AVAILABLE_NOW, write_stream_parquet
@@ -49,6 +54,7 @@ RANGE_END = dt.date(2024, 1, 31)
 SENSORS = ["J1", "J2", "J3", "J4", "J5"]
 HEATMAP_JUNCTIONS = ["J1", "J2"]
 DIGITS = 9
+BLOCK_COLUMNS = 100
 
 
 def _r(col: str, name: str | None = None) -> Column:
@@ -234,6 +240,207 @@ def q_live_kpi_last_24h(spark, sf_dir):
                             _r("congestion_index"))
 
 
+# --- one read for all sinks, several micro-batches -------------------------------
+
+SLICES, FILES_PER_SLICE = 6, 4
+
+
+def _sliced_events(spark: SparkSession, sf_dir: str, late: bool = False) -> str:
+    """``events`` cut into stretches of time, written one after the other, ``FILES_PER_SLICE`` files each: what a stream
+    finds as one micro-batch per slice. ``late``: every 37th event comes two slices late."""
+    events = _events(spark, sf_dir)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    place = F.expr(f"((unix_micros(cast(ts as timestamp)) - {first or 0}) * {SLICES}) div ({(last or 0) - (first or 0) + 1})")
+    if late:
+        place = F.when(F.col("event_id") % 37 == 0, F.least(place + 2, F.lit(SLICES - 1))).otherwise(place)
+    out = scratch_dir(spark, "slices")
+    for k in range(SLICES):
+        events.where(place == k).repartition(FILES_PER_SLICE).write.mode("append").parquet(os.path.join(out, "events"))
+    return os.path.join(out, "events")
+
+
+def fan_out_sinks(base: str) -> dict:
+    """The sinks of the checked run: the windows and the alerts, each with a copy."""
+    return {"windows": UpsertSink(f"{base}/windows"), "windows_copy": UpsertSink(f"{base}/windows_copy"),
+            "alerts": AppendSink(f"{base}/alerts", ops.detect_alerts), "alerts_copy": AppendSink(f"{base}/alerts_copy", ops.detect_alerts)}
+
+
+def fan_out_tables(spark: SparkSession, sf_dir: str) -> str:
+    """STR-9: one query, six micro-batches, four sinks."""
+    def make() -> str:
+        base = scratch_dir(spark, "fan_out")
+        readings = read_readings_stream(spark, "events", path=_sliced_events(spark, sf_dir), max_files_per_trigger=FILES_PER_SLICE)
+        run_to_completion([fan_out(readings, fan_out_sinks(base), f"{base}/checkpoint", f"{base}/ledger", AVAILABLE_NOW)])
+        return base
+
+    return _once(spark, "fan_out", sf_dir, make)
+
+
+def _fan_out_windows(spark, sf_dir, name):
+    base = fan_out_tables(spark, sf_dir)
+    table = read_upserted(spark, fan_out_sinks(base)[name], f"{base}/ledger", name)
+    return _ntz(table.select("window_start", "window_end", "sensor_id", "total_vehicles", _r("avg_speed_window"), _r("congestion_index")))
+
+
+def _fan_out_alerts(spark, sf_dir, name):
+    base = fan_out_tables(spark, sf_dir)
+    return _ntz(read_appended(spark, fan_out_sinks(base)[name], f"{base}/ledger", name, ALERT).drop("alert_time"))
+
+
+def q_fan_out_windows(spark, sf_dir):
+    """STR-5, SNK-4: update mode in a table; windows that are still open are in it."""
+    return _fan_out_windows(spark, sf_dir, "windows")
+
+
+def q_fan_out_windows_copy(spark, sf_dir):
+    return _fan_out_windows(spark, sf_dir, "windows_copy")
+
+
+def q_fan_out_alerts(spark, sf_dir):
+    return _fan_out_alerts(spark, sf_dir, "alerts")
+
+
+def q_fan_out_alerts_copy(spark, sf_dir):
+    return _fan_out_alerts(spark, sf_dir, "alerts_copy")
+
+
+def q_late_windows(spark, sf_dir):
+    """STR-6: the windows that a stream emits when rows come late, and how many (batch, window, sensor) groups it dropped."""
+    use_utc(spark)
+    prefer_rocksdb_state(spark)
+    out = scratch_dir(spark, "late")
+    readings = read_readings_stream(spark, "events", path=_sliced_events(spark, sf_dir, late=True), max_files_per_trigger=FILES_PER_SLICE)
+    with shuffle_partitions(spark, default_parallelism(spark)):
+        q = write_stream_parquet(ops.aggregate_windows(readings), os.path.join(out, "table"), os.path.join(out, "checkpoint"), trigger=AVAILABLE_NOW)
+    run_to_completion([q])
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    table = spark.read.parquet(os.path.join(out, "table"))
+    return _ntz(table.select("window_start", "sensor_id", "total_vehicles", _r("avg_speed_window"), F.lit(dropped).cast("long").alias("dropped")))
+
+
+# --- a stored roll-up ---------------------------------------------------------------
+
+def rollup_reports(spark: SparkSession, sf_dir: str):
+    """JOB-2, SET-1: 24 days rolled up from the stored windows; the reports merge the roll-up only."""
+    def make() -> str:
+        path = os.path.join(scratch_dir(spark, "rollup"), "hourly_rollup")
+        store_rollup(spark, stored_window_aggs(spark, sf_dir), path, RANGE_START, (RANGE_END - RANGE_START).days + 1)
+        return path
+
+    return range_reports(spark, _once(spark, "rollup", sf_dir, make), RANGE_START, RANGE_END)
+
+
+def q_rollup_volume(spark, sf_dir):
+    vol = rollup_reports(spark, sf_dir).volume
+    return vol.select("sensor_id", "hour_of_day", "total_volume", _r("avg_speed"), "sample_count")
+
+
+def q_rollup_summary(spark, sf_dir):
+    return rollup_reports(spark, sf_dir).summary.select("total_vehicles", _r("avg_congestion_index"), "window_count")
+
+
+def q_rollup_peaks(spark, sf_dir):
+    return _ntz(rollup_reports(spark, sf_dir).peaks)
+
+
+def q_rollup_odd_speeds(spark, sf_dir):
+    """AGG-2: hourly means from the roll-up where some speeds are NaN or infinite."""
+    readings = readings_from_events(_events(spark, sf_dir), keep=["event_id"])
+    odd = F.when(F.col("event_id") % 101 == 0, F.lit(float("nan"))).when(F.col("event_id") % 103 == 0, F.lit(float("inf"))).otherwise(F.col("avg_speed"))
+    readings = readings.withColumn("avg_speed", odd).drop("event_id")
+    hourly = ops.hourly_from_rollup(ops.hourly_rollup(ops.aggregate_windows(readings)))
+    mean = F.col("avg_speed_hour")
+    kind = F.when(F.isnan(mean), "nan").when(mean == float("inf"), "inf").when(mean.isNotNull(), "finite")
+    return _ntz(hourly.select("sensor_id", "hour", "vehicles_hour", kind.alias("kind"), F.when(kind == "finite", F.round(mean, DIGITS)).alias("avg_speed_hour")))
+
+
+# --- order, any number of columns, single files, clustered days ---------------------------
+
+def q_volume_by_hour_positions(spark, sf_dir):
+    """SRT-1: the profile with each row's place in the report's order."""
+    vol = ops.volume_by_hour(_day_aggs(spark, sf_dir), ordered=False)
+    rows = ops.with_positions(vol, "sensor_id", "hour_of_day")
+    return rows.select("position", "sensor_id", "hour_of_day", "total_volume", _r("avg_speed"), "sample_count")
+
+
+def q_user_volume_positions(spark, sf_dir):
+    """SRT-1 with one sensor per user, busiest hours first."""
+    vol = ops.volume_by_hour(_user_aggs(spark, sf_dir), ordered=False)
+    rows = ops.with_positions(vol, F.col("total_volume").desc(), F.col("sensor_id"), F.col("hour_of_day"))
+    return rows.select("position", "sensor_id", "hour_of_day", "total_volume")
+
+
+def _user_blocks(spark, sf_dir):
+    return ops.volume_pivot_blocks(ops.volume_by_hour(_user_aggs(spark, sf_dir), ordered=False), width=BLOCK_COLUMNS)
+
+
+def q_user_pivot_blocks(spark, sf_dir):
+    """AGG-4, AGG-6: hour x sensor for as many sensors as there are users, in blocks of columns."""
+    return _user_blocks(spark, sf_dir).cells
+
+
+def q_user_pivot_dictionary(spark, sf_dir):
+    return _user_blocks(spark, sf_dir).dictionary
+
+
+def q_landed_day(spark, sf_dir):
+    """FLT-2, SRC-3: a day of raw readings from the clustered landing table."""
+    def make() -> str:
+        path = os.path.join(scratch_dir(spark, "landing"), "readings")
+        write_landing(_readings(spark, sf_dir), path)
+        return path
+
+    return _ntz(read_landing(spark, _once(spark, "landing", sf_dir, make), REPORT_DATE))
+
+
+def q_report_lines(spark, sf_dir):
+    """SNK-6, SNK-7: the daily job's peak report as one file, read back as lines of text."""
+    def make() -> str:
+        out = scratch_dir(spark, "report_file")
+        peaks = _day_peaks(spark, sf_dir)
+        write_report_file(peaks, out, "peak", REPORT_DATE, "sensor_id")
+        return out
+
+    out = _once(spark, "report_file", sf_dir, make)
+    return spark.read.text(report_path(out, "peak", REPORT_DATE)).select(F.col("value").alias("line"))
+
+
+def catalogued_reports(spark: SparkSession, sf_dir: str) -> str:
+    """Volume reports of three days: one rewritten for two junctions, the newest empty."""
+    def make() -> str:
+        out = scratch_dir(spark, "catalogued")
+        vol = _day_volume(spark, sf_dir)
+        order = ("sensor_id", "hour_of_day")
+        before = ops.volume_by_hour(_day_aggs(spark, sf_dir, REPORT_DATE - dt.timedelta(days=1)), ordered=False)
+        write_catalogued(before, out, "volume", REPORT_DATE - dt.timedelta(days=1), *order)
+        write_catalogued(vol, out, "volume", REPORT_DATE, *order)
+        write_catalogued(vol.where("false"), out, "volume", REPORT_DATE + dt.timedelta(days=1), *order)
+        write_catalogued(ops.filter_junctions(vol, HEATMAP_JUNCTIONS), out, "volume", REPORT_DATE, *order)
+        return out
+
+    return _once(spark, "catalogued", sf_dir, make)
+
+
+def q_report_lookup(spark, sf_dir):
+    """SRC-5 to SRC-8, SRT-5: what the catalogue finds for a kind and a date, or any date."""
+    asked = [("latest", "volume", None), ("rewritten", "volume", REPORT_DATE), ("day before", "volume", REPORT_DATE - dt.timedelta(days=1)),
+             ("missing date", "volume", REPORT_DATE - dt.timedelta(days=9)), ("unknown kind", "none such", None)]
+    requests = spark.createDataFrame(asked, "request string, kind string, report_date date")
+    found = latest_reports(read_catalogue(spark, catalogued_reports(spark, sf_dir)), requests)
+    return found.select("request", "found_date", "rows")
+
+
+def q_catalogued_volume(spark, sf_dir):
+    vol = read_catalogued(spark, catalogued_reports(spark, sf_dir), "volume", REPORT_DATE)
+    return vol.select("sensor_id", "hour_of_day", "total_volume", _r("avg_speed"), "sample_count")
+
+
+def q_page_recommendations(spark, sf_dir):
+    """SCL-20: the report page's text, for every day."""
+    return _ntz(ops.page_recommendations(ops.daily_peaks(ops.aggregate_windows(_readings(spark, sf_dir)))))
+
+
 # --- batch queries ------------------------------------------------------------
 
 def q_decode_readings(spark, sf_dir):
@@ -422,4 +629,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_peak_hours": q_user_peak_hours,
     "user_daily_report": q_user_daily_report,
     "status_alerts_selected": q_status_alerts_selected,
+    "fan_out_windows": q_fan_out_windows,
+    "fan_out_windows_copy": q_fan_out_windows_copy,
+    "fan_out_alerts": q_fan_out_alerts,
+    "fan_out_alerts_copy": q_fan_out_alerts_copy,
+    "late_windows": q_late_windows,
+    "rollup_volume": q_rollup_volume,
+    "rollup_summary": q_rollup_summary,
+    "rollup_peaks": q_rollup_peaks,
+    "rollup_odd_speeds": q_rollup_odd_speeds,
+    "volume_by_hour_positions": q_volume_by_hour_positions,
+    "user_volume_positions": q_user_volume_positions,
+    "user_pivot_blocks": q_user_pivot_blocks,
+    "user_pivot_dictionary": q_user_pivot_dictionary,
+    "landed_day": q_landed_day,
+    "report_lines": q_report_lines,
+    "report_lookup": q_report_lookup,
+    "catalogued_volume": q_catalogued_volume,
+    "page_recommendations": q_page_recommendations,
 }

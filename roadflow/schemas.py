@@ -38,6 +38,29 @@ WINDOW_AGG = T.StructType([
     T.StructField("congestion_index", T.DoubleType()),
 ])
 
+# Additive measures of a window, from which any merge of batches gives the same aggregate.
+WINDOW_PARTS = T.StructType([
+    T.StructField("window_start", T.TimestampType()),
+    T.StructField("window_end", T.TimestampType()),
+    T.StructField("sensor_id", T.StringType()),
+    T.StructField("total_vehicles", T.LongType()),
+    T.StructField("speed_sum", T.DecimalType(38, 18)),
+    T.StructField("speed_n", T.LongType()),
+    T.StructField("speed_fit", T.LongType()),
+    T.StructField("speed_plain", T.DoubleType()),
+])
+
+# Additive measures of a sensor's hour; ``report_date`` is the partition column.
+HOURLY_ROLLUP = T.StructType([
+    T.StructField("sensor_id", T.StringType()),
+    T.StructField("hour", T.TimestampType()),
+    T.StructField("vehicles", T.LongType()),
+    *[T.StructField(f"{name}_{part}", kind) for name in ("speed", "index") for part, kind in (
+        ("sum", T.DecimalType(38, 18)), ("n", T.LongType()), ("fit", T.LongType()), ("plain", T.DoubleType()))],
+    T.StructField("windows", T.LongType()),
+    T.StructField("report_date", T.DateType()),
+])
+
 ALERT = T.StructType([
     T.StructField("alert_time", T.TimestampType()),
     T.StructField("detected_at", T.TimestampType()),
@@ -79,6 +102,15 @@ JUNCTION = T.StructType([
     T.StructField("name", T.StringType()),
 ])
 
+# One row per written report.
+CATALOGUE = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("report_date", T.DateType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("written_at", T.TimestampType()),
+])
+
 # Report CSVs carry no types of their own: read them with these.
 REPORT_SCHEMAS = {
     "peak": PEAK,

@@ -9,12 +9,15 @@ streaming state.
 from __future__ import annotations
 
 import atexit
+import io
 import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -117,6 +120,18 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [p.toString() for p in sorted(paths, key=lambda p: p.getName())]
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, and its folder, on the path's own file system."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath, True).close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there, on the path's own file system."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Create a folder on the table's own file system (local, HDFS, object store)."""
     if "://" not in path:
@@ -128,6 +143,27 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Send this package to the executors' Python, as a zip in the shared folder; returns its path.
+
+    Operators whose work runs in Python workers need it there. Not needed where the package is installed on all machines or was given to
+    ``spark-submit --py-files``."""
+    package = Path(__file__).parent
+    with io.BytesIO() as raw:
+        with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*")):
+                if f.is_file() and "__pycache__" not in f.parts:
+                    z.write(f, f.relative_to(package.parent))
+        content = raw.getvalue()
+    path = f"{scratch_dir(spark, 'package')}/{package.name}.zip"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath, True)
+    out.write(bytearray(content))
+    out.close()
+    spark.sparkContext.addPyFile(path)
+    return path
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None under Spark Connect."""
     try:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,12 +62,12 @@ def time_range(df: DataFrame, col: str, start, end) -> DataFrame:
 
 def readings_from_events(events: DataFrame, start: dt.date | dt.datetime | None = None,
                          end: dt.date | dt.datetime | None = None,
-                         sensor: Column | None = None) -> DataFrame:
+                         sensor: Column | None = None, keep: list[str] | None = None) -> DataFrame:
     """Map the driver's ``events`` table onto readings (FIXTURES.md, F0).
 
     sensor_id = 'J' || (user_id % 5 + 1) unless ``sensor`` says otherwise; event_time = ts; vehicle_count =
     props.k; avg_speed = round(value % 60, 2). ``start``/``end`` bound ``ts``
-    before any cast so the range reaches the Parquet reader as PushedFilters.
+    before any cast so the range reaches the Parquet reader as PushedFilters. ``keep``: columns of ``events`` that stay.
     """
     events = time_range(events, "ts", start, end)
     if sensor is None:
@@ -77,6 +77,7 @@ def readings_from_events(events: DataFrame, start: dt.date | dt.datetime | None
         F.get_json_object("props", "$.k").cast("int").alias("vehicle_count"),
         F.round(F.col("value") % 60, 2).alias("avg_speed"),
         F.col("ts").cast(T.TimestampType()).alias("event_time"),
+        *(keep or []),
     )
 
 

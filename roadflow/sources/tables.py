@@ -79,12 +79,17 @@ def read_report(spark: SparkSession, report_dir: str, kind: str,
         warnings.warn(f"no {stem} report found for {date or 'any date'} in {report_dir}",
                       stacklevel=2)
         return _no_rows(spark, schema)
+    return read_csv(spark, found[-1], schema)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A report as it was written: one file, or a folder of parts."""
     reader = (spark.read.option("header", "true")
               .option("timestampFormat", REPORT_TIMESTAMP_FORMAT)
               .option("timestampNTZFormat", REPORT_TIMESTAMP_FORMAT))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     try:
-        return reader.csv(found[-1])
+        return reader.csv(path)
     except AnalysisException as exc:
         if exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise

@@ -138,12 +138,19 @@ def test_peak_range_is_seven_days_at_most(spark):
     assert ops.peak_hour_range(peaks, dt.date(2024, 1, 3), dt.date(2024, 1, 4)).count() == 2
 
 
-def test_pivot_value_discovery_is_bounded(spark):
-    vol = spark.createDataFrame([(0, f"S{i}", 1) for i in range(5)],
+def test_pivot_of_named_and_of_all_sensors(spark):
+    vol = spark.createDataFrame([(0, f"S{i}", 1 + i) for i in range(5)] + [(7, None, 9)],
                                 "hour_of_day int, sensor_id string, total_volume bigint")
-    assert ops.volume_pivot(vol).columns == ["hour_of_day", "S0", "S1", "S2", "S3", "S4"]
-    with pytest.raises(ValueError):
-        ops.volume_pivot(vol, max_columns=3)
+    assert ops.volume_pivot(vol, ["S1", "S4"]).collect()[0].asDict() == {"hour_of_day": 0, "S1": 2, "S4": 5}
+    for width in (1, 2, 100):
+        blocks = ops.volume_pivot_blocks(vol, width)
+        names = {(r.block, r.column): r.sensor_id for r in blocks.dictionary.collect()}
+        assert [names[divmod(k, width)] for k in range(6)] == [None, "S0", "S1", "S2", "S3", "S4"]
+        cells = {(r.hour_of_day, names[r.block, k]): r[f"c{k}"] for r in blocks.cells.collect() for k in range(width) if r[f"c{k}"] is not None}
+        assert cells == {(0, f"S{i}"): 1 + i for i in range(5)} | {(7, None): 9}
+    assert blocks.block(0).columns == ["hour_of_day", "None", "S0", "S1", "S2", "S3", "S4"]
+    empty = ops.volume_pivot_blocks(vol.limit(0))
+    assert empty.cells.count() == 0 and empty.dictionary.count() == 0
 
 
 def test_status_alert_selectors(spark):
