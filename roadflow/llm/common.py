@@ -10,13 +10,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import scratch_dir
+from ..session import delete_path, scratch_dir
 
 CHUNK_BYTES = 1 << 19
 WORD_BLOCK = 1 << 17
@@ -44,7 +46,36 @@ def materialise(df: DataFrame, name: str, arrow_rows: int | None = None) -> Data
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``materialise`` wrote, once everything that reads them has been written itself."""
+    for table in tables:
+        if path := getattr(table, "written_to", None):
+            delete_path(table.sparkSession, path)
+
+
+def lean(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``rows`` for ``mapInArrow``, giving memory back when its task is done. Workers are used again by later stages, and some
+    wait idle beside them: what a task has freed must not stay with its worker."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    for key in _powers:
+        _powers[key] = _powers[key][:WORD_BLOCK].copy()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -28,9 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import lean
+
 MODEL = "piece_bpe_32k.model"
 MOST, MOST_IDS, LONGEST = 300_000, 3_000_000, 200  # segments kept by a worker, their ids; characters of a short one
-OUT_BYTES = 1 << 21
+OUT_BYTES = 1 << 20
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _NEVER = float("inf")
@@ -467,7 +469,7 @@ def encode(docs: DataFrame, *, model: str = MODEL, text: str = "text") -> DataFr
             if got:
                 yield packed(batch, lo, got)
 
-    return docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`").alias("__text")).mapInArrow(rows, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`").alias("__text")).mapInArrow(lean(rows), schema)
 
 
 def decode(rows: DataFrame, *, model: str = MODEL, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -488,4 +490,4 @@ def decode(rows: DataFrame, *, model: str = MODEL, ids: str = "ids", text: str =
                     yield pa.RecordBatch.from_arrays([*[c.slice(lo, len(out)) for c in batch.columns], pa.array(out, pa.string())], names=[*others, text])
                     lo, out, size = lo + len(out), [], 0
 
-    return rows.select(*[F.col(f"`{c}`") for c in others]).mapInArrow(texts, schema)
+    return rows.select(*[F.col(f"`{c}`") for c in others]).mapInArrow(lean(texts), schema)

@@ -33,7 +33,8 @@ from .common import materialise
 
 COMPONENTS, SCALE, OFFSET = 16, 64, 1_000_000
 ROUNDS = 40
-FINE = 10 ** 15
+FINE, HALF = 10 ** 15, 10 ** 28
+CELLS = "cell int, high decimal(38, 0), low decimal(38, 0)"
 FLAT = 1e-13  # an eigenvalue below this share of the largest is none
 _EXACT = 1 << 53
 _LONG = (1 << 63) - 1
@@ -152,16 +153,20 @@ def _sums(fit: DataFrame, dim: int) -> tuple[int, list[int]]:
         if n:
             yield _cells({0: n} | {k + 1: t for k, t in enumerate(total)})
 
-    return _added(fit.select("x").mapInArrow(rows, "cell int, value decimal(38, 0)"), lambda got: (got[0], [got[k + 1] for k in range(dim)]))
+    return _added(fit.select("x").mapInArrow(rows, CELLS), lambda got: (got[0], [got[k + 1] for k in range(dim)]))
 
 
 def _cells(values: dict[int, int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(values), pa.int32()), pa.array([Decimal(int(v)) for v in values.values()], pa.decimal128(38, 0))], names=["cell", "value"])
+    """Whole numbers of any size, as two decimals each."""
+    parts = [divmod(int(v), HALF) for v in values.values()]
+    decimals = [pa.array([Decimal(x[k]) for x in parts], pa.decimal128(38, 0)) for k in range(2)]
+    return pa.RecordBatch.from_arrays([pa.array(list(values), pa.int32()), *decimals], names=["cell", "high", "low"])
 
 
 def _added(cells: DataFrame, use):
     """The cells' sums, a number that depends on the dimension only."""
-    return use({r["cell"]: int(r["value"]) for r in cells.groupBy("cell").agg(F.sum("value").cast("decimal(38, 0)").alias("value")).collect()})
+    total = cells.groupBy("cell").agg(*[F.sum(c).cast("decimal(38, 0)").alias(c) for c in ("high", "low")])
+    return use({r["cell"]: int(r["high"]) * HALF + int(r["low"]) for r in total.collect()})
 
 
 def _covariance(fit: DataFrame, n: int, sums: list[int]) -> np.ndarray:
@@ -177,7 +182,7 @@ def _covariance(fit: DataFrame, n: int, sums: list[int]) -> np.ndarray:
         if total.any():
             yield _cells(dict(enumerate(total)))
 
-    got = _added(fit.select("x").mapInArrow(rows, "cell int, value decimal(38, 0)"), dict)
+    got = _added(fit.select("x").mapInArrow(rows, CELLS), dict)
     left = [s - n * int(b) for s, b in zip(sums, base)]
     out = np.zeros((dim, dim), np.longdouble)
     for cell, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
@@ -257,7 +262,7 @@ def _identity_error(distinct: DataFrame, model: Whitening, live: np.ndarray) ->
         values = [int(t * FINE) for t in (*total.ravel().tolist(), *sums.tolist())]  # integers add up the same in any order
         yield _cells(dict(enumerate(values)))
 
-    got = _added(distinct.select("x").mapInArrow(rows, "cell int, value decimal(38, 0)"), dict)
+    got = _added(distinct.select("x").mapInArrow(rows, CELLS), dict)
     flat = np.array([got.get(c, 0) / FINE for c in range(k * k + k)]) / model.n
     error = flat[:k * k].reshape(k, k) - np.outer(flat[k * k:], flat[k * k:]) - np.eye(k)
     return float(np.abs(error[np.ix_(live, live)]).max(initial=0.0))
