@@ -20,6 +20,11 @@ size that holds 0.8 of a template's shingles has similarity 0.8 / (2 - 0.8) = 0.
 size, 0.29 or more at the class's worst, also in lengthened windows (0.8 / (2.5 + 1 - 0.8) = 0.296); the default bands (1 row, 32 bands) retrieve it with 1 - (1 - s)^32,
 over 0.99998.
 
+Templates of different licenses can be nearly equal (the headers of GPL and AGPL differ in one word), so that a text with
+the one holds over 0.8 of the other. Where templates have a ``license``, one that a text holds only by its likeness to another goes: if both
+are found, the text has shingles that tell the second from the first, and none that tell the first from the second. A template that lies in
+the other as a whole has no such shingles and stays.
+
 Defined results: null and empty texts match nothing; a text or template shorter than a shingle has its whole
 word sequence as its one shingle; null or wordless templates match nothing; equal templates are reported each under their
 own id; rows with equal ids are reported together; an empty table gives an empty result; other columns are ignored.
@@ -28,7 +33,7 @@ own id; rows with equal ids are reported together; an empty table gives an empty
 from __future__ import annotations
 
 import math
-from pathlib import Path
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -69,16 +74,20 @@ WORDINGS = {
         "Released under the Apache 2.0 license.",
         "SPDX-License-Identifier: Apache-2.0",
     ],
-    "GPL": [
+    "GPL-3.0": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
-        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
         "Licensed under the GNU General Public License v3.0.",
         "This project is licensed under the GNU GPL version 3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+    ],
+    "GPL-2.0": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-2.0-only",
     ],
-    "LGPL": [
+    "GPL": [
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ],
+    "LGPL-2.1": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
     ],
     "AGPL-3.0": [
@@ -105,27 +114,40 @@ WORDINGS = {
     "Unlicense": [
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ],
-    "CC": [
+    "CC-BY-4.0": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Licensed under CC BY 4.0 International.",
+    ],
+    "CC-BY-SA-4.0": [
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-SA 4.0 International.",
+    ],
+    "CC-BY-NC-4.0": [
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ],
+    "CC-BY-SA": [
         "Text is available under the Creative Commons Attribution-ShareAlike License; additional terms may apply.",
-        "Licensed under CC BY 4.0 International.",
-        "Licensed under CC BY-SA 4.0 International.",
     ],
 }
 
 
 def full_texts() -> dict[str, str]:
-    """License texts beside this module, as systems hand them out."""
-    folder = Path(__file__).parent / "license_texts"
-    return {f"{p.stem}-text": p.read_text(encoding="utf-8") for p in sorted(folder.glob("*.txt"))}
+    """License texts beside this module, as systems hand them out; also where the package is a zip."""
+    found = {p.name[:-4]: p.read_text(encoding="utf-8") for p in (resources.files(__package__) / "license_texts").iterdir() if p.name.endswith(".txt")}
+    if not found:
+        raise FileNotFoundError("the package's license_texts are missing")
+    return {f"{name}-text": found[name] for name in sorted(found)}
+
+
+def license_of(template_id: str) -> str:
+    """The license that a template of the query stands for: its id without the wording's number or ``-text``."""
+    return template_id.split("#")[0].removesuffix("-text")
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """The query's templates: notices, standard headers in several wordings, full texts. A wording is a row; rows of one license share its id up to '#'."""
+    """The query's templates: notices, standard headers in several wordings, full texts. A wording is a row; rows of one license share ``license``."""
     rows = [*NOTICES.items(), *((f"{k}#{i}", x) for k, v in WORDINGS.items() for i, x in enumerate(v)), *full_texts().items()]
-    return spark.createDataFrame(rows, "template_id string, text string")
+    return spark.createDataFrame([(k, license_of(k), x) for k, x in rows], "template_id string, license string, text string")
 
 
 def notices(spark: SparkSession) -> DataFrame:
@@ -171,20 +193,23 @@ def band_keys(part: Column, rows: int, bands: int) -> Column:
 def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: float = 0.8, rows: int = ROWS, bands: int = BANDS,
          every_start: bool = False, bare: bool = False) -> DataFrame:
     """doc_id, template_id, containment (of the best window), n_windows (that reach ``containment``), first_word, last_word
-    (positions that those windows span, last exclusive)."""
+    (positions that those windows span, last exclusive). With ``every_start``, templates with a ``license`` are told apart, and the result
+    has the license too."""
+    licensed = every_start and "license" in templates.columns
+    names = materialise(templates.select("template_id", "license").dropDuplicates(["template_id"]), "licenses") if licensed else None
     t = templates.select("template_id", words(F.col("text"), bare).alias("w")).where(F.size("w") > 0)
     t = t.select("template_id", F.array_distinct(shingles(F.col("w"), n)).alias("template"), F.size(shingles(F.col("w"), n)).alias("len"))
     t = t.withColumn("span", F.pow(2, F.ceil(F.log2(F.col("len").cast("double")))).cast("int"))
     t = materialise(t.withColumn("key", F.explode(F.array_distinct(band_keys(F.col("template"), rows, bands)))), "templates")
     spans = sorted(r[0] for r in t.select("span").distinct().collect())  # powers of two: as many as the longest template has bits
     if not spans:
-        return docs.sparkSession.createDataFrame([], "doc_id long, template_id string, containment double, n_windows long, first_word int, last_word int")
+        return docs.sparkSession.createDataFrame([], "doc_id long, template_id string, " + "license string, " * licensed + "containment double, n_windows long, first_word int, last_word int")
     known = materialise(t.select(F.explode("template").alias("h")).distinct(), "shingles")
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _once(words(F.col("text"), bare), "w"))
     d = materialise(_with_hits(d, known, templates, n, bare), "hits")  # read once per class of windows
     if every_start:
-        return _every_start(d, t, spans, n, containment, rows, bands)
+        return _every_start(d, t, spans, n, containment, rows, bands, names)
     windows = []
     for span in spans:
         stride = max(1, span // 4) if span >= 32 else 1
@@ -207,7 +232,29 @@ def scan(docs: DataFrame, templates: DataFrame, *, n: int = 5, containment: floa
         F.max("containment").alias("containment"), F.count("*").alias("n_windows"), F.min("start").alias("first_word"), F.max("end").alias("last_word"))
 
 
-def _every_start(d: DataFrame, t: DataFrame, spans: list[int], n: int, containment: float, rows: int, bands: int) -> DataFrame:
+def _telling(known: DataFrame, names: DataFrame, containment: float) -> DataFrame:
+    """(template, rival, h): shingles of a template that its rival lacks. Rivals are templates of different licenses of which one holds
+    ``containment`` of the other, but not all of it."""
+    a = known.join(names, "template_id").select(F.col("template_id").alias("template"), F.col("license").alias("own"), "size", "h")
+    b = known.join(names, "template_id").select(F.col("template_id").alias("rival"), F.col("license").alias("other"), F.col("h").alias("its"))
+    shared = a.join(b, (F.col("h") == F.col("its")) & (F.col("own") != F.col("other"))).groupBy("template", "rival", "size").agg(F.count("*").alias("common"))
+    near = shared.where((F.col("common") >= containment * F.col("size")) & (F.col("common") < F.col("size"))).select("template", "rival")
+    near = materialise(near.unionByName(near.select(F.col("rival").alias("template"), F.col("template").alias("rival"))).distinct(), "rivals")
+    mine = near.join(a.select("template", "h"), "template")
+    return materialise(mine.join(b.select("rival", F.col("its").alias("h")), ["rival", "h"], "left_anti").select("template", "rival", "h"), "telling")
+
+
+def _only_alike(steps: DataFrame, at: DataFrame, telling: DataFrame) -> DataFrame:
+    """(row, template_id) found only by likeness to another template found in the row."""
+    held = at.select("row", F.col("template_id").alias("template"), "h").distinct().join(telling, ["template", "h"])
+    held = materialise(held.select("row", "template", "rival").distinct(), "evidence")
+    found = steps.select("row", "template_id").distinct()
+    both = held.join(found.select("row", F.col("template_id").alias("template")), ["row", "template"]).join(found.select("row", F.col("template_id").alias("rival")), ["row", "rival"])
+    against = held.select("row", F.col("template").alias("rival"), F.col("rival").alias("template"))
+    return both.join(against, ["row", "template", "rival"], "left_anti").select("row", F.col("rival").alias("template_id")).distinct()
+
+
+def _every_start(d: DataFrame, t: DataFrame, spans: list[int], n: int, containment: float, rows: int, bands: int, names: DataFrame | None) -> DataFrame:
     """As ``scan``, over the windows at every start."""
     d = d.withColumn("row", F.xxhash64("doc_id", "sh"))
     least = t.groupBy("span").agg(F.min(F.size("template")).alias("size")).collect()
@@ -232,6 +279,8 @@ def _every_start(d: DataFrame, t: DataFrame, spans: list[int], n: int, containme
     # where the retrieved templates' shingles stand in the text
     at = d.select("row", "doc_id", "n_words", F.size("sh").alias("n_sh"), "sh", F.explode("hits").alias("p")).withColumn("h", F.get("sh", F.col("p"))).drop("sh")
     at = at.join(found, "row").join(known, ["template_id", "h"]).dropDuplicates(["row", "template_id", "p"])
+    if names is not None:
+        at = occurrences = materialise(at, "occurrences")
     before = F.lag("p").over(Window.partitionBy("row", "template_id", "h").orderBy("p"))
     lo = F.greatest(F.lit(0), F.col("p") - F.col("span") + 1, F.coalesce("before", F.lit(-1)) + 1)
     hi = F.least("p", F.greatest(F.lit(0), F.col("n_sh") - F.col("span")))
@@ -243,7 +292,13 @@ def _every_start(d: DataFrame, t: DataFrame, spans: list[int], n: int, containme
     steps = ends.select(*row, "start", F.sum("d").over(order).alias("held"), F.lead("start").over(order).alias("next"))
     steps = steps.withColumn("containment", F.col("held") / F.col("size")).where((F.col("containment") >= containment) & F.col("next").isNotNull())
     end = F.least(F.col("n_words"), F.col("next") - 1 + F.least("span", "n_sh") + (n - 1))
-    return steps.withColumn("end", end).groupBy("doc_id", "template_id").agg(
+    key = ["doc_id", "template_id"]
+    if names is not None:
+        steps = materialise(steps, "windows")
+        alike = _only_alike(steps, occurrences, _telling(known.select("template_id", "size", "h"), names, containment))
+        steps = steps.join(alike, ["row", "template_id"], "left_anti").join(names, "template_id")
+        key.append("license")
+    return steps.withColumn("end", end).groupBy(*key).agg(
         F.max("containment").alias("containment"), F.sum(F.col("next") - F.col("start")).alias("n_windows"), F.min("start").alias("first_word"), F.max("end").alias("last_word"))
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadflow.llm.langid import label_spans, learn, viterbi
-from roadflow.llm.licenses import NOTICES, band_probability, full_texts, notices, scan, templates
+from roadflow.llm.licenses import MARKS, NOTICES, WORDINGS, band_probability, full_texts, license_of, notices, scan, templates
 from roadflow.llm.quality import FEATURES, RANK, fit, good_documents, raw_scores, score, train
 
 LANGS = {"en": "the of and thing house water there with from which", "de": "der die und wasser haus nicht schon mit durch straße", "el": "και το σπίτι νερό δεν με από", "fr": "le la les des maison où très été eau avec"}
@@ -178,6 +178,56 @@ def test_headers_full_texts_and_other_punctuation_are_found(spark, make_docs):
     assert {d for d, _ in got} == {1, 2, 3} and (3, "GPL-3.0-text") not in got
 
 
+def test_every_template_reports_its_own_license_only(spark, make_docs):
+    """Headers and texts of related licenses hold most of each other; only a text that contains another as a whole reports both."""
+    rows = [(r.template_id, r.license, r.text) for r in templates(spark).collect()]
+    # a template of fewer than five words is found where it is the whole text
+    docs = make_docs([(k, f"{'x' * 9} before {t} after it" if len(t.split()) >= 5 else t) for k, (_, _, t) in enumerate(rows)])
+    got = {}
+    for r in scan(docs, templates(spark), every_start=True, bare=True).collect():
+        got.setdefault(r.doc_id, set()).add((r.template_id, r.license))
+    bare = lambda x: [w for w in (y.strip(MARKS) for y in x.lower().split()) if w]
+
+    def parts(text):
+        w = bare(text)
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    sets = [parts(t) for _, _, t in rows]
+    for k, (name, license, _) in enumerate(rows):
+        assert (name, license) in got[k], name
+        for other, its in got[k]:
+            o = next(i for i, r in enumerate(rows) if r[0] == other)
+            assert its == license or sets[o] <= sets[k] or not sets[k] - sets[o], (name, other)
+    assert license_of("AGPL-3.0#0") == "AGPL-3.0" and license_of("GPL-2.0-text") == "GPL-2.0"
+
+
+def test_edited_headers_keep_their_license(spark, make_docs):
+    agpl, gpl3, gpl2 = (next(t for t in WORDINGS[k] if t.startswith("This program is free")) for k in ("AGPL-3.0", "GPL-3.0", "GPL-2.0"))
+    rows = [(1, agpl), (2, gpl3), (3, gpl2), (4, f"{agpl} -- and elsewhere -- {gpl3}"), (5, agpl.replace("redistribute", "share")), (6, gpl2.replace("hope", "x"))]
+    got = {}
+    for r in scan(make_docs(rows), templates(spark), every_start=True, bare=True).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == {1: {"AGPL-3.0"}, 2: {"GPL-3.0"}, 3: {"GPL-2.0"}, 4: {"AGPL-3.0", "GPL-3.0"}, 5: {"AGPL-3.0"}, 6: {"GPL-2.0"}}
+
+
+def test_license_texts_in_a_zipped_package(tmp_path):
+    import pathlib
+    import subprocess
+    import sys
+    import zipfile
+
+    import roadflow
+
+    root = pathlib.Path(roadflow.__file__).parent
+    with zipfile.ZipFile(tmp_path / "lib.zip", "w") as z:
+        for f in root.rglob("*"):
+            if f.is_file() and "__pycache__" not in f.parts:
+                z.write(f, f.relative_to(root.parent))
+    code = "import sys; sys.path.insert(0, sys.argv[1]); from roadflow.llm.licenses import full_texts; print(len(full_texts()))"
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "lib.zip")], capture_output=True, text=True, cwd=tmp_path, check=True)
+    assert int(out.stdout) == len(full_texts()) >= 14
+
+
 def test_license_bands_and_empty_tables(spark, make_docs):
     assert band_probability(0.28) > 0.9999
     assert scan(make_docs([]), notices(spark)).collect() == []
