@@ -9,7 +9,8 @@ on the border gives only the words still missing, so each source meets its targe
 
 No window ever spans a source: keys are mapped monotonically to ``BUCKETS`` buckets,
 bucket sums (partial aggregates) are prefix-summed per source, and only the bucket in which
-the budget ends is sorted row by row.
+the budget ends goes on: if it holds more than ``BORDER_ROWS`` rows of a source (low weights crowd the last
+buckets), it is cut into buckets again between its own smallest and largest key, and so on; then it is sorted row by row.
 
 Defined results: null or wordless texts have size 0 and take 0; a null source is a source
 of its own, ranked last; a source without words has target 0; rows with equal keys are
@@ -21,11 +22,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.ordering import with_positions
 from .common import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
 BUCKETS = 4096
+BORDER_ROWS = 100_000  # of one source that are sorted in one task
 
 
 def n_words(text: Column) -> Column:
@@ -47,10 +50,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     times its own, the excess reshared by weight. One row per source; each round of resharing is one
     aggregate over the sources, which returns three numbers."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
-                     ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    per = materialise(per.withColumn("w", w), "sources").withColumn("cap", F.col("source_size") * F.lit(float(most)))
+    per = with_positions(per, F.col("source").asc_nulls_last())
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.col("position") - 1) % len(weights) + 1).cast("int"))
+    per = materialise(per.withColumn("w", w).drop("position"), "sources").withColumn("cap", F.col("source_size") * F.lit(float(most)))
     total = per.agg(F.sum("source_size")).first()[0] or 0
     wanted, rate, capped = share * total, 0.0, -1
     while True:
@@ -69,7 +71,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
 
 
 def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0,
-        quality: Column | None = None, seed: int = 17) -> DataFrame:
+        quality: Column | None = None, seed: int = 17, border_rows: int = BORDER_ROWS) -> DataFrame:
     """One row per document: doc_id, source, row_hash, size, weight, source_size, target,
     epochs (complete passes), part (words of one further, partial pass), taken."""
     text = F.col("text")
@@ -87,33 +89,62 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float =
     budget = (F.floor(F.col("target") + 1e-6)).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.least(F.floor(budget / F.col("source_size")), F.lit(int(most)))).otherwise(F.lit(0)).cast("long")
     targets = targets.withColumn("epochs", epochs).withColumn("left", budget - F.col("epochs") * F.col("source_size"))
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    keep = ["doc_id", "source", "row_hash", "size", "weight", "source_size", "target", "epochs", "key"]
+    named = targets.withColumnRenamed("source", "name")
+    rows = rows.join(named, rows["source"].eqNullSafe(named["name"])).select(*keep, F.col("left").alias("room"), "bucket")
+    done = []
+    while True:
+        plain, border = _settled(rows, keep)
+        done.append(plain)
+        border = materialise(border, "border")
+        stats = border.groupBy("source").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"))
+        # a border of many rows with different keys is cut again, between its own smallest and largest key
+        wide = (F.col("n") > border_rows) & (F.col("low") < F.col("high"))
+        stats = materialise(stats.withColumn("wide", wide).select(F.col("source").alias("name"), "low", "high", "wide"), "border-keys")
+        border = border.join(stats, border["source"].eqNullSafe(stats["name"])).drop("name")
+        done.append(_sorted_border(border.where(~F.col("wide")), keep))
+        if stats.where("wide").isEmpty():
+            break
+        place = F.floor((F.col("key") - F.col("low")) / (F.col("high") - F.col("low")) * BUCKETS)
+        rows = border.where("wide").withColumn("bucket", F.least(place, F.lit(BUCKETS - 1)).cast("int")).select(*keep, "room", "bucket")
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out.select("doc_id", "source", "row_hash", "size", "weight", "source_size", "target", "epochs", "part",
+                      (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
+
+
+def _settled(rows: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of buckets that lie before or behind their source's border, with ``part``; and those of the border's bucket, with the room that
+    is left for them."""
+    sums = rows.groupBy("source", "room", "bucket").agg(F.sum("size").alias("words"))
+    # a source has at most BUCKETS rows here
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = sums.withColumn("before", F.sum("words").over(upto) - F.col("words"))
-    sums = sums.join(targets, sums["source"].eqNullSafe(targets["source"]), "inner").select(
-        sums["source"], "bucket", "source_size", "target", "epochs", (F.col("left") - F.col("before")).alias("room"), "words")
-    sums = materialise(sums, "buckets")
-    same = rows["source"].eqNullSafe(sums["source"]) & (rows["bucket"] == sums["bucket"])
-    joined = rows.join(sums, same, "inner").select(
-        "doc_id", rows["source"].alias("source"), "row_hash", "size", "weight", "key", rows["bucket"].alias("bucket"),
-        "source_size", "target", "epochs", "room", "words")
-    on_border = (F.col("room") > 0) & (F.col("room") < F.col("words"))
-    plain = joined.where(~on_border).withColumn("part", F.when(F.col("room") > 0, F.col("size")).otherwise(F.lit(0).cast("long")))
+    before = F.sum("words").over(upto) - F.col("words")
+    sums = materialise(sums.select(F.col("source").alias("name"), F.col("bucket").alias("slot"), (F.col("room") - before).alias("free"), "words"), "buckets")
+    joined = rows.join(sums, rows["source"].eqNullSafe(sums["name"]) & (rows["bucket"] == sums["slot"]))
+    on_border = (F.col("free") > 0) & (F.col("free") < F.col("words"))
+    plain = joined.where(~on_border).select(*keep, F.when(F.col("free") > 0, F.col("size")).otherwise(F.lit(0).cast("long")).alias("part"))
+    return plain, joined.where(on_border).select(*keep, F.col("free").alias("room"))
+
+
+def _sorted_border(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The last step: a border of few rows, or of rows with one key, is sorted and prefix-summed."""
     run = Window.partitionBy("source").orderBy("key", "doc_id", "row_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = joined.where(on_border).withColumn("upto", F.sum("size").over(run))
-    cut = cut.withColumn("part", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("room") - F.col("upto") + F.col("size")))).drop("upto")
-    return plain.unionByName(cut).select(
-        "doc_id", "source", "row_hash", "size", "weight", "source_size", "target", "epochs", "part",
-        (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
+    rows = rows.withColumn("upto", F.sum("size").over(run))
+    return rows.select(*keep, F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("room") - F.col("upto") + F.col("size"))).alias("part"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself, in the columns of ``docs``: a document once per complete epoch, and once
-    more if the partial pass takes it (the border document's text ends after its last taken word)."""
-    chosen = mix(docs, **options).where("epochs > 0 OR part > 0").dropDuplicates(["doc_id", "row_hash"]).select(
-        "doc_id", "row_hash", "epochs", "part", "size")
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64(F.col("doc_id"), F.col("text")).alias("doc_hash"))
-    rows = rows.join(chosen, rows["doc.doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["doc_hash"] == chosen["row_hash"]), "inner")
+    more if the partial pass takes it (the border document's text ends after its last taken word). Rows equal in id and text
+    come as often as all of them together are taken, with the other columns of one of them."""
+    chosen = mix(docs, **options).groupBy("doc_id", "row_hash", "size").agg(F.sum("epochs").alias("epochs"), F.sum("part").alias("part"))
+    more = F.when(F.col("size") > 0, F.floor(F.col("part") / F.col("size"))).otherwise(0)
+    chosen = chosen.where("epochs > 0 OR part > 0").select("doc_id", "row_hash", "size", (F.col("epochs") + more).alias("epochs"), (F.col("part") - more * F.col("size")).alias("part"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("own"), F.xxhash64(F.col("doc_id"), F.col("text")).alias("doc_hash"))
+    rows = rows.dropDuplicates(["own", "doc_hash"])
+    rows = rows.join(chosen, rows["own"].eqNullSafe(chosen["doc_id"]) & (rows["doc_hash"] == chosen["row_hash"]), "inner")
     copies = F.concat(F.array_repeat(F.lit(-1).cast("long"), F.col("epochs").cast("int")),
                       F.when(F.col("part") > 0, F.array(F.col("part"))).otherwise(F.array().cast("array<bigint>")))
     rows = rows.select("doc", "size", F.explode(copies).alias("take"))

@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadflow.llm.mixing import first_words, mix, mixed_documents
@@ -70,6 +71,24 @@ def test_reruns_and_partitions_agree(make_docs):
     assert a == b
 
 
+@pytest.mark.parametrize("weight", [None, 0.01])
+def test_borders_are_cut_until_they_fit(make_docs, weight):
+    """Low weights put all keys into the last bucket; cutting it again and again changes no row's take."""
+    docs = make_docs(rows_of())
+    quality = F.lit(weight) if weight else None
+    a = sorted(map(tuple, mix(docs, quality=quality).collect()), key=str)
+    for border in (1, 10):
+        assert sorted(map(tuple, mix(docs, quality=quality, border_rows=border).collect()), key=str) == a
+
+
+def test_repeated_rows_come_as_often_as_they_are_taken(make_docs):
+    rows = [(1, "a b c", "en", "s")] * 7 + [(2, "d e", "en", "s"), (2, "d e", "en", "s"), (3, "f", "en", "s"), (4, "g h i j", "en", "t")]
+    for share in (0.4, 0.9, 1.5):
+        docs = make_docs(rows)
+        want = sum(r.taken for r in mix(docs, share=share).collect())
+        assert sum(len(r.text.split()) for r in mixed_documents(docs, share=share).collect()) == want > 0
+
+
 def test_quality_weight_prefers_good_documents(make_docs):
     rows = [(i, ("w " if i % 2 else "# ") * 10, None, "big") for i in range(2000)] + [(9000 + i, "w " * 10, None, "a") for i in range(2000)]
     out = [r for r in mix(make_docs(rows), share=0.6).collect() if r.source == "big"]
