@@ -24,18 +24,22 @@ from .graph import components
 from .minhash import whole_groups
 from .vectors import SAMPLE, matrix, sample_rows, spherical_kmeans, unit, usable
 
-BLOCK, PER_CELL, MOST_CELLS = 512, 20_000, 1024
+BLOCK, PER_CELL, PER_CENTRE = 512, 20_000, 8  # PER_CENTRE: sampled vectors that a centroid stands for at least
+ASSIGN_ROWS = 1000
 
 
-def guest_cells(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Home cell of each unit row, and (rows x cells) flags: the home, and lower cells that may hold a partner."""
+def cell_distances(centres: np.ndarray) -> np.ndarray:
+    """Distances of the centroids from one another: cells x cells, whatever the number of rows."""
+    return np.array([np.sqrt(((centres - c) ** 2).sum(axis=1)) for c in centres]).reshape(len(centres), len(centres))
+
+
+def guest_cells(x: np.ndarray, centres: np.ndarray, apart: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Home cell of each unit row, and (rows x cells) flags: the home, and lower cells that may hold a partner. ``apart``: ``cell_distances``."""
     near = x @ centres.T
     home = near.argmax(axis=1)
     sine = np.sqrt(max(0.0, 1 - threshold * threshold)) + 1e-9
-    apart = np.sqrt(((centres[home][:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)) if len(centres) <= 64 else \
-        np.sqrt(np.maximum(0, 2 - 2 * (centres @ centres.T)[home]))
     margin = near[np.arange(len(x)), home][:, None] - near
-    flags = (margin <= sine * apart + 1e-12) & (np.arange(len(centres))[None, :] < home[:, None])
+    flags = (margin <= sine * apart[home] + 1e-12) & (np.arange(len(centres))[None, :] < home[:, None])
     flags[np.arange(len(x)), home] = True
     return home, flags
 
@@ -72,15 +76,18 @@ def linked(vectors: DataFrame, *, threshold: float = 0.98, block: int = BLOCK, p
     dims = classes.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect()
     dim = dims[0]["dim"] if dims else 0
     sampled = sample_rows(classes.where(F.col("dim") == dim), sample) if dims else np.zeros((0, 1))
-    centres = spherical_kmeans(sampled, min(MOST_CELLS, max(1, n // per_cell)))
+    # as many cells as the table asks for; a bounded sample has centroids for PER_CENTRE vectors each
+    centres = spherical_kmeans(sampled, min(max(1, len(sampled) // PER_CENTRE), max(1, n // per_cell)))
+    shared = vectors.sparkSession.sparkContext.broadcast((centres, cell_distances(centres)))  # cells x (dim + cells) numbers
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        middle, apart = shared.value
+        for batch in (b.slice(k, ASSIGN_ROWS) for b in batches for k in range(0, b.num_rows, ASSIGN_ROWS)):
             size = batch.column("dim").to_numpy()
             for d in np.unique(size):
                 part = batch.take(pa.array(np.flatnonzero(size == d)))
                 if d == dim:
-                    home, flags = guest_cells(unit(matrix(part.column("embedding"))), centres, threshold)
+                    home, flags = guest_cells(unit(matrix(part.column("embedding"))), middle, apart, threshold)
                     at, cell = np.nonzero(flags)
                 else:  # other lengths: a cell of their own
                     at, cell, home = np.arange(len(part)), np.full(len(part), -int(d)), np.full(len(part), -int(d))
