@@ -4,8 +4,8 @@ The histogram of piece lengths (at most ``size`` numbers, whatever the corpus) d
 configuration linear program: a configuration is a multiset of lengths that fits one
 sequence, and the fewest sequences cover every length as often as it occurs. The program is solved as a covering
 problem by multiplicative weights with knapsack dynamic programming as its oracle (``solve_program``). The averaged solution
-is scaled, rounded down, and what is left is placed best-fit, longest first, on counts, never on rows. It is taken where it
-needs fewer sequences than best-fit decreasing alone; the better of the dual and the volume bound is reported with the plan.
+is scaled, rounded down, and what is left is placed best-fit, longest first, on counts, never on rows. It is taken unless it
+needs more sequences than best-fit decreasing alone; the better of the dual and the volume bound is reported with the plan.
 
 The plan (length, ordinal range -> sequence, offset) goes to the executors as a table
 whose size depends on ``size`` and the number of rounds only. Pieces get ordinals within their
@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import materialise
+from .common import lean, materialise
 from .tokens import WordTokenizer
 
 logger = logging.getLogger(__name__)
@@ -62,7 +62,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_i
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(pieces), PIECES)
 
 
 def price_knapsack(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, size: int) -> Counter:
@@ -90,7 +90,7 @@ def price_knapsack(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, si
     return used
 
 
-def solve_program(histogram: dict[int, int], size: int, rounds: int = ROUNDS) -> tuple[list[tuple[dict[int, int], float]], float, float]:
+def solve_program(histogram: dict[int, int], size: int, rounds: int = ROUNDS, known: list[tuple[dict[int, int], int]] | None = None) -> tuple[list[tuple[dict[int, int], float]], float, float]:
     """Multiplicative weights on the configuration program as a covering problem over all counts: the averaged and scaled
     solution (configuration, times) that covers every count, its number of sequences, and the best dual bound.
 
@@ -99,7 +99,8 @@ def solve_program(histogram: dict[int, int], size: int, rounds: int = ROUNDS) ->
     best-fit decreasing and what the knapsack finds, which prices the weights ``rounds`` times in all, evenly over the phases, and the
     averaged weights when a phase ends. Prices over the knapsack's value are a dual solution. A phase ends when every coverage
     has reached log(m) / eps^2; its first quarter, in which the weights find their level, is left out of the average.
-    The next phase has a smaller eps, until a solution is within ``TOLERANCE`` of the bound."""
+    The next phase has a smaller eps, until a solution is within ``TOLERANCE`` of the bound. The first solution, which the
+    phases have to better, is ``known`` (best-fit decreasing)."""
     lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[int(x)] for x in lengths], float)
     m = len(lengths)
@@ -109,15 +110,15 @@ def solve_program(histogram: dict[int, int], size: int, rounds: int = ROUNDS) ->
     place = {int(x): i for i, x in enumerate(lengths)}
     where: list[np.ndarray] = []  # the known configurations: which lengths, how many
     held: list[np.ndarray] = []
-    known: dict[tuple, int] = {}
+    met: dict[tuple, int] = {}
     pool = np.zeros((m, 64), np.int16)  # the same by length
 
     def add(config: dict[int, int]) -> None:
         nonlocal pool
         key = tuple(sorted(config.items()))
-        if key in known:
+        if key in met:
             return
-        k = known[key] = len(where)
+        k = met[key] = len(where)
         if k == pool.shape[1]:
             pool = np.hstack((pool, np.zeros_like(pool)))
         where.append(np.array([i for i, _ in key], np.int64))
@@ -135,9 +136,15 @@ def solve_program(histogram: dict[int, int], size: int, rounds: int = ROUNDS) ->
         bound = max(bound, float(counts @ weight) / (sum(c * weight[i] for i, c in used.items()) + 1e-9 * top))
         add({int(i): int(c) for i, c in used.items()})
 
-    for contents, _ in best_fit_decreasing(histogram, size):
+    known = best_fit_decreasing(histogram, size) if known is None else known
+    whole = sum(t for _, t in known)
+    for contents, _ in known:
         add({place[x]: c for x, c in contents.items()})
-    best, least, bound = np.zeros(0), math.inf, float((counts * lengths).sum()) / size
+    # best-fit decreasing is the first solution; only a better one takes its place
+    best, bound = np.zeros(len(where)), float((counts * lengths).sum()) / size
+    for contents, n in known:
+        best[met[tuple(sorted((place[x], c) for x, c in contents.items()))]] += n
+    least = float(whole)
     for eps in PHASES:
         goal = max(1.0, math.log(m + 1)) / eps ** 2
         every = max(1, int(min(m * goal, STEPS) / max(1, rounds // len(PHASES))))
@@ -235,18 +242,18 @@ def plan_sequences(histogram: dict[int, int], size: int = SIZE, rounds: int = RO
     if size in left:
         final.append(({size: 1}, left.pop(size)))
     whole = sum(t for _, t in final)
-    packed = best_fit_decreasing(left, size)
-    fewest, bound = sum(t for _, t in packed), -(-sum(x * c for x, c in left.items()) // size)
-    if fewest > bound * (1 + TOLERANCE):  # else best-fit decreasing alone is as near the bound as the program is solved
-        program, _, dual = solve_program(left, size, rounds)
-        bound = max(bound, math.ceil(dual - 1e-6))
-        begun = rounded(program, left)
-        rest = Counter(left)
-        for config, times in begun:
-            rest.subtract({x: c * times for x, c in config.items()})
-        other = best_fit_decreasing(rest, size, begun)
-        if sum(t for _, t in other) < fewest:
-            packed, fewest = other, sum(t for _, t in other)
+    alone = best_fit_decreasing(left, size)
+    fewest = sum(t for _, t in alone)
+    program, _, dual = solve_program(left, size, rounds, known=alone)
+    bound = max(-(-sum(x * c for x, c in left.items()) // size), math.ceil(dual - 1e-6))
+    begun = rounded(program, left)
+    rest = Counter(left)
+    for config, times in begun:
+        rest.subtract({x: c * times for x, c in config.items()})
+    packed = best_fit_decreasing(rest, size, begun)
+    if sum(t for _, t in packed) > fewest:
+        packed = alone
+    fewest = sum(t for _, t in packed)
     final += packed
     rows, sequence, done = [], 0, Counter()
     for config, times in final:
@@ -304,4 +311,4 @@ def pack_pieces(pieces: DataFrame, *, size: int = SIZE, rounds: int = ROUNDS) ->
 
     rank = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")).cast("long")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
-    return salted.withColumn("rank", rank).mapInArrow(place, schema)
+    return salted.withColumn("rank", rank).mapInArrow(lean(place), schema)
