@@ -41,9 +41,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .warc import read_all, write_archive
+    from .warc import lookup, write_archive
 
-    out = read_all(write_archive(_table(spark, sf_dir, "pages"), least_bytes=0))
+    pages = _table(spark, sf_dir, "pages")
+    out = lookup(write_archive(pages, least_bytes=0), pages, payload=False)
     return out.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 

@@ -5,9 +5,10 @@ folder (``pyarrow.fs``; a retried task writes files of its own, and the index na
 that counted). Of records with equal payloads the one with the largest id is the response, the
 others are revisits that refer to it.
 
-Index: entries sorted by reversed-host key in gzip blocks of ``BLOCK`` lines; the directory holds each block's
-first key and place. ``lookup`` finds a key's blocks by binary search in the directory, range-reads them, and range-reads the
-records. ``read_all`` decodes all blocks and reads the records in file order, neighbours in one range.
+Index: entries sorted by reversed-host key in gzip blocks of ``BLOCK`` lines. A sparse directory of two levels lies in the archive: a line per
+block beside each index file (first and last key, place), and a line per index file in one file above them. ``lookup`` takes a table
+of urls: tasks find the keys' blocks by binary search in both levels, range-read each block found, search it for the keys, and
+range-read the records in file order, neighbours in one range. ``read_all`` decodes all blocks instead.
 
 Defined results: a null payload is empty; a null url has the key ``-)/``; a null id is written as
 ``none``, refers to its group's response like any other, and is a response where the whole group has no id; rows with equal
@@ -30,13 +31,16 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_dir
 from .common import materialise
 
 FILE_BYTES, BLOCK, RANGE = 256 << 20, 1000, 4 << 20
+PLACE, OUT_ROWS = "key string, file string, offset long, length long", 20_000
 ENTRY = "key string, id long, file string, offset long, length long"
+TOP, BLOCKS = "directory.top", ".blocks"  # names of the directory's upper level, and of an index file's part of the lower one
+HELD = 64  # index files whose part of the directory a task keeps
 DIRECTORY = "first string, last string, file string, offset long, length long, n int"
 
 
@@ -142,6 +146,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, *, least_bytes: i
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(folder)
         name, at, lines, out, rows = f"{uuid.uuid4().hex}.cdx.gz", 0, [], None, []
+        # this task's part of the directory lies beside its blocks
 
         def flush():
             nonlocal at, out, lines
@@ -161,11 +166,25 @@ def write_archive(pages: DataFrame, folder: str | None = None, *, least_bytes: i
         if out is not None:
             out.close()
         if rows:
+            with fs.open_output_stream(f"{root}/{name}{BLOCKS}", compression=None) as f:
+                f.write("".join(json.dumps([*r[:2], *r[3:5]]) + "\n" for r in rows).encode())
             yield _batch(rows, DIRECTORY)
 
     # equal keys spread over files and places, so no key is too large for one range
     ordered = entries.repartitionByRange("key", "file", "offset").sortWithinPartitions("key", "file", "offset")
-    return Archive(folder, materialise(ordered.mapInArrow(index, DIRECTORY), "directory"))
+    directory = materialise(ordered.mapInArrow(index, DIRECTORY), "directory")
+    _write_top(folder, directory)
+    return Archive(folder, directory)
+
+
+def _write_top(folder: str, directory: DataFrame) -> None:
+    """The upper level of the directory: a line per index file, with its first and last key, in order. Rows pass through the driver one by one."""
+    fs, root = _open(folder)
+    fs.create_dir(root, recursive=True)
+    files = directory.groupBy("file").agg(F.min("first").alias("first"), F.max("last").alias("last")).orderBy("first", "last", "file")
+    with fs.open_output_stream(f"{root}/{TOP}", compression=None) as out:
+        for r in files.toLocalIterator():
+            out.write((json.dumps([r["first"], r["last"], r["file"]]) + "\n").encode())
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -194,10 +213,18 @@ def index_entries(archive: Archive) -> DataFrame:
     return archive.directory.mapInArrow(rows, ENTRY)
 
 
+RECORD = "id long, url string, payload_bytes long, payload_digest string, type string, refers_to long"
+
+
 def read_all(archive: Archive) -> DataFrame:
-    """id, url, payload_bytes, payload_digest, type, refers_to of every record. Ranges that touch are read at once, up to RANGE bytes."""
+    """``RECORD`` of every record that the index names."""
+    return read_records(archive, index_entries(archive))
+
+
+def read_records(archive: Archive, entries: DataFrame, payload: bool = False) -> DataFrame:
+    """``RECORD`` (and the payload; null for revisits) of the entries (file, offset, length). Ranges that touch are read at once, up to RANGE bytes."""
     folder = archive.folder
-    schema = "id long, url string, payload_bytes long, payload_digest string, type string, refers_to long"
+    schema = RECORD + ", payload binary" * payload
     names = [x.split()[0] for x in schema.split(", ")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,22 +250,80 @@ def read_all(archive: Archive) -> DataFrame:
             out.append(tuple(r[n] for n in names))
         return _batch(out, schema)
 
-    return index_entries(archive).repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(rows, schema)
-
-
-def lookup(spark: SparkSession, archive: Archive, url: str) -> list[dict]:
-    """The records of one url: the directory's blocks that may hold its key (binary search in the sorted
-    first keys), then range reads of those blocks and of the records."""
-    key = reversed_host_key(url)
-    # Spark prunes by the bounds; what comes back are the blocks that can hold the key
-    near = archive.directory.where((F.col("first") <= key) & (F.col("last") >= key)).orderBy("first", "last").collect()
-    firsts = [b["first"] for b in near]
-    near = near[:bisect.bisect_right(firsts, key)]
-    fs, root = _open(archive.folder)
-    found = []
-    for b in near:
-        lines = [json.loads(x) for x in gzip.decompress(_range(fs, f"{root}/{b['file']}", b["offset"], b["length"])).decode().splitlines()]
-        keys = [x[0] for x in lines]
-        for e in lines[bisect.bisect_left(keys, key):bisect.bisect_right(keys, key)]:
-            found.append(parse(zlib.decompress(_range(fs, f"{root}/{e[2]}", e[3], e[4]), 31)))
-    return found
+    return entries.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(rows, schema)
+
+
+def spans_of(firsts: list[str], lasts: list[str], key: str) -> range:
+    """Which of the sorted stretches [first, last] can hold the key: two binary searches. Stretches follow one another, and only
+    share keys at their ends."""
+    return range(bisect.bisect_left(lasts, key), bisect.bisect_right(firsts, key))
+
+
+class _Search:
+    """The two levels of the directory, as a task sees them: the upper one, and the parts of the lower one that it has met."""
+
+    def __init__(self, folder: str):
+        self.fs, self.root = _open(folder)
+        rows = [json.loads(x) for x in self._read(TOP)]
+        self.firsts, self.lasts, self.files = ([r[k] for r in rows] for k in range(3))
+        self.parts: dict[str, tuple] = {}
+
+    def _read(self, name: str) -> list[str]:
+        with self.fs.open_input_file(f"{self.root}/{name}") as f:
+            return f.read().decode().splitlines()
+
+    def _part(self, file: str) -> tuple:
+        if file not in self.parts:
+            if len(self.parts) >= HELD:
+                self.parts.clear()
+            rows = [json.loads(x) for x in self._read(file + BLOCKS)]
+            self.parts[file] = tuple([r[k] for r in rows] for k in range(4))
+        return self.parts[file]
+
+    def blocks(self, key: str) -> Iterator[tuple[str, int, int]]:
+        """(file, offset, length) of the blocks that can hold the key."""
+        for k in spans_of(self.firsts, self.lasts, key):
+            firsts, lasts, offsets, lengths = self._part(self.files[k])
+            for b in spans_of(firsts, lasts, key):
+                yield self.files[k], offsets[b], lengths[b]
+
+
+def find_entries(archive: Archive, urls: DataFrame) -> DataFrame:
+    """``ENTRY`` rows of all captures of the urls (column ``url``). Keys are searched in sorted order, and their blocks are read
+    each once, wherever the keys came from: a key of many captures is as many blocks, in as many tasks."""
+    folder = archive.folder
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        directory = _Search(folder)
+        for batch in batches:
+            rows = []
+            for key in sorted({reversed_host_key(u) for u in batch.column(0).to_pylist()}):
+                for block in directory.blocks(key):
+                    rows.append((key, *block))
+                    if len(rows) >= OUT_ROWS:
+                        yield _batch(rows, PLACE)
+                        rows = []
+            yield _batch(rows, PLACE)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = _open(folder)
+        now, lines, keys = None, [], []
+        for batch in batches:
+            out = []
+            for key, *place in zip(*(c.to_pylist() for c in batch.columns)):
+                if place != now:
+                    now, (file, offset, length) = place, place
+                    lines = [json.loads(x) for x in gzip.decompress(_range(fs, f"{root}/{file}", offset, length)).decode().splitlines()]
+                    keys = [x[0] for x in lines]
+                out += lines[bisect.bisect_left(keys, key):bisect.bisect_right(keys, key)]
+            yield _batch(out, ENTRY)
+
+    found = urls.select("url").distinct().sortWithinPartitions("url").mapInArrow(search, PLACE).distinct()
+    found = found.repartition("file", "offset").sortWithinPartitions("file", "offset", "key")
+    return found.select("key", "file", "offset", "length").mapInArrow(read, ENTRY)
+
+
+def lookup(archive: Archive, urls: DataFrame, payload: bool = True) -> DataFrame:
+    """The records of the urls (column ``url``), each once: binary search in the directory, range reads of the blocks found, binary search in
+    them, range reads of the records."""
+    return read_records(archive, find_entries(archive, urls), payload)
