@@ -4,13 +4,14 @@ Lists come from spherical k-means on a bounded sample; every row is indexed. Row
 column for this, which makes their norms equal (``lifted``): inner products with a query, which has 0 there, stay as they are. Rows longer than every sampled one, of which the
 calibration can know nothing, are a list that every query scans. Vectors are turned by a random
 rotation, after which each block of columns is a fair sample of a product. Within a probed list the columns are
-scanned in blocks: after each block a candidate is abandoned when even the partial product plus ``Z`` deviations
-of the unseen part (its norm times the query's, over the root of the columns left) falls short of the query's
-current k-th best score. Survivors are scored in double precision on the original vectors.
+scanned in blocks: after each block the hypothesis is tested that a candidate's product reaches the query's current k-th best score; it is
+abandoned when its partial product lies ``Z`` deviations under what that would lead to expect (``least_partial``). ``Z`` follows from the chance
+``MISS`` of abandoning a row wrongly. Survivors are scored in double precision on the original vectors.
 
 The number of probed lists is calibrated on the sample's original vectors against brute force (inner products; ``target`` of its true neighbours must lie in them),
-and a query goes on to further lists until those hold at least ``4 k`` rows. Lists are dealt out in
-blocks of rows and blocks of queries, so neither a large list nor a much-probed one is one group.
+and a query goes on to further lists until those hold at least ``4 k`` rows. A task's group is a block of queries that live near
+each other and a chunk of the rows of all lists that any of them probes. The group streams, the block's own lists first,
+so the k-th best score found there is what rows of further lists are tested against, and a group returns k rows a query.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without an
 id, take no part; vectors of other lengths than the commonest are compared among themselves by full scan; a query
@@ -21,18 +22,21 @@ id; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import materialise
-from .minhash import whole_groups
 from .vectors import SAMPLE, matrix, sample_rows, spherical_kmeans, unit, usable
 
-K, PER_LIST, MOST_LISTS, COLUMNS, Z, TARGET = 20, 4000, 1024, 16, 4.0, 0.98
+K, PER_LIST, MOST_LISTS, COLUMNS, TARGET = 20, 4000, 1024, 16, 0.96
+MISS = 0.001  # chance that a test abandons a row that belongs to the k best
+Z = NormalDist().inv_cdf(1 - MISS)
 LONG = MOST_LISTS  # the list of rows longer than any sampled one: all queries scan it
-ROW_BLOCK, QUERY_BLOCK, STRIP = 2048, 2048, 512
+QUERY_BLOCK, ROW_CHUNK, STRIP = 1024, 1 << 17, 512
+FEW = 0.02  # share of the pairs in play from which on they are followed one by one
 
 
 def rotation(dim: int, seed: int = 5) -> np.ndarray:
@@ -71,55 +75,83 @@ def calibrate(sample: np.ndarray, centres: np.ndarray, k: int, target: float, qu
     return int(need[min(len(need) - 1, int(np.ceil(target * len(need))))]) + 1
 
 
-def scan(queries: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, row_ids: np.ndarray, k: int, turn: np.ndarray | None,
-         columns: int = COLUMNS, z: float = Z) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query index, row index, score) of each query's k best rows of one list; turn None: a full scan."""
-    dim = rows.shape[1]
-    by = np.argsort(row_ids, kind="stable")
-    rows, row_ids = rows[by], row_ids[by]
-    turned_q, turned_r = (queries, rows) if turn is None else (queries @ turn, rows @ turn)
-    edges = [*range(0, dim, columns), dim] if turn is not None else [0, dim]
-    left_q = [np.sqrt((turned_q[:, c:] ** 2).sum(axis=1)) for c in edges]
-    left_r = [np.sqrt((turned_r[:, c:] ** 2).sum(axis=1)) for c in edges]
-    bar = np.full(len(queries), -np.inf)
-    best = [np.full((len(queries), 0), -np.inf), np.zeros((len(queries), 0), np.int64)]
-    for lo in range(0, len(rows), STRIP):
-        hi = min(lo + STRIP, len(rows))
-        part = turned_q[:, :edges[1]] @ turned_r[lo:hi, :edges[1]].T
-        keep = query_ids[:, None] != row_ids[None, lo:hi]
-        if edges[1] < dim:
-            spread = z / np.sqrt(dim - edges[1])
-            keep &= part + spread * left_q[1][:, None] * left_r[1][None, lo:hi] >= bar[:, None] - 1e-9
-        a, b = np.nonzero(keep)
-        value = part[a, b]
-        for s, e in zip(edges[1:-1], edges[2:]):
-            value = value + np.einsum("ij,ij->i", turned_q[a, s:e], turned_r[b + lo, s:e])
-            if e < dim:
-                level = edges.index(e)
-                ok = value + z / np.sqrt(dim - e) * left_q[level][a] * left_r[level][b + lo] >= bar[a] - 1e-9
+def least_partial(bar: np.ndarray, size: np.ndarray, seen: int, dim: int, z: float) -> np.ndarray:
+    """The partial product over ``seen`` of ``dim`` columns below which a whole product of ``bar`` or more is rejected. Under a random rotation the
+    part of a product T of vectors whose norms multiply to N has mean T c / d and the variance
+    c (d - c) / (d (d + 2)) (2 T^2 / d + (N^2 - T^2) / (d - 1))."""
+    if seen == dim:
+        return bar
+    known = np.isfinite(bar)
+    t = np.where(known, bar, 0.0)
+    spread = np.sqrt(seen * (dim - seen) / (dim * (dim + 2)) * (2 * t * t / dim + np.maximum(size * size - t * t, 0) / (dim - 1)))
+    return np.where(known, t * seen / dim - z * spread, -np.inf)
+
+
+class Scan:
+    """The k best rows of a block of queries, over any number of strips of rows; what is held is k rows a query.
+
+    Strips are scanned by blocks of turned columns. While many pairs are still in play a block is one matrix product; when few are,
+    they are followed one by one. The k-th best score of a query, from all strips before, is what its test measures against."""
+
+    def __init__(self, queries: np.ndarray, query_ids: np.ndarray, k: int, turn: np.ndarray | None, columns: int = COLUMNS, z: float = Z):
+        self.x, self.ids, self.k, self.turn, self.z = queries, query_ids, k, turn, z
+        dim = queries.shape[1]
+        self.edges = [*range(0, dim, columns), dim] if turn is not None else [0, dim]
+        self.turned = queries if turn is None else queries @ turn
+        self.size = norms(queries)
+        self.score = np.full((len(queries), k), -np.inf)
+        self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
+
+    def add(self, rows: np.ndarray, row_ids: np.ndarray, who: np.ndarray | None = None) -> None:
+        """Rows for the queries ``who`` (all if None)."""
+        who = np.arange(len(self.x)) if who is None else who
+        for lo in range(0, len(rows), STRIP):
+            self._strip(rows[lo:lo + STRIP], row_ids[lo:lo + STRIP], who)
+
+    def _strip(self, rows: np.ndarray, row_ids: np.ndarray, who: np.ndarray) -> None:
+        edges, dim = self.edges, self.x.shape[1]
+        turned = rows if self.turn is None else rows @ self.turn
+        q, bar, longest = self.turned[who], self.score[who, -1] - 1e-9, norms(rows).max()
+        value = q[:, :edges[1]] @ turned[:, :edges[1]].T
+        alive = self.ids[who][:, None] != row_ids[None, :]
+        a = b = None  # the pairs in play, once they are few
+        for level, (s, e) in enumerate(zip(edges, edges[1:])):
+            if level and a is None:
+                value += q[:, s:e] @ turned[:, s:e].T
+            elif level:
+                value = value + np.einsum("ij,ij->i", q[a, s:e], turned[b, s:e])
+            least = least_partial(bar, self.size[who] * longest, e, dim, self.z)
+            if a is None:
+                alive &= value >= least[:, None]
+                if e == dim or np.count_nonzero(alive) < FEW * alive.size:
+                    a, b = np.nonzero(alive)
+                    value = value[a, b]
+            else:
+                ok = value >= least[a]
                 a, b, value = a[ok], b[ok], value[ok]
-        ok = value >= bar[a] - 1e-9
-        a, b = a[ok], b[ok]
-        exact = np.einsum("ij,ij->i", queries[a], rows[b + lo])
-        # merge: best k of what is held and what came
-        order = np.lexsort((row_ids[b + lo], -exact, a))
-        a, b, exact = a[order], b[order], exact[order]
-        first = np.searchsorted(a, np.arange(len(queries)))
-        place = np.arange(len(a)) - first[a]
-        ok = place < k
-        new = np.full((len(queries), k), -np.inf)
-        at = np.full((len(queries), k), -1, np.int64)
-        new[a[ok], place[ok]], at[a[ok], place[ok]] = exact[ok], b[ok] + lo
-        score, index = np.concatenate((best[0], new), axis=1), np.concatenate((best[1], at), axis=1)
-        order = np.argsort(-score, axis=1, kind="stable")[:, :k]  # held rows have the smaller ids
-        best = [np.take_along_axis(score, order, axis=1), np.take_along_axis(index, order, axis=1)]
-        if best[0].shape[1] >= k:
-            bar = best[0][:, k - 1]
-    q, c = np.nonzero(best[0] > -np.inf)
-    return q, by[best[1][q, c]], best[0][q, c]
-
-
-def nearest(vectors: DataFrame, queries: Column, *, k: int = K, per_list: int = PER_LIST, sample: int = SAMPLE, target: float = TARGET) -> DataFrame:
+        if not len(a):
+            return
+        exact = np.einsum("ij,ij->i", self.x[who[a]], rows[b])
+        # the k best of what is held and what came
+        changed = np.flatnonzero(np.bincount(a, minlength=len(who)))
+        held = who[changed]
+        owner = np.concatenate((np.repeat(np.arange(len(who))[changed], self.k), a))
+        score = np.concatenate((self.score[held].ravel(), exact))
+        ids = np.concatenate((self.found[held].ravel(), row_ids[b]))
+        order = np.lexsort((ids, -score, owner))
+        owner, score, ids = owner[order], score[order], ids[order]
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        ok = place < self.k
+        self.score[who[owner[ok]], place[ok]], self.found[who[owner[ok]], place[ok]] = score[ok], ids[ok]
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query index, row id, score), best first."""
+        q, c = np.nonzero(self.score > -np.inf)
+        return q, self.found[q, c], self.score[q, c]
+
+
+def nearest(vectors: DataFrame, queries: Column, *, k: int = K, per_list: int = PER_LIST, sample: int = SAMPLE, target: float = TARGET,
+            query_block: int = QUERY_BLOCK, row_chunk: int = ROW_CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score: for every row that meets the condition ``queries``, its k nearest rows found."""
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
         F.col("vec_id").cast("long").alias("id"), queries.alias("asks"), "embedding", F.size("embedding").alias("dim"))
@@ -147,48 +179,99 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = K, per_list: int =
     listed = materialise(rows.select("id", "asks", "embedding", "dim").mapInArrow(assign, f"list long, id long, asks boolean, embedding {vector}, dim int"), "lists")
     sizes = {r["list"]: r["n"] for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # MOST_LISTS and the other lengths
 
+    counts = {r["list"]: r["n"] for r in listed.where("asks").groupBy("list").agg(F.count("*").alias("n")).collect()}
+    starts = dict(zip(sorted(counts), np.concatenate(([0], np.cumsum([counts[c] for c in sorted(counts)]))).tolist()))
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query's block, and the lists that it probes. Queries of one list are in the same block or in neighbouring ones."""
         held = np.array([sizes.get(c, 0) for c in range(len(centres))])
         for batch in batches:
-            size = batch.column("dim").to_numpy()
+            size, home = batch.column("dim").to_numpy(), batch.column("list").to_numpy()
+            place = np.array([starts[c] + h % counts[c] for c, h in zip(home.tolist(), batch.column("hash").to_numpy().tolist())], np.int64)
+            lists: list[np.ndarray] = [np.array([-d], np.int64) for d in size.tolist()]
             at = np.flatnonzero(size == dim)
-            who, lists = [np.flatnonzero(size != dim)], [-size[size != dim].astype(np.int64)]
             if len(at):
                 order = np.argsort(-(unit(matrix(batch.column("embedding").take(pa.array(at)))) @ centres[:, :dim].T), axis=1, kind="stable")
                 before = np.cumsum(held[order], axis=1) - held[order]
                 go = (np.arange(len(centres))[None, :] < probes) | (before < 4 * k + 1)
-                a, c = np.nonzero(go)
-                who.append(at[a])
-                lists.append(order[a, c])
-                if sizes.get(LONG):
-                    who.append(at)
-                    lists.append(np.full(len(at), LONG))
-            take = pa.array(np.concatenate(who))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists), pa.int64()), batch.column("id").take(take), batch.column("embedding").take(take)], names=["list", "id", "embedding"])
-
-    asked = listed.where("asks").dropDuplicates(["id"]).select("id", "embedding", "dim").mapInArrow(probe, f"list long, id long, embedding {vector}")
-    asked = materialise(asked, "probes")
-    per = listed.groupBy("list").agg(F.ceil(F.count("*") / ROW_BLOCK).cast("int").alias("rb")).join(
-        asked.groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("qb")), "list")
-    per = materialise(per, "blocks")
-    left = listed.join(per, "list").select("list", F.pmod(F.xxhash64("id"), F.col("rb")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("j"),
-                                           F.lit(False).alias("asks"), "id", "embedding")
-    right = asked.join(per, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("i"), F.pmod(F.xxhash64("id"), F.col("qb")).cast("int").alias("j"),
-                                           F.lit(True).alias("asks"), "id", "embedding")
+                for r, o, g in zip(at.tolist(), order, go):
+                    lists[r] = np.append(o[g], LONG) if sizes.get(LONG) else o[g]
+            yield pa.RecordBatch.from_arrays([pa.array(place // query_block, pa.int64()), batch.column("id"), batch.column("embedding"), pa.array(home, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+                                             names=["j", "id", "embedding", "home", "lists"])
+
+    asked = listed.where("asks").dropDuplicates(["id"]).select("id", "embedding", "dim", "list", F.xxhash64("id").bitwiseAND(F.lit((1 << 62) - 1)).alias("hash"))
+    asked = materialise(asked.mapInArrow(probe, f"j long, id long, embedding {vector}, home long, lists array<long>"), "probes")
+    # which lists a block of queries needs; those that are home to most of its queries come first
+    needs = asked.select("j", "home", F.explode("lists").alias("list")).groupBy("j", "list").agg(F.count_if(F.col("home") == F.col("list")).alias("homes"))
+    chunks = max(1, -(-sum(sizes.values()) // row_chunk))
+    chunk = F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")
+    none = F.lit(None)
+    left = listed.select("list", "id", "embedding").join(materialise(needs, "needs"), "list").select(
+        "j", chunk.alias("i"), (-F.col("homes")).alias("late"), "list", "id", "embedding", none.cast("array<long>").alias("lists"))
+    right = asked.select("j", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("i"), F.lit(-(1 << 62)).alias("late"), none.cast("long").alias("list"), "id", "embedding", "lists")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bounds, t in whole_groups(batches, ("list", "i", "j")):
-            for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                g = t.slice(s, e - s)
-                asks = g.column("asks").to_numpy()
-                ids, x = g.column("id").to_numpy(), matrix(g.column("embedding"))
-                if not asks.any() or asks.all():
+        """A group is a block of queries, then rows, list by list; it streams: held are the queries, their k best and a batch of rows."""
+        now, asks, block, owners = None, [], None, {}
+        for batch in batches:
+            js, is_, lists = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("j", "i", "list"))
+            fresh = np.isnan(lists) if lists.dtype.kind == "f" else np.zeros(len(lists), bool)
+            lists = np.where(fresh, 0, lists).astype(np.int64)
+            new = np.ones(len(js), bool)
+            new[1:] = (js[1:] != js[:-1]) | (is_[1:] != is_[:-1]) | (lists[1:] != lists[:-1]) | (fresh[1:] != fresh[:-1])
+            edges = np.append(np.flatnonzero(new), len(js)).tolist()
+            for s, e in zip(edges, edges[1:]):
+                if (js[s], is_[s]) != now:
+                    if block is not None:
+                        yield _found(block)
+                    now, asks, block = (js[s], is_[s]), [], None
+                part = batch.slice(s, e - s)
+                if fresh[s]:
+                    asks.append(part)
                     continue
-                own = turn if g.column("list")[0].as_py() >= 0 else None
-                a, b, score = scan(x[asks], x[~asks], ids[asks], ids[~asks], k, own)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[asks][a], pa.int64()), pa.array(ids[~asks][b], pa.int64()), pa.array(score)], names=["query_id", "vec_id", "score"])
+                if block is None:
+                    if not asks:
+                        continue
+                    t = pa.Table.from_batches(asks)
+                    block, owners = _block(t, dim, k, turn), _owners(t.column("lists").to_pylist())
+                who, at = owners.get(int(lists[s]), none_), block.get(int(lists[s]) if lists[s] < 0 else -dim)
+                if len(who) and at is not None:
+                    at[0].add(matrix(part.column("embedding")), part.column("id").to_numpy(), at[1][who])
+        if block is not None:
+            yield _found(block)
 
-    parts = left.unionByName(right).repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
+    none_ = np.zeros(0, np.int64)
+    parts = left.unionByName(right).repartition("j", "i").sortWithinPartitions("j", "i", "late", "list")
     found = parts.mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _owners(lists: list[list[int]]) -> dict[int, np.ndarray]:
+    """list -> the queries (numbers) that probe it."""
+    who = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    flat = np.array([c for x in lists for c in x], np.int64)
+    by = np.argsort(flat, kind="stable")
+    flat, who = flat[by], who[by]
+    edges = np.append(np.flatnonzero(np.append(True, flat[1:] != flat[:-1])), len(flat)) if len(flat) else np.zeros(1, np.int64)
+    return {int(flat[s]): who[s:e] for s, e in zip(edges[:-1].tolist(), edges[1:].tolist())}
+
+
+def _block(t: pa.Table, dim: int, k: int, turn: np.ndarray | None) -> dict[int, tuple[Scan, np.ndarray]]:
+    """Queries of a block, by length (key: minus the length): their scan, and each query's number in it. Only the commonest length has
+    lists and a rotation."""
+    size = np.array([len(x) for x in t.column("embedding")], np.int64)
+    out = {}
+    for d in np.unique(size).tolist():
+        at = np.flatnonzero(size == d)
+        number = np.full(len(size), -1, np.int64)
+        number[at] = np.arange(len(at))
+        part = t.take(pa.array(at))
+        out[-d] = Scan(matrix(part.column("embedding")), part.column("id").to_numpy(), k, turn if d == dim else None), number
+    return out
+
+
+def _found(block: dict[int, tuple[Scan, np.ndarray]]) -> pa.RecordBatch:
+    got = [(s.ids[q], ids, score) for s, _ in block.values() for q, ids, score in [s.best()]]
+    parts = [np.concatenate(x) for x in zip(*got)]
+    return pa.RecordBatch.from_arrays([pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.int64()), pa.array(parts[2], pa.float64())], names=["query_id", "vec_id", "score"])

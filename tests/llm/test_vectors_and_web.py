@@ -7,10 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from roadflow.llm.ann import calibrate, nearest, rotation, scan
+from roadflow.llm.ann import Scan, calibrate, nearest, rotation
 from roadflow.llm.vecdedup import linked
 from roadflow.llm.vectors import spherical_kmeans, unit
-from roadflow.llm.warc import lookup, parse, read_all, record, reversed_host_key, write_archive
+from roadflow.llm.warc import lookup, parse, read_all, record, reversed_host_key, spans_of, write_archive
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType())])
 BAD = [(9000, None, 1), (9001, [], 1), (9002, [0.0] * 8, 1), (9003, [float("nan")] * 8, 1), (9004, [float("inf")] + [1.0] * 7, 1), (9005, [1.0, None] + [1.0] * 6, 1), (9006, [1.0] * 8, None),
@@ -87,6 +87,24 @@ def test_nearest_of_unequal_norms_over_several_lists(spark):
     assert hit >= 0.95 * 20 * 300
 
 
+def test_nearest_in_many_small_groups(spark):
+    """Blocks of few queries, chunks of few rows, several lists: the same neighbours as in one group."""
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal((10, 16)) * 2
+    x = (centre[rng.integers(0, 10, 1500)] + rng.standard_normal((1500, 16))).astype(np.float32)
+    df = spark.createDataFrame([(k, [float(v) for v in x[k]], 0) for k in range(1500)] + [(20, [float(v) for v in x[20]], 0), (40, [1.0, 2.0], 0), (41, [2.0, 2.0], 0)], VECTORS).repartition(5)
+    got = [sorted(map(tuple, nearest(df.where("vec_id != 40 OR size(embedding) = 2"), F.col("vec_id") % 20 == 0, k=5, per_list=150, **more).collect()))
+           for more in ({}, {"query_block": 7, "row_chunk": 200})]
+    assert [r[:3] for r in got[0]] == [r[:3] for r in got[1]]
+    assert [r for r in got[0] if r[0] == 40] == [(40, 1, 41, 6.0)]
+    score = x.astype(np.float64) @ x.astype(np.float64).T
+    hit = 0
+    for q in range(0, 1500, 20):
+        want = [i for i in np.argsort(-score[q], kind="stable") if i not in (q, 40)][:5]
+        hit += len({r[2] for r in got[0] if r[0] == q} & set(want))
+    assert hit >= 0.9 * 5 * 74
+
+
 def test_nearest_with_few_rows_and_none(spark):
     assert nearest(spark.createDataFrame([], VECTORS), F.col("vec_id") % 20 == 0).collect() == []
     out = nearest(spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [0.5, 0.5], 1), (2, [1.0, 0.0], 1), (20, [0.0, 1.0], 2)], VECTORS), F.col("vec_id") % 20 == 0).collect()
@@ -97,8 +115,13 @@ def test_adaptive_scan_finds_what_a_full_scan_finds():
     rng = np.random.default_rng(2)
     q, x = rng.standard_normal((30, 64)), rng.standard_normal((3000, 64))
     ids = np.arange(3000)
-    a = scan(q, x, np.arange(5000, 5030), ids, 10, rotation(64))
-    b = scan(q, x, np.arange(5000, 5030), ids, 10, None)
+    a, b = (Scan(q, np.arange(5000, 5030), 10, turn) for turn in (rotation(64), None))
+    for lo in range(0, 3000, 700):  # several lists, one after the other
+        a.add(x[lo:lo + 700], ids[lo:lo + 700])
+        b.add(x[lo:lo + 700], ids[lo:lo + 700])
+    a, b = a.best(), b.best()
+    truth = np.argsort(-(q @ x.T), axis=1, kind="stable")[:, :10]
+    assert [b[1][b[0] == k].tolist() for k in range(30)] == truth.tolist()
     same = len(set(zip(a[0].tolist(), a[1].tolist())) & set(zip(b[0].tolist(), b[1].tolist())))
     assert same >= 0.99 * 300
     sample = unit(x)
@@ -126,11 +149,13 @@ def test_archive_round_trip(spark, tmp_path):
         want.append((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if revisit else "response", original if revisit else None))
     key = lambda t: tuple((x is None, x if x is not None else 0) for x in t)
     assert sorted(((r.id, r.payload_bytes, r.payload_digest, r.type, r.refers_to) for r in got), key=key) == sorted(want, key=key)
-    for url in (rows[7][1], rows[150][1], "http://nowhere.example/"):
-        found = lookup(spark, archive, url)
-        assert sorted(x["id"] for x in found) == sorted(i for i, u, _ in rows if u == url)
-    some = lookup(spark, archive, "not a url [")[0]
-    assert some["payload"] == b"z" * 300_000
+    asked = [(rows[7][1],), (rows[150][1],), ("http://nowhere.example/",), (rows[7][1],), ("not a url [",)]
+    found = lookup(archive, spark.createDataFrame(asked, "url string")).collect()
+    assert sorted(r.id for r in found) == sorted(i for i, u, _ in rows if (u,) in asked)
+    assert [r.payload for r in found if r.id == 1002] == [b"z" * 300_000]
+    for batch in (pages, pages.limit(0)):
+        want = sorted(str(r) for r in got) if batch is pages else []
+        assert sorted(str(r) for r in lookup(archive, batch, payload=False).collect()) == want
     firsts = [r["first"] for r in archive.directory.orderBy("first").collect()]
     assert len(firsts) > 10
 
@@ -142,6 +167,21 @@ def test_small_payloads_are_all_responses_and_an_empty_table(spark, tmp_path):
     assert read_all(write_archive(spark.createDataFrame([], PAGES), f"file://{tmp_path}/b")).collect() == []
 
 
+def test_a_key_of_many_blocks_and_files(spark, tmp_path):
+    """One url has most captures: its entries fill many blocks of several index files, and each is found once."""
+    rows = [(i, "http://hot.org/", f"<p>{i}</p>") for i in range(600)] + [(1000 + i, f"http://{c}.org/{i}", "x") for i, c in enumerate("abcxyz" * 10)]
+    archive = write_archive(spark.createDataFrame(rows, PAGES).repartition(6), f"file://{tmp_path}/hot", block=7)
+    assert archive.directory.where("first = last").count() > 50
+    assert sorted(r.id for r in lookup(archive, spark.createDataFrame([("http://hot.org/",), ("https://www.hot.org",)], "url string")).collect()) == list(range(600))
+    assert sorted(r.id for r in lookup(archive, spark.createDataFrame(rows, PAGES)).collect()) == sorted(i for i, _, _ in rows)
+
+
+def test_directory_search_is_exact():
+    firsts, lasts = ["a", "c", "c", "f"], ["b", "c", "e", "k"]
+    for key in "abcdefgkz":
+        assert list(spans_of(firsts, lasts, key)) == [i for i in range(4) if firsts[i] <= key <= lasts[i]]
+
+
 def test_keys_and_a_broken_record():
     assert reversed_host_key("https://www.Example.com:80/a?b#c") == "com,example,www:80)/a?b"
     assert reversed_host_key(None) == "-)/" and reversed_host_key("http://x.org") == "org,x)/"
