@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -24,10 +24,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = e.join(lu, "u").join(lv, "v").where("lv < lu")
         offers = seen.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("lv").alias("label")),
                                                F.struct(F.col("lu").alias("node"), F.col("lv").alias("label")))).alias("o")).select("o.*")
+        before = labels
         hooked = materialise(labels.unionByName(offers).groupBy("node").agg(F.min("label").alias("label")), "labels")
         up = hooked.select(F.col("node").alias("label"), F.col("label").alias("above"))
         labels = materialise(hooked.join(up, "label").select("node", F.least("label", "above").alias("label")), "labels")
+        discard(before, hooked)
         now = tuple(labels.agg(F.count("*"), F.sum(F.col("label").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", "label"))).first())
         if now == state:
-            return labels.select("node", F.col("label").alias("component"))
+            discard(e)
+            out = labels.select("node", F.col("label").alias("component"))
+            out.written_to = labels.written_to
+            return out
         state = now

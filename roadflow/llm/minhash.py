@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import CHUNK_BYTES, SLICE_ROWS, chunks, lower_ascii, mix64, seeds, shingle_hashes, slices, text_buffers, word_hashes, word_spans
+from .common import CHUNK_BYTES, SLICE_ROWS, chunks, discard, lean, lower_ascii, mix64, seeds, shingle_hashes, slices, text_buffers, word_hashes, word_spans
 from .common import materialise as _materialise
 from .graph import components
 
@@ -35,6 +35,7 @@ ROWS, BANDS, BATCH, BATCHES = 4, 20, 16, 3
 HASHES = ROWS * BANDS + BATCH * BATCHES
 MISS = 1e-5
 BLOCK = 512
+FEW_IDS = 1 << 21  # 16 MB of ids are sent to every task, no more
 _MULT = (seeds(HASHES, 5000) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
@@ -99,7 +100,7 @@ def sketch(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(tests, pa.binary())],
                                              names=["doc_id", "id", "n_shingles", "class", "bands", "sig"])
 
-    return docs.select(_ident().alias("doc_id"), "text", node().alias("id")).mapInArrow(rows, "doc_id long, id long, n_shingles long, class binary, bands array<long>, sig binary")
+    return docs.select(_ident().alias("doc_id"), "text", node().alias("id")).mapInArrow(lean(rows), "doc_id long, id long, n_shingles long, class binary, bands array<long>, sig binary")
 
 
 def fewest_matches(threshold: float, miss: float = MISS) -> list[int]:
@@ -135,10 +136,10 @@ def verify_sequentially(pairs: DataFrame, threshold: float) -> DataFrame:
             left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BATCH * BATCHES) for c in ("siga", "sigb"))
             yield batch.select(["a", "b"]).take(pa.array(survives(left, right, fewest)))
 
-    return pairs.select("a", "b", "siga", "sigb").mapInArrow(rows, "a long, b long")
+    return pairs.select("a", "b", "siga", "sigb").mapInArrow(lean(rows), "a long, b long")
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
+def packed_texts(texts: DataFrame) -> DataFrame:
     """(id, packed): whole texts by zstd, as they travel to a join."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -147,7 +148,15 @@ def packed_texts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack((x.as_py() or "").encode()) for x in batch.column(1)], pa.binary())], names=["id", "packed"])
 
-    return docs.select(node().alias("id"), "text").mapInArrow(rows, "id long, packed binary")
+    return texts.select("id", "text").mapInArrow(lean(rows), "id long, packed binary")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``packed_texts`` of the documents in ``ids`` (a written table of distinct ids). Up to ``FEW_IDS`` of them, 8 bytes each, are
+    sent to every task, so that only their texts are packed and travel; beyond that both sides meet by a shuffle."""
+    few = ids.count() <= FEW_IDS
+    rows = docs.select(node().alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    return packed_texts(rows)
 
 
 def unpacked(column: pa.Array) -> pa.Array:
@@ -158,7 +167,7 @@ def unpacked(column: pa.Array) -> pa.Array:
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, threshold: float) -> DataFrame:
-    """Pairs whose full shingle sets have similarity >= threshold, compared as integers."""
+    """Pairs whose full shingle sets have similarity >= threshold, compared as integers; a written table."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids, keys, sets = batch.column(0).to_numpy(zero_copy_only=False), [], []
@@ -167,9 +176,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, thres
                 sets.append(shingles.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "class", "shingles"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = packed_texts(docs).join(needed, "id", "left_semi")
-    sets = texts.mapInArrow(rows, "id long, class binary, shingles array<long>").join(
+    needed = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
+    texts = texts_of(docs, needed)
+    sets = texts.mapInArrow(lean(rows), "id long, class binary, shingles array<long>").join(
         classes.select(F.col("id").alias("rep"), F.col("class").alias("rep_class")),
         (F.col("id") == F.col("rep")) & (F.col("class") == F.col("rep_class")), "left_semi").dropDuplicates(["id"])
     sets = materialise(sets.select("id", "shingles"), "sets")
@@ -178,12 +187,15 @@ def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, thres
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     percent = round(threshold * 100)
-    return both.withColumn("common", common).where(
+    links = both.withColumn("common", common).where(
         F.col("common") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+    links = materialise(links, "links")
+    discard(needed, sets)
+    return links
 
 
 def cross_links(mixed: DataFrame, docs: DataFrame, classes: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(a, b): a spanning forest of the confirmed links between different components of one group. ``mixed``: group, size,
+    """(a, b), a written table: a spanning forest of the confirmed links between different components of one group. ``mixed``: group, size,
     id, component. A group of over BLOCK members is split into blocks; each pair of blocks is a task's work:
     pairs that share a band, then the sequential test, then exact intersections. No pair leaves the task unless it joins
     two components."""
@@ -195,8 +207,8 @@ def cross_links(mixed: DataFrame, docs: DataFrame, classes: DataFrame, n: int, t
                                               pa.array([checked_values(x).tobytes() for x in sigs], pa.binary()), pa.array([x.tobytes() for _, x, _ in got], pa.binary())],
                                              names=["id", "class", "bands", "sig", "shingles"])
 
-    texts = packed_texts(docs).join(mixed.select("id"), "id", "left_semi")
-    found = texts.mapInArrow(sets, "id long, class binary, bands binary, sig binary, shingles binary")
+    texts = texts_of(docs, mixed.select("id"))
+    found = texts.mapInArrow(lean(sets), "id long, class binary, bands binary, sig binary, shingles binary")
     reps = classes.select("id", "class")
     found = materialise(found.join(reps, ["id", "class"], "left_semi").dropDuplicates(["id"]).select("id", "bands", "sig", "shingles"), "sets")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -212,7 +224,10 @@ def cross_links(mixed: DataFrame, docs: DataFrame, classes: DataFrame, n: int, t
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return placed.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "id").mapInArrow(rows, "a long, b long")
+    links = placed.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "id").mapInArrow(lean(rows), "a long, b long")
+    links = materialise(links, "links")
+    discard(found)
+    return links
 
 
 def _links(g: pa.Table, fewest: list[int], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -326,21 +341,27 @@ def near_groups(docs: DataFrame, *, n: int = 5, threshold: float = 0.8) -> DataF
         return verify_sequentially(pairs.join(a, "a").join(b, "b"), threshold)
 
     lead_pairs = materialise(members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "leads")
-    links = materialise(confirm(materialise(tested(lead_pairs), "pairs"), docs, classes, n, threshold), "links")
+    pairs = materialise(tested(lead_pairs), "pairs")
+    discard(buckets, sigs)
+    links = confirm(pairs, docs, classes, n, threshold)
+    discard(pairs)
     found = components(links)
     # buckets that share members are one group: a document is in one group, whatever its bands
     groups = components(lead_pairs)
+    discard(lead_pairs)
     named = groups.select(F.col("node").alias("id"), F.col("component").alias("group")).join(found, F.col("id") == F.col("node"), "left")
     named = materialise(named.select("id", "group", F.coalesce("component", "id").alias("component")), "named")
     mixed = named.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x != y")
     mixed = materialise(mixed.select("group", "size"), "mixed")
-    more = materialise(cross_links(materialise(named.join(mixed, "group"), "mixed"), docs, classes, n, threshold), "links")
+    members = materialise(named.join(mixed, "group"), "mixed")
+    more = cross_links(members, docs, classes, n, threshold)
     found = components(links.unionByName(more))
     of_class = classes.join(found, classes["id"] == found["node"], "left").select("class", F.coalesce("component", "id").alias("component"), "low")
-    of_class = materialise(of_class, "components")
+    by_component = materialise(of_class, "components")
     # a written table, so that a large component's rows can be split in the join
-    lowest = materialise(of_class.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
-    of_class = materialise(of_class.drop("low").join(lowest, "component"), "components")
+    lowest = materialise(by_component.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
+    of_class = materialise(by_component.drop("low").join(lowest, "component"), "components")
+    discard(links, more, named, mixed, members, classes, by_component, lowest, groups, found)
     out = rows.join(of_class, "class", "left")
     return out.select("doc_id", "id", "n_shingles", F.coalesce("component", "id").alias("component"), F.coalesce("component_id", "doc_id").alias("component_id"),
                       (F.coalesce("component_id", "doc_id") == F.col("doc_id")).alias("kept"))
