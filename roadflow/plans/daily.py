@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadflow import operators as ops
-from roadflow.plans.rollup import read_rollup, store_rollup
 from roadflow.session import checkpoint_root, use_utc
 from roadflow.sinks import write_daily, write_report_csv
 from roadflow.sources import read_window_aggs
@@ -38,8 +37,8 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
     """Reports for one UTC day from the stored aggregate table.
 
     One partition-pruned scan of the day builds the additive hourly roll-up
-    (at most sensors x 24 rows), which is stored beside the reports (``hourly_rollup``; without
-    ``write`` it is checkpointed to the shared checkpoint folder); hourly volumes, the hour-of-day profile and the summary are exact
+    (at most sensors x 24 rows), which is checkpointed to the shared checkpoint folder and stored beside
+    the reports (``hourly_rollup``); hourly volumes, the hour-of-day profile and the summary are exact
     roll-ups of it, so the day is read once and a lost executor recomputes
     nothing upstream. ``plans.rollup.range_reports`` reports any range of days from the stored roll-up. Outputs are idempotent: exactly the ``report_date`` partition of the run
     is replaced in each Parquet table, also by an empty day, and each report folder is replaced.
@@ -50,13 +49,8 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
     run_date = run_date or yesterday_utc()
     use_utc(spark)
     day = read_window_aggs(spark, in_path, run_date)
-    if write:
-        table = os.path.join(out_path, "hourly_rollup")
-        store_rollup(spark, in_path, table, run_date)
-        rollup = read_rollup(spark, table, run_date, run_date)
-    else:
-        checkpoint_root(spark)
-        rollup = ops.hourly_rollup(day).checkpoint()
+    checkpoint_root(spark)
+    rollup = ops.hourly_rollup(day).checkpoint()
     hourly = ops.hourly_from_rollup(rollup)
     volume = ops.volume_from_rollup(rollup)
     summary = ops.summary_from_rollup(rollup).withColumn("report_date", F.lit(run_date))
@@ -69,6 +63,7 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
 
     if write:
         reports = os.path.join(out_path, "reports")
+        write_daily(rollup, os.path.join(out_path, "hourly_rollup"), day=run_date)
         write_daily(peak, os.path.join(out_path, "daily_peak_hour"), day=run_date)
         write_daily(summary, os.path.join(out_path, "daily_summary"), day=run_date)
         write_daily(interventions, os.path.join(out_path, "intervention_report"), day=run_date)

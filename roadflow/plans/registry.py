@@ -22,9 +22,10 @@ from roadflow import operators as ops
 from roadflow.plans.daily import run_daily
 from roadflow.plans.rollup import range_reports, store_rollup
 from roadflow.plans.views import live_view, report_feed, write_weekly_report
-from roadflow.schemas import ALERT, EVENTS
+from roadflow.schemas import ALERT, EVENTS, WINDOW_AGG
 from roadflow.session import (
     default_parallelism,
+    ensure_dir,
     matching_paths,
     prefer_rocksdb_state,
     scratch_dir,
@@ -43,7 +44,8 @@ from roadflow.sources import (
 )
 from roadflow.sources.readings import day_bounds
 from roadflow.streaming.fanout import AppendSink, UpsertSink, fan_out, read_appended, read_upserted
-from roadflow.streaming.jobs import StreamConfig, drain, run_to_completion
+from roadflow.sources.tables import WINDOW_DATE
+from roadflow.streaming.jobs import StreamConfig, drain, mirror_stream, run_to_completion
 from roadflow.streaming.jobs import stored_window_aggs as with_window_date
 from roadflow.streaming.sinks import AVAILABLE_NOW, write_stream_parquet
 
@@ -143,13 +145,12 @@ def _once(spark: SparkSession, name: str, sf_dir: str, make: Callable[[], str])
 
 
 def stored_window_aggs(spark: SparkSession, sf_dir: str) -> str:
-    """JOB-1 over the events table: the date-partitioned 5-minute aggregate table, and its copy beside it."""
+    """JOB-1 over the events table: the date-partitioned 5-minute aggregate table."""
     def make() -> str:
         use_utc(spark)
         base = scratch_dir(spark, "stored_aggs")
         cfg = StreamConfig(checkpoint_dir=os.path.join(base, "checkpoint"),
-                           agg_paths=[os.path.join(base, "agg_5min")],
-                           agg_mirrors=[os.path.join(base, "agg_copy")], source="events",
+                           agg_paths=[os.path.join(base, "agg_5min")], source="events",
                            source_path=sf_dir, source_glob="events.parquet",
                            state_partitions=default_parallelism(spark),
                            sink_files=default_parallelism(spark))
@@ -159,15 +160,36 @@ def stored_window_aggs(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, "agg", sf_dir, make)
 
 
-def daily_outputs(spark: SparkSession, sf_dir: str) -> str:
-    """JOB-2 for the report day and the day before over the stored table; returns its output folder."""
+def copied_window_aggs(spark: SparkSession, sf_dir: str) -> str:
+    """SNK-2: a streaming copy of the stored table, complete after one drain."""
     def make() -> str:
+        source, base = stored_window_aggs(spark, sf_dir), scratch_dir(spark, "agg_copy")
+        schema = T.StructType([*WINDOW_AGG.fields, T.StructField(WINDOW_DATE, T.DateType())])
+        copy = mirror_stream(spark, source, os.path.join(base, "table"), os.path.join(base, "checkpoint"), AVAILABLE_NOW, [WINDOW_DATE], schema)
+        run_to_completion([copy])
+        return os.path.join(base, "table")
+
+    return _once(spark, "copy", sf_dir, make)
+
+
+TWO_DAYS = (REPORT_DATE - dt.timedelta(days=1), REPORT_DATE)
+
+
+def daily_outputs(spark: SparkSession, sf_dir: str, days: tuple[dt.date, ...] = (REPORT_DATE,)) -> str:
+    """JOB-2 for ``days`` over the stored table, each day once; returns its output folder."""
+    def folder() -> str:
         out = scratch_dir(spark, "daily")
-        for day in (REPORT_DATE - dt.timedelta(days=1), REPORT_DATE):
-            run_daily(spark, day, stored_window_aggs(spark, sf_dir), out)
+        ensure_dir(spark, out)
         return out
 
-    return _once(spark, "daily", sf_dir, make)
+    out = _once(spark, "daily", sf_dir, folder)
+    for day in days:
+        def make(day: dt.date = day) -> str:
+            run_daily(spark, day, stored_window_aggs(spark, sf_dir), out)
+            return os.path.join(out, "daily_peak_hour", f"report_date={day}")
+
+        _once(spark, f"daily {day}", sf_dir, make)
+    return out
 
 
 def q_daily_peak_report(spark, sf_dir):
@@ -200,16 +222,16 @@ def q_report_city_volume(spark, sf_dir):
 
 
 def q_mirrored_aggs(spark, sf_dir):
-    """SNK-2: the copy of the aggregate table, complete after one drain."""
-    table = spark.read.parquet(os.path.join(os.path.dirname(stored_window_aggs(spark, sf_dir)), "agg_copy"))
+    """SNK-2: the copy of the aggregate table."""
+    table = spark.read.parquet(copied_window_aggs(spark, sf_dir))
     return _ntz(table.select("window_start", "window_end", "sensor_id", "total_vehicles",
                              _r("avg_speed_window"), _r("congestion_index")))
 
 
 def q_stored_peak_range(spark, sf_dir):
     """SET-1, SNK-5: the stored peak table over a range of days."""
-    table = spark.read.parquet(os.path.join(daily_outputs(spark, sf_dir), "daily_peak_hour"))
-    return _ntz(ops.peak_hour_range(table, REPORT_DATE - dt.timedelta(days=1), REPORT_DATE))
+    table = spark.read.parquet(os.path.join(daily_outputs(spark, sf_dir, TWO_DAYS), "daily_peak_hour"))
+    return _ntz(ops.peak_hour_range(table, *TWO_DAYS))
 
 
 def q_latest_volume_report(spark, sf_dir):
@@ -220,7 +242,7 @@ def q_latest_volume_report(spark, sf_dir):
 
 def q_weekly_export(spark, sf_dir):
     """SNK-8: the weekly peak table of the report feed, exported and read back."""
-    feed = report_feed(spark, daily_outputs(spark, sf_dir), REPORT_DATE)
+    feed = report_feed(spark, daily_outputs(spark, sf_dir, TWO_DAYS), REPORT_DATE)
     out = scratch_dir(spark, "weekly")
     write_weekly_report(feed.weekly, out, REPORT_DATE - dt.timedelta(days=6), REPORT_DATE)
     return _ntz(read_report(spark, out, "weekly", required=True))
@@ -544,7 +566,8 @@ def q_user_daily_report(spark, sf_dir):
     def make() -> str:
         base = scratch_dir(spark, "user_daily")
         aggs = os.path.join(base, "agg_5min")
-        with_window_date(_user_aggs(spark, sf_dir)).repartition("window_date").write.partitionBy("window_date").parquet(aggs)
+        # even files per date, whatever a date's size
+        with_window_date(_user_aggs(spark, sf_dir)).hint("rebalance", "window_date").write.partitionBy("window_date").parquet(aggs)
         run_daily(spark, REPORT_DATE, aggs, os.path.join(base, "out"))
         return base
 
