@@ -33,7 +33,7 @@ from payloads join last on payloads.payload = last.payload
     "op6_embedding_near_dedup": f"""
 with recursive vectors as (
   select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings),
-nodes as (
+nodes as materialized (
   select vec_id as node, label, v from vectors
   where label is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0
     and len(list_filter(v, lambda x: x <> 0)) > 0),
