@@ -30,13 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, materialise, mix64, prefix_hash, text_buffers
+from .common import SLICE_ROWS, chunks, discard, lean, materialise, mix64, prefix_hash, slices, text_buffers
 from .minhash import whole_groups
 
 LENGTH, GRAM, HOT = 100, 24, 2000
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 18
 _LAST = (1 << 63) - 1
 
 
@@ -110,7 +110,7 @@ def find_runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             keys = np.concatenate((anchor[open_], mix64(doc[r[done]].view(np.uint64) + start[done].astype(np.uint64))))
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(docs, pa.int64()), pa.array(places, pa.int64())], names=["anchor", "doc", "place"])
 
-    return keyed.select("doc", "ord", "text").mapInArrow(rows, "anchor long, doc long, place long")
+    return keyed.select("doc", "ord", "text").mapInArrow(lean(rows), "anchor long, doc long, place long")
 
 
 def compressed(keyed: DataFrame) -> DataFrame:
@@ -122,7 +122,7 @@ def compressed(keyed: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack((x.as_py() or "").encode()) for x in batch.column(2)], pa.binary())], names=["doc", "ord", "packed"])
 
-    return keyed.select("doc", "ord", "text").mapInArrow(rows, "doc long, ord long, packed binary")
+    return keyed.select("doc", "ord", "text").mapInArrow(lean(rows), "doc long, ord long, packed binary")
 
 
 def cut_runs(texts: DataFrame, length: int, hot: int) -> DataFrame:
@@ -131,7 +131,7 @@ def cut_runs(texts: DataFrame, length: int, hot: int) -> DataFrame:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in slices(batches):
             marks = batch.column(3)
             edges, flat = marks.offsets.to_numpy(), marks.flatten()
             anchor, place, times = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
@@ -173,7 +173,7 @@ def cut_runs(texts: DataFrame, length: int, hot: int) -> DataFrame:
             for lo in range(0, len(out), 20_000):
                 yield _strings(*zip(*out[lo:lo + 20_000]))
 
-    return texts.select("doc", "ord", "packed", "marks").mapInArrow(rows, "key long, ord long, doc long, start long, number int, bytes binary")
+    return texts.select("doc", "ord", "packed", "marks").mapInArrow(lean(rows), "key long, ord long, doc long, start long, number int, bytes binary")
 
 
 def _strings(*cols) -> pa.RecordBatch:
@@ -358,7 +358,7 @@ def sort_groups(runs: DataFrame, length: int) -> DataFrame:
                 lo = hi
 
     parts = runs.repartition("key").sortWithinPartitions("key")
-    return parts.mapInArrow(rows, "doc long, start long, stop long")
+    return parts.mapInArrow(lean(rows), "doc long, start long, stop long")
 
 
 def _sorted(t: pa.Table, length: int) -> pa.RecordBatch:
@@ -424,12 +424,15 @@ def doc_key():
 def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(doc, kept binary, spans array<struct<start, stop>>) of the documents that lose bytes; doc is ``doc_key()``."""
     keyed = docs.select(doc_key().alias("doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("ord"), "text")
-    runs = find_runs(keyed, length, gram)
-    runs = runs.withColumn("times", F.count("*").over(Window.partitionBy("anchor"))).where("times > 1 OR place < 0")
+    runs = written = materialise(find_runs(keyed, length, gram), "runs", SLICE_ROWS)
+    # how often an anchor occurs: partial counts first, so no anchor's runs meet in one task
+    times = runs.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").withColumnRenamed("anchor", "of")
+    runs = runs.join(times, runs["anchor"] == times["of"], "left").withColumn("times", F.coalesce("times", F.lit(1))).where("times > 1 OR place < 0")
     marks = runs.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("place", "anchor", "times"))).alias("marks"))
     marks = marks.withColumn("marks", F.transform("marks", lambda m: F.struct(m["anchor"].alias("anchor"), m["place"].alias("place"), m["times"].alias("times"))))
-    texts = materialise(compressed(keyed).join(marks, "doc"), "texts")
-    found = materialise(sort_groups(cut_runs(texts, length, hot), length), "spans")
+    texts = materialise(compressed(keyed).join(marks, "doc"), "texts", SLICE_ROWS)
+    discard(written)
+    found = materialise(sort_groups(cut_runs(texts, length, hot), length), "spans", SLICE_ROWS)
     spans = found.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
     resolved = F.filter("marks.place", lambda p: p < 0)
 
@@ -451,7 +454,7 @@ def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot: int
                                               pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=["doc", "kept", "spans"])
 
     both = texts.select("doc", "packed", resolved.alias("resolved")).join(spans, "doc", "left").where("found IS NOT NULL OR size(resolved) > 0")
-    return both.select("doc", "packed", "resolved", "found").mapInArrow(rows, "doc long, kept binary, spans array<struct<start: long, stop: long>>")
+    return both.select("doc", "packed", "resolved", "found").mapInArrow(lean(rows), "doc long, kept binary, spans array<struct<start: long, stop: long>>")
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
