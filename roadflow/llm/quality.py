@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, held_out, lower_ascii, materialise, slices, text_buffers, word_hashes, word_spans
+from .common import chunks, held_out, lean, lower_ascii, materialise, slices, text_buffers, word_hashes, word_spans
 
 WORDS, BINS, RANK = 1 << 14, 16, 8
 SAMPLE = 8000
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample: i
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(edges, pa.array(index, pa.int32())),
                                                   pa.ListArray.from_arrays(edges, pa.array(values, pa.float32()))], names=["id", "y", "index", "values"])
 
-    got = rows.mapInArrow(extract, "id long, y int, index array<int>, values array<float>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
+    got = rows.mapInArrow(lean(extract), "id long, y int, index array<int>, values array<float>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     sizes = got.column("index").combine_chunks()
     index, values = (np.concatenate([np.zeros(0), *[c.flatten().to_numpy() for c in got.column(k).chunks]]) for k in ("index", "values"))
     counts = np.array([len(x) for x in sizes], np.int64)
@@ -165,7 +165,7 @@ def score(docs: DataFrame, model: dict, *keep: str, text_at: int | None = None)
 
     picked = docs.select(*keep, *([F.col("text").alias("scored_text")] if text_at is None else []))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:len(keep)]) + ", score double"
-    return picked.mapInArrow(rows, schema)
+    return picked.mapInArrow(lean(rows), schema)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, *, least: float = 0.3, **options) -> DataFrame:
