@@ -31,10 +31,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import materialise
 from .vectors import SAMPLE, matrix, sample_rows, spherical_kmeans, unit, usable
 
-K, PER_LIST, MOST_LISTS, COLUMNS, TARGET = 20, 4000, 1024, 16, 0.96
+K, PER_LIST, PER_CENTRE, COLUMNS, TARGET = 20, 4000, 8, 16, 0.96  # PER_CENTRE: sampled vectors that a centroid stands for at least
 MISS = 0.001  # chance that a test abandons a row that belongs to the k best
 Z = NormalDist().inv_cdf(1 - MISS)
-LONG = MOST_LISTS  # the list of rows longer than any sampled one: all queries scan it
+LONG = 1 << 30  # the list of rows longer than any sampled one: all queries scan it
 QUERY_BLOCK, ROW_CHUNK, STRIP = 1024, 1 << 17, 512
 FEW = 0.02  # share of the pairs in play from which on they are followed one by one
 
@@ -160,7 +160,7 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = K, per_list: int =
     sampled = sample_rows(rows.where(F.col("dim") == dim), sample, original=True) if dims else np.zeros((0, 1))
     longest = float(norms(sampled).max()) if len(sampled) else 0.0
     equal = not len(sampled) or norms(sampled).min() >= (1 - 1e-3) * longest
-    centres = spherical_kmeans((unit(sampled) if len(sampled) else sampled) if equal else lifted(sampled, longest), min(MOST_LISTS, max(1, n // per_list)))
+    centres = spherical_kmeans((unit(sampled) if len(sampled) else sampled) if equal else lifted(sampled, longest), min(max(1, len(sampled) // PER_CENTRE), max(1, n // per_list)))
     probes = calibrate(sampled, centres, k, target)
     turn = rotation(dim) if dim else None
 
@@ -177,7 +177,7 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = K, per_list: int =
 
     vector = rows.schema["embedding"].dataType.simpleString()
     listed = materialise(rows.select("id", "asks", "embedding", "dim").mapInArrow(assign, f"list long, id long, asks boolean, embedding {vector}, dim int"), "lists")
-    sizes = {r["list"]: r["n"] for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # MOST_LISTS and the other lengths
+    sizes = {r["list"]: r["n"] for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # the centroids and the other lengths
 
     counts = {r["list"]: r["n"] for r in listed.where("asks").groupBy("list").agg(F.count("*").alias("n")).collect()}
     starts = dict(zip(sorted(counts), np.concatenate(([0], np.cumsum([counts[c] for c in sorted(counts)]))).tolist()))
