@@ -38,9 +38,9 @@ def test_query_matches_oracle(spark, con, name):
     assert len(got) > 0
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(n for n in SQL if not n.startswith(("fan_out", "late"))))
 def test_query_matches_oracle_small(spark, con_small, name):
-    """sf0.001 has other edge cases (half-way roundings on other days)."""
+    """sf0.001 has other edge cases (half-way roundings on other days). The long streaming runs are checked once, at sf0.01."""
     res = compare(QUERIES[name](spark, SF_SMALL).toPandas(), con_small.execute(SQL[name]).df())
     assert res["ok"], res
 
