@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadflow import operators as ops
 from roadflow.session import checkpoint_root, use_utc
-from roadflow.sinks import write_daily, write_report_csv
+from roadflow.sinks import write_daily, write_report_file
 from roadflow.sources import read_window_aggs
 
 
@@ -41,7 +41,7 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
     the reports (``hourly_rollup``); hourly volumes, the hour-of-day profile and the summary are exact
     roll-ups of it, so the day is read once and a lost executor recomputes
     nothing upstream. ``plans.rollup.range_reports`` reports any range of days from the stored roll-up. Outputs are idempotent: exactly the ``report_date`` partition of the run
-    is replaced in each Parquet table, also by an empty day, and each report folder is replaced.
+    is replaced in each Parquet table, also by an empty day, and each report file is replaced.
 
     Run it at least 15 minutes after midnight UTC: the last windows of the day
     are written by the stream only once the watermark passes them.
@@ -67,9 +67,8 @@ def run_daily(spark: SparkSession, run_date: dt.date | None, in_path: str, out_p
         write_daily(peak, os.path.join(out_path, "daily_peak_hour"), day=run_date)
         write_daily(summary, os.path.join(out_path, "daily_summary"), day=run_date)
         write_daily(interventions, os.path.join(out_path, "intervention_report"), day=run_date)
-        # Report CSVs: rows ordered as in the reference; each may span several part files
-        # (read_report reads the whole folder). An hour x sensor pivot has 24 rows, so it is one file.
-        write_report_csv(peak.orderBy("sensor_id"), reports, "peak", run_date)
-        write_report_csv(volume.orderBy("sensor_id", "hour_of_day"), reports, "volume", run_date)
-        write_report_csv(pivot, reports, "pivot", run_date, num_files=1 if sensors is not None else None)
+        # Report CSVs: one file each at any size, rows ordered as in the reference
+        write_report_file(peak, reports, "peak", run_date, "sensor_id")
+        write_report_file(volume, reports, "volume", run_date, "sensor_id", "hour_of_day")
+        write_report_file(pivot, reports, "pivot", run_date, "hour_of_day" if sensors is not None else "sensor_id")
     return DailyOutputs(day, hourly, peak, volume, pivot, summary, busiest, interventions)
